@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .functions.buckets import to_wall_clock
 from .plans import oracle_sql as O
+from .plans import reads as P
 from .plans import rollups as R
 from .session import use_utc
 from .sources import testdata
@@ -73,3 +74,69 @@ for _name in ("q1", "q2", "q3", "q3r", "q4", "q5a", "q5b", "q6", "d6"):
 register("q5", O.with_mapping(O.q5_sql(5, 1_000_000),
                               {"q5a": O.ROLLUP_SQL["q5a"], "q5b": O.ROLLUP_SQL["q5b"]}))(
     lambda spark, sf_dir: R.q5_high_value_customers(_t(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- end-user reads
+def _q(name: str) -> str:
+    return O.ROLLUP_SQL[name]
+
+
+_ts = "timestamp '{}'".format
+register("r1", O.with_mapping(
+    f"select * from q1 where account_id = {R1_ACCOUNT} and txn_day >= '{R1_FROM}' "
+    f"and txn_day <= '{R1_TO}' order by txn_timestamp desc", {"q1": _q("q1")}))(
+    lambda spark, sf_dir: P.r1_account_days(R.q1_transactions_by_account(_t(spark, sf_dir)),
+                                            R1_ACCOUNT, R1_FROM, R1_TO))
+
+register("r2", O.with_mapping(
+    f"select * from q2 where txn_time >= {_ts(R2_NOW)} - interval {R2_SPAN} "
+    f"and txn_time <= {_ts(R2_NOW)}", {"q2": _q("q2")}))(
+    lambda spark, sf_dir: P.r2_recent_high_value(R.q2_high_value_by_minute(_t(spark, sf_dir)),
+                                                 R2_NOW, R2_SPAN))
+
+register("r2m", O.with_mapping(
+    f"select * from q2 where txn_minute between '{R2M_FROM}' and '{R2M_TO}'", {"q2": _q("q2")}))(
+    lambda spark, sf_dir: P.r2m_minute_range(R.q2_high_value_by_minute(_t(spark, sf_dir)),
+                                             R2M_FROM, R2M_TO))
+
+register("r3", O.with_mapping(
+    f"select city, txn_count from q3 where window_start >= {_ts(R3_NOW)} - interval {R3_SPAN} "
+    f"and window_start <= {_ts(R3_NOW)}", {"q3": _q("q3")}))(
+    lambda spark, sf_dir: P.r3_city_windows(R.q3_high_value_by_city(_t(spark, sf_dir)),
+                                            R3_NOW, R3_SPAN))
+
+register("r3t", O.with_mapping(
+    f"select city, sum(txn_count) as txn_count from q3 "
+    f"where window_start >= {_ts(R3_NOW)} - interval {R3_SPAN} and window_start <= {_ts(R3_NOW)} "
+    f"group by city", {"q3": _q("q3")}))(
+    lambda spark, sf_dir: P.r3t_city_totals(R.q3_high_value_by_city(_t(spark, sf_dir)),
+                                            R3_NOW, R3_SPAN))
+
+register("r4", O.with_mapping(
+    f"select * from q4 where employee_id = {R4_EMPLOYEE} and \"quarter\" = '{R4_QUARTER}'",
+    {"q4": _q("q4")}))(
+    lambda spark, sf_dir: P.r4_employee_quarter(R.q4_withdrawals_by_employee(_t(spark, sf_dir)),
+                                                R4_EMPLOYEE, R4_QUARTER))
+
+
+def _r4m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return P.r4m_manager_quarter(R.q4_withdrawals_by_employee(t), t["employee"], R4M_MANAGER,
+                                 R4_QUARTER)
+
+
+register("r4m", O.with_mapping(
+    f"select * from q4 where \"quarter\" = '{R4_QUARTER}' and employee_id in "
+    f"(select emp_id from bk_employee where manager_id = {R4M_MANAGER})", {"q4": _q("q4")}))(_r4m)
+
+register("r5", O.with_mapping(O.q5_sql(R5_MIN_ACCOUNTS, R5_MIN_AMOUNT),
+                              {"q5a": _q("q5a"), "q5b": _q("q5b")}))(
+    lambda spark, sf_dir: R.q5_high_value_customers(_t(spark, sf_dir), R5_MIN_ACCOUNTS,
+                                                    R5_MIN_AMOUNT))
+
+register("r6", O.with_mapping(
+    f"select txn_date, total_amount, count_txn from q6 where branch_id = {R6_BRANCH} "
+    f"and txn_date >= date '{R6_FROM}' and txn_date <= date '{R6_TO}' order by txn_date desc",
+    {"q6": _q("q6")}))(
+    lambda spark, sf_dir: P.r6_branch_days(R.q6_branch_daily(_t(spark, sf_dir)), R6_BRANCH,
+                                           R6_FROM, R6_TO))
