@@ -12,14 +12,19 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions import buckets as B
 from .functions.buckets import to_wall_clock
+from .model import AMOUNT_MAX, AMOUNT_MIN
+from .operators import quality as Q
+from .operators.compaction import latest_by_key
 from .plans import oracle_sql as O
 from .plans import reads as P
 from .plans import rollups as R
 from .session import use_utc
-from .sources import testdata
+from .sources import records, testdata
 
 # Read parameters used against the test tables.
 R1_ACCOUNT, R1_FROM, R1_TO = 7, "19950101", "20011231"
@@ -140,3 +145,73 @@ register("r6", O.with_mapping(
     {"q6": _q("q6")}))(
     lambda spark, sf_dir: P.r6_branch_days(R.q6_branch_daily(_t(spark, sf_dir)), R6_BRANCH,
                                            R6_FROM, R6_TO))
+
+
+# ---------------------------------------------------------------- data-quality checks
+for _name, _fn in Q.CHECKS.items():
+    register(_name, O.qc_sql(_name))(lambda spark, sf_dir, _f=_fn: _f(_t(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- functions, records, compaction
+def _account(spark, sf_dir):
+    return _t(spark, sf_dir)["account"]
+
+
+def _txn(spark, sf_dir):
+    return _t(spark, sf_dir)["transaction"]
+
+
+register("f9", O.with_mapping(O.FUNCTION_SQL["f9"]))(
+    lambda spark, sf_dir: _account(spark, sf_dir).select(
+        "account_id",
+        *[B.parse_iso_timestamp(B.iso_utc_text(c)).alias(c) for c in ("opened_at", "closed_at")]))
+
+register("f10", O.with_mapping(O.FUNCTION_SQL["f10"]))(
+    lambda spark, sf_dir: _account(spark, sf_dir).select(
+        "account_id", B.iso_date_text(B.to_day("opened_at")).alias("opened_on"),
+        B.iso_date_text(B.to_day("closed_at")).alias("closed_on")))
+
+register("f11", O.with_mapping(O.FUNCTION_SQL["f11"]))(
+    lambda spark, sf_dir: _account(spark, sf_dir).select(
+        "account_id", B.iso_utc_text("opened_at").alias("opened_at"),
+        B.iso_utc_text("closed_at").alias("closed_at")))
+
+
+def _f12(spark, sf_dir):
+    x = _txn(spark, sf_dir)
+    cols = ("txn_id", "account_id", "approved_by_emp_id")
+    agg = x.agg(*[F.sum(F.when(B.uuid_is_valid(B.uuid_text(c)), 1).otherwise(0)).cast("bigint")
+                  .alias(f"v_{c}") for c in cols],
+                F.count(F.lit(1)).alias("n"))
+    rows = F.array(*[F.struct(F.lit(c).alias("item"), F.col(f"v_{c}").alias("valid"),
+                              (F.col("n") - F.col(f"v_{c}")).alias("invalid")) for c in cols])
+    return agg.select(F.inline(rows))
+
+
+register("f12", O.with_mapping(O.FUNCTION_SQL["f12"]))(_f12)
+
+register("f14", O.with_mapping(O.FUNCTION_SQL["f14"]))(
+    lambda spark, sf_dir: _t(spark, sf_dir)["customer"].select(
+        "customer_id", B.pan_hash("customer_id").alias("pan_hash")))
+
+register("f17", O.with_mapping(O.FUNCTION_SQL["f17"]))(
+    lambda spark, sf_dir: _txn(spark, sf_dir).select(
+        "txn_id", B.clamp_round(F.col("amount") * 2, AMOUNT_MIN, AMOUNT_MAX).alias("amount")))
+
+register("t7", O.with_mapping(O.FUNCTION_SQL["t7"]))(
+    lambda spark, sf_dir: latest_by_key(_txn(spark, sf_dir), "account_id", ["txn_time", "txn_id"]))
+
+
+def _s7(spark, sf_dir):
+    return records.emit_keyed(_txn(spark, sf_dir), "transaction")
+
+
+def _s8(spark, sf_dir):
+    x = _txn(spark, sf_dir)
+    good, _bad = records.parse_keyed(records.emit_keyed(x, "transaction"), "transaction")
+    # ids come back as text; restore the test tables' integer ids for comparison
+    return good.select(*[F.col(c).cast(x.schema[c].dataType).alias(c) for c in x.columns])
+
+
+register("s7", O.with_mapping(O.FUNCTION_SQL["s7"]))(_s7)
+register("s8", O.with_mapping(O.FUNCTION_SQL["s8"]))(_s8)

@@ -31,14 +31,14 @@ FIELD_ORDER: dict[str, list[str]] = {
 SCHEMAS: dict[str, T.StructType] = {
     "branch": _schema(("branch_id", S, False), ("branch_name", S, False), ("city", S, False),
                       ("region", S, False)),
-    "customer": _schema(("customer_id", S, False), ("name", S, False), ("dob", DT, True),
-                        ("customer_segment", S, False), ("pan_hash", S, True), ("city", S, False),
+    "customer": _schema(("customer_id", S, False), ("name", S, False), ("dob", DT, False),
+                        ("customer_segment", S, False), ("pan_hash", S, False), ("city", S, False),
                         ("created_at", TS, True)),
     "employee": _schema(("emp_id", S, False), ("name", S, False), ("role", S, False),
-                        ("branch_id", S, False), ("manager_id", S, True), ("hire_date", DT, True)),
+                        ("branch_id", S, False), ("manager_id", S, True), ("hire_date", DT, False)),
     "product": _schema(("product_id", S, False), ("product_name", S, False),
                        ("product_category", S, False)),
-    "account": _schema(("account_id", S, False), ("customer_id", S, False), ("account_type", S, True),
+    "account": _schema(("account_id", S, False), ("customer_id", S, False), ("account_type", S, False),
                        ("status", S, False), ("branch_id", S, False), ("opened_at", TS, True),
                        ("closed_at", TS, True)),
     "transaction": _schema(("txn_id", S, False), ("account_id", S, False), ("txn_type", S, False),

@@ -121,3 +121,119 @@ def with_mapping(body: str, extra: dict[str, str] | None = None) -> str:
     ctes.update(extra or {})
     parts = ",\n".join(f"{name} as ({sql}\n)" for name, sql in ctes.items())
     return f"with {parts}\n{body}"
+
+
+# ---------------------------------------------------------------- checks and functions
+CTE_OF = {"branch": "bk_branch", "customer": "bk_customer", "employee": "bk_employee",
+          "product": "bk_product", "account": "bk_account", "transaction": "bk_txn"}
+
+
+def _lit_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def qc_sql(name: str) -> str:
+    from ..model import DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
+
+    parts: list[str] = []
+    if name == "qc1":
+        for (tb, col), dom in DOMAINS.items():
+            parts.append(f"select 'QC1' as rule, '{tb}' as tbl, '{col}' as item, count(*) filter "
+                         f"(where {col} is not null and {col} not in ({_lit_list(dom)})) as violations "
+                         f"from {CTE_OF[tb]}")
+    elif name == "qc2":
+        for tb in ["branch", "customer", "employee", "product", "account", "transaction"]:
+            for f in SCHEMAS[tb].fields:
+                if not f.nullable:
+                    parts.append(f"select 'QC2' as rule, '{tb}' as tbl, '{f.name}' as item, "
+                                 f"count(*) filter (where {f.name} is null) as violations "
+                                 f"from {CTE_OF[tb]}")
+            if tb == "transaction":
+                parts.append("select 'QC2' as rule, 'transaction' as tbl, 'amount_nan' as item, "
+                             "count(*) filter (where isnan(amount)) as violations from bk_txn")
+    elif name == "qc3":
+        for child, ccol, parent, pcol in FOREIGN_KEYS:
+            parts.append(f"select 'QC3' as rule, '{child}' as tbl, '{ccol}->{parent}.{pcol}' as item, "
+                         f"count(*) as violations from {CTE_OF[child]} c where c.{ccol} is not null "
+                         f"and not exists (select 1 from {CTE_OF[parent]} p where p.{pcol} = c.{ccol})")
+    elif name == "qc4":
+        for tb, keys in PRIMARY_KEYS.items():
+            k = ", ".join(keys)
+            parts.append(f"select 'QC4' as rule, '{tb}' as tbl, '{','.join(keys)}' as item, "
+                         f"count(*) as violations from (select {k} from {CTE_OF[tb]} group by {k} "
+                         f"having count(*) > 1)")
+    elif name == "qc5":
+        parts.append("select 'QC5' as rule, 'employee' as tbl, 'root' as item, "
+                     "cast(abs(count(*) filter (where manager_id is null) - 1) as bigint) as violations "
+                     "from bk_employee")
+        parts.append("select 'QC5' as rule, 'employee' as tbl, 'manager_share' as item, "
+                     "cast(abs(count(*) filter (where role = 'Manager') - "
+                     "greatest(1, cast(ceil(count(*) * 0.10) as bigint))) as bigint) as violations "
+                     "from bk_employee")
+        parts.append("select 'QC5' as rule, 'employee' as tbl, 'bad_manager_link' as item, "
+                     "count(*) as violations from bk_employee e where manager_id is not null and "
+                     "not exists (select 1 from bk_employee m where m.role = 'Manager' "
+                     "and m.emp_id = e.manager_id)")
+    elif name == "qc6":
+        parts.append("select 'QC6' as rule, 'account' as tbl, 'closed_at_iff_inactive' as item, "
+                     "count(*) filter (where coalesce(status = 'Inactive', false) <> "
+                     "(closed_at is not null)) as violations from bk_account")
+    elif name == "qc7":
+        parts.append("select 'QC7' as rule, 'transaction' as tbl, 'amount_range' as item, "
+                     "count(*) filter (where amount < 1.0 or amount > 150000.0) as violations from bk_txn")
+        parts.append("select 'QC7' as rule, 'transaction' as tbl, 'amount_two_decimals' as item, "
+                     "count(*) filter (where cast(cast(amount as decimal(18,2)) as double) <> amount) "
+                     "as violations from bk_txn")
+    elif name == "qc8":
+        from ..model import TARGET_WEIGHTS
+        from ..operators.quality import target_shares
+
+        counts = " union all ".join(
+            f"select '{tb}' as tbl, '{col}' as col, {col} as value, count(*) as n "
+            f"from {CTE_OF[tb]} group by {col}" for (tb, col) in TARGET_WEIGHTS)
+        targets = ", ".join(f"('{tb}', '{col}', '{v}', {s!r}::double)" for tb, col, v, s in target_shares())
+        return with_mapping(f"""
+, counts as ({counts}),
+totals as (select tbl, col, sum(n) as total from counts group by tbl, col),
+observed as (select c.tbl, c.col, c.value, c.n, c.n / t.total as share
+             from counts c join totals t on c.tbl = t.tbl and c.col = t.col),
+targets(tbl, col, value, target) as (values {targets})
+select coalesce(o.tbl, g.tbl) as tbl, coalesce(o.col, g.col) as col, coalesce(o.value, g.value) as value,
+       coalesce(o.n, 0) as n, coalesce(o.share, 0.0) as share, g.target
+from observed o full outer join targets g on o.tbl = g.tbl and o.col = g.col and o.value = g.value""")
+    return with_mapping(" union all ".join(parts))
+
+
+def _iso_utc(c: str) -> str:
+    return (f"(strftime({c}, '%Y-%m-%dT%H:%M:%S') || case when epoch_us({c}) % 1000000 <> 0 "
+            f"then strftime({c}, '.%f') else '' end || '+00:00')")
+
+
+_UUID_OK = ("({c} is null or regexp_full_match(replace(regexp_replace(regexp_replace("
+            "cast({c} as varchar), 'urn:|uuid:', '', 'g'), '^\\{{+|\\}}+$', '', 'g'), '-', ''), "
+            "'[0-9a-fA-F]{{32}}'))")
+
+FUNCTION_SQL = {
+    "f9": "select account_id, opened_at, closed_at from bk_account",
+    "f10": "select account_id, strftime(cast(opened_at as date), '%Y-%m-%d') as opened_on, "
+           "strftime(cast(closed_at as date), '%Y-%m-%d') as closed_on from bk_account",
+    "f11": f"select account_id, {_iso_utc('opened_at')} as opened_at, {_iso_utc('closed_at')} as closed_at "
+           f"from bk_account",
+    "f12": " union all ".join(
+        f"select '{c}' as item, count(*) filter (where {_UUID_OK.format(c=c)}) as valid, "
+        f"count(*) filter (where not {_UUID_OK.format(c=c)}) as invalid from bk_txn"
+        for c in ("txn_id", "account_id", "approved_by_emp_id")),
+    "f14": "select customer_id, upper(substr(sha256('PAN-' || cast(customer_id as varchar)), 1, 16)) "
+           "as pan_hash from bk_customer",
+    "f17": "select txn_id, round(greatest(1.0, least(amount * 2, 150000.0)), 2) as amount from bk_txn",
+    "t7": "select * exclude (rn) from (select *, row_number() over (partition by account_id "
+          "order by txn_time desc, txn_id desc) as rn from bk_txn) where rn = 1",
+    "s8": "select * from bk_txn",
+}
+
+FUNCTION_SQL["s7"] = (
+    "select 'banking.transactions' as topic, cast(account_id as varchar) as key, "
+    "cast(json_object('txn_id', txn_id, 'account_id', cast(account_id as varchar), 'txn_type', txn_type, "
+    "'amount', amount, 'currency', currency, 'txn_time', epoch_ms(txn_time), 'channel', channel, "
+    "'status', status, 'product_id', cast(product_id as varchar), "
+    "'approved_by_emp_id', cast(approved_by_emp_id as varchar)) as varchar) as value from bk_txn")
