@@ -27,9 +27,32 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
 
 
+_FITS: dict[tuple, bool] = {}
+
+
+def _plan_key(df: DataFrame, max_rows: int) -> tuple | None:
+    """Identity of a batch input: canonical plan + the files it reads (Spark writes new
+    file names on every overwrite/append, so changed data gives a new key)."""
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - plans without a file listing are not memoised
+        return None
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1 rows).
+
+    The answer is memoised per (canonical plan, input files) for the life of the
+    process, so a refresh that joins the same unchanged dimension in several rollups
+    counts it once.
+    """
+    key = _plan_key(df, max_rows)
+    if key is not None and key in _FITS:
+        return _FITS[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _FITS[key] = ok
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:

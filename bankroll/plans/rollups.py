@@ -6,12 +6,14 @@ refresh and, applied to the rows a micro-batch touched, the stream refresh.
 
 Scale notes (what the physical plans look like):
 * Q1, Q2 are map-only projections: no shuffle, filters pushed into the Parquet scan.
-* Q3, Q5b, Q6 aggregate *before* joining: transactions are first reduced per
-  ``(account_id, bucket)`` (partial + final hash aggregate), then joined to the account
-  side and reduced again per result key. The join input shrinks from one row per
-  transaction to one row per account and bucket, and a hot account (a third of all
-  rows) collapses to one row per bucket map-side, so it never makes one task hot.
-  Sums are exact decimals, so the two-level sum equals the one-level sum.
+* Q3, Q5b, Q6 pick their aggregation order from the counted size of the account side.
+  Small: broadcast it, join map-side, aggregate once (partial aggregation in every map
+  task, so a hot branch or customer is combined before the shuffle). Large: reduce the
+  transactions per ``(account_id, bucket)`` first, then shuffle-join and reduce per
+  result key. The join input shrinks from one row per transaction to one row per
+  account and bucket, and a hot account (a third of all rows) collapses to one row per
+  bucket map-side, so it never makes one join task hot. Sums are exact decimals, so the
+  two-level sum equals the one-level sum.
 * Dimension sides are broadcast only behind a counted size bound
   (``operators.joins.bounded_broadcast``); beyond it the joins shuffle and AQE splits
   skewed partitions. Row-level joins (Q3R, Q4) can also route hot keys apart
@@ -64,18 +66,18 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
                           window: str = WINDOW) -> DataFrame:
     """Q3: per tumbling event-time window and city, count of transactions above
     ``threshold`` (inner joins transaction -> account -> branch; status not filtered)."""
-    x = t["transaction"]
-    per_account = (
-        x.filter(F.col("amount") > threshold)
-        .groupBy("account_id", F.window("txn_time", window).alias("w"))
-        .agg(F.count("txn_id").alias("n"))
-    )
-    cities, _ = bounded_broadcast(account_city(t))
-    return (
-        per_account.join(cities, "account_id")
-        .groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "city")
-        .agg(F.sum("n").alias("txn_count"))
-    )
+    hv = t["transaction"].filter(F.col("amount") > threshold) \
+        .select("account_id", "txn_id", F.window("txn_time", window).alias("w"))
+    cities, small = bounded_broadcast(account_city(t))
+    if small:  # map-side join, one aggregation
+        counted = (hv.join(cities, "account_id")
+                   .groupBy("w", "city").agg(F.count("txn_id").alias("txn_count")))
+    else:  # reduce per (account, window) before the shuffle join
+        per_account = hv.groupBy("account_id", "w").agg(F.count("txn_id").alias("n"))
+        counted = (per_account.join(cities, "account_id")
+                   .groupBy("w", "city").agg(F.sum("n").alias("txn_count")))
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          "city", "txn_count")
 
 
 def q3r_high_value_rows_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
@@ -112,23 +114,16 @@ def q5a_active_accounts(t: Tables) -> DataFrame:
             .groupBy("customer_id").agg(F.count(F.lit(1)).alias("account_count")))
 
 
-def _customer_side(t: Tables) -> DataFrame:
-    acct, _ = bounded_broadcast(t["account"].select("account_id", "customer_id"))
-    return acct
-
-
 def q5b_customer_quarter_total(t: Tables) -> DataFrame:
     """Sum of amounts per customer and quarter (every type, status and currency)."""
-    per_account = (
-        t["transaction"]
-        .groupBy("account_id", B.quarter_label("txn_time").alias("quarter"))
-        .agg(F.sum(B.money("amount")).alias("amount"))
-    )
-    return (
-        per_account.join(_customer_side(t), "account_id")
-        .groupBy("customer_id", "quarter")
-        .agg(F.sum("amount").cast("double").alias("amount"))
-    )
+    x = t["transaction"].select("account_id", B.quarter_label("txn_time").alias("quarter"),
+                                B.money("amount").alias("amount"))
+    owners, small = bounded_broadcast(t["account"].select("account_id", "customer_id"))
+    if not small:  # reduce per (account, quarter) before the shuffle join
+        x = x.groupBy("account_id", "quarter").agg(F.sum("amount").alias("amount"))
+    return (x.join(owners, "account_id")
+            .groupBy("customer_id", "quarter")
+            .agg(F.sum("amount").cast("double").alias("amount")))
 
 
 def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
@@ -145,14 +140,15 @@ def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
 
 def q6_branch_daily(t: Tables) -> DataFrame:
     """Q6: per branch and UTC date, total and count of approved transactions."""
-    per_account = (
-        t["transaction"].filter(F.col("status") == "approved")
-        .groupBy("account_id", B.to_day("txn_time").alias("txn_date"))
-        .agg(F.sum(B.money("amount")).alias("total"), F.count(F.lit(1)).alias("n"))
-    )
-    branches, _ = bounded_broadcast(t["account"].select("account_id", "branch_id"))
+    x = (t["transaction"].filter(F.col("status") == "approved")
+         .select("account_id", B.to_day("txn_time").alias("txn_date"),
+                 B.money("amount").alias("total"), F.lit(1).cast("bigint").alias("n")))
+    branches, small = bounded_broadcast(t["account"].select("account_id", "branch_id"))
+    if not small:  # reduce per (account, date) before the shuffle join
+        x = x.groupBy("account_id", "txn_date").agg(F.sum("total").alias("total"),
+                                                     F.sum("n").alias("n"))
     return (
-        per_account.join(branches, "account_id")
+        x.join(branches, "account_id")
         .groupBy("branch_id", "txn_date")
         .agg(F.sum("total").cast("double").alias("total_amount"),
              F.sum("n").alias("count_txn"))
