@@ -3,7 +3,7 @@
 Each read takes the maintained table (a DataFrame -- in production the stored,
 partitioned Parquet table of ``sources.layout``) and its parameters. Predicates are
 plain column comparisons, so on the stored tables they become partition filters
-(``txn_month``, ``txn_day``, ``quarter``, ``txn_year``) and Parquet min/max pushdown.
+(``txn_month``, ``quarter``, ``txn_year``) and Parquet min/max pushdown.
 ``now`` is always a parameter (never wall-clock) so reads are repeatable.
 """
 
@@ -33,20 +33,25 @@ def r1_account_days(q1: DataFrame, account_id, day_from: str, day_to: str) -> Da
 def r2_recent_high_value(q2: DataFrame, now: datetime | str, span: str = "1 hour") -> DataFrame:
     """R2: high-value rows with ``now - span <= txn_time <= now`` (both ends inclusive)."""
     start = B.minus_interval(now, span)
-    out = q2.filter(F.col("txn_time").between(start, _ts(now)))
-    return out.drop("txn_day") if "txn_day" in q2.columns else out
+    pred = F.col("txn_time").between(start, _ts(now))
+    if "txn_month" in q2.columns:  # stored layout: the month partitions of the span
+        pred &= F.col("txn_month").between(F.date_format(start, "yyyyMM"),
+                                           F.date_format(_ts(now), "yyyyMM"))
+        return q2.filter(pred).drop("txn_month")
+    return q2.filter(pred)
 
 
 def r2m_minute_range(q2: DataFrame, minute_from: str, minute_to: str) -> DataFrame:
     """R2M: the rows of a range of minute keys (the per-minute partition read).
 
-    The key range is a text range on fixed-width keys; on the stored table the day
-    partitions outside ``minute_from[:8] .. minute_to[:8]`` are pruned first.
+    The key range is a text range on fixed-width keys; on the stored table the month
+    partitions outside ``minute_from[:6] .. minute_to[:6]`` are pruned first, and the
+    files' min/max statistics on the sorted ``txn_minute`` skip the rest.
     """
     pred = F.col("txn_minute").between(minute_from, minute_to)
-    if "txn_day" in q2.columns:
-        pred = F.col("txn_day").between(minute_from[:8], minute_to[:8]) & pred
-        return q2.filter(pred).drop("txn_day")
+    if "txn_month" in q2.columns:
+        pred = F.col("txn_month").between(minute_from[:6], minute_to[:6]) & pred
+        return q2.filter(pred).drop("txn_month")
     return q2.filter(pred)
 
 
@@ -58,7 +63,12 @@ def r3_city_windows(q3: DataFrame, now: datetime | str | None = None, span: str
     if start_from is not None:
         pred = (F.col("window_start") >= _ts(start_from)) & (F.col("window_start") < _ts(start_to))
     else:
-        pred = F.col("window_start").between(B.minus_interval(now, span), _ts(now))
+        start, end = B.minus_interval(now, span), _ts(now)
+        pred = F.col("window_start").between(start, end)
+    if "txn_month" in q3.columns:
+        lo = _ts(start_from) if start_from is not None else start
+        hi = _ts(start_to) if start_from is not None else end
+        pred &= F.col("txn_month").between(F.date_format(lo, "yyyyMM"), F.date_format(hi, "yyyyMM"))
     return q3.filter(pred).select("city", "txn_count")
 
 

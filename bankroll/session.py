@@ -32,6 +32,8 @@ SESSION_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partition keys of the stored tables are text (yyyyMM, YYYYQn, yyyy)
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
