@@ -88,8 +88,11 @@ def decode(raw: DataFrame, table: str, check_ids: bool = False) -> tuple[DataFra
     """Wire rows -> ``(typed rows, quarantined wire rows + reason)``.
 
     A row is quarantined when a non-null time text does not parse, a required column
-    is null, or (``check_ids``) an id is not UUID text (F12).
+    is null, or (``check_ids``) an id is not UUID text (F12). Columns that are not part
+    of the contract (e.g. a ``seq`` version) pass through after the contract columns.
     """
+    contract = {f.name for f in SCHEMAS[table].fields}
+    extra = [c for c in raw.columns if c not in contract]
     typed = raw.select(*[F.col(c) for c in raw.columns],
                        *[c.alias(f"__t_{f.name}") for c, f in zip(_typed(raw, table),
                                                                    SCHEMAS[table].fields)])
@@ -105,7 +108,7 @@ def decode(raw: DataFrame, table: str, check_ids: bool = False) -> tuple[DataFra
     reason = F.concat_ws("; ", F.array_compact(F.array(*problems))) if problems else F.lit("")
     flagged = typed.withColumn("__reason", reason)
     good = flagged.filter(F.col("__reason") == "").select(
-        *[F.col(f"__t_{f.name}").alias(f.name) for f in SCHEMAS[table].fields])
+        *[F.col(f"__t_{f.name}").alias(f.name) for f in SCHEMAS[table].fields], *extra)
     bad = flagged.filter(F.col("__reason") != "").select(*raw.columns,
                                                          F.col("__reason").alias("reason"))
     return good, bad
