@@ -85,7 +85,8 @@ def qc5_hierarchy(t: Tables) -> DataFrame:
         F.sum(F.when(F.col("manager_id").isNull(), 1).otherwise(0)).alias("roots"),
         F.sum(F.when(F.col("role") == "Manager", 1).otherwise(0)).alias("managers"),
     )
-    want = F.ceil(F.col("n") * F.lit(MANAGER_SHARE).cast("decimal(3,2)")).cast("bigint")
+    # the generator's own arithmetic: ceil(n * 0.10) in floating point
+    want = F.ceil(F.col("n") * F.lit(MANAGER_SHARE)).cast("bigint")
     head = stats.select(
         F.abs(F.coalesce(F.col("roots"), F.lit(0)) - 1).cast("bigint").alias("root"),
         F.abs(F.coalesce(F.col("managers"), F.lit(0)) - F.greatest(F.lit(1), want))

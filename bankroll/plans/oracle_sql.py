@@ -168,7 +168,7 @@ def qc_sql(name: str) -> str:
                      "from bk_employee")
         parts.append("select 'QC5' as rule, 'employee' as tbl, 'manager_share' as item, "
                      "cast(abs(count(*) filter (where role = 'Manager') - "
-                     "greatest(1, cast(ceil(count(*) * 0.10) as bigint))) as bigint) as violations "
+                     "greatest(1, cast(ceil(count(*) * cast(0.10 as double)) as bigint))) as bigint) as violations "
                      "from bk_employee")
         parts.append("select 'QC5' as rule, 'employee' as tbl, 'bad_manager_link' as item, "
                      "count(*) as violations from bk_employee e where manager_id is not null and "
