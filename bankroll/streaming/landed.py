@@ -68,15 +68,20 @@ class LandedRefresh:
         return f"{self.root}/results/{name}"
 
     def _landed(self, kind: str) -> DataFrame:
-        """All landed versions of ``kind`` with ``batch_id`` (long) and ``seq``."""
-        schema = T.StructType(SCHEMAS[kind].fields + [T.StructField("seq", T.LongType()),
-                                                      T.StructField("batch_id", T.StringType())])
-        return (self.spark.read.schema(schema).parquet(self.land_path(kind))
-                .withColumn("batch_id", F.col("batch_id").cast("long")))
+        """All landed versions of ``kind`` with ``batch_id`` (long) and ``seq``
+        (transactions also carry their ``txn_month`` partition)."""
+        parts = [T.StructField("seq", T.LongType()), T.StructField("batch_id", T.StringType())]
+        if kind == "transaction":
+            parts.append(T.StructField("txn_month", T.StringType()))
+        schema = T.StructType(SCHEMAS[kind].fields + parts)
+        df = (self.spark.read.schema(schema).parquet(self.land_path(kind))
+              .withColumn("batch_id", F.col("batch_id").cast("long")))
+        return df
 
     @staticmethod
     def _newest(df: DataFrame, kind: str) -> DataFrame:
-        return latest_by_key(df, PRIMARY_KEYS[kind], ["batch_id", "seq"]).drop("batch_id", "seq")
+        out = latest_by_key(df, PRIMARY_KEYS[kind], ["batch_id", "seq"]).drop("batch_id", "seq")
+        return out.drop("txn_month") if "txn_month" in out.columns else out
 
     def _state(self, kind: str, upto: int) -> DataFrame:
         return self._newest(self._landed(kind).filter(F.col("batch_id") <= upto), kind)
@@ -112,7 +117,11 @@ class LandedRefresh:
             else:
                 rows = batch.filter(F.col("kind") == kind).select(f"{kind}.*", "seq")
             good, bad = decode(rows, kind)
-            good.write.mode("overwrite").parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
+            w = good.write.mode("overwrite")
+            if kind == "transaction":  # month partitions let recomputes read touched months only
+                w = good.withColumn("txn_month", F.date_format("txn_time", "yyyyMM")) \
+                    .write.mode("overwrite").partitionBy("txn_month")
+            w.parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{kind}/batch_id={batch_id}")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -131,26 +140,31 @@ class LandedRefresh:
         txns = self._landed("transaction").filter(F.col("batch_id") <= n)
         new_ids = txns.filter(F.col("batch_id") == n).select("txn_id")
 
-        # accounts / employees whose own row or whose branch row changed in this batch
+        # accounts / employees whose own row or whose branch row changed in this batch;
+        # a batch without dimension rows (the common case) skips these history lookups
+        dim_rows = {k: len(changed[k].take(1)) > 0 for k in ("account", "branch", "employee")}
         moved_branch = changed["branch"]
-        acct_touch = _union([changed["account"]] + [
-            s["account"].join(moved_branch, "branch_id", "left_semi").select("account_id")
-            for s in (before, after)])
-        emp_touch = _union([changed["employee"]] + [
-            s["employee"].join(moved_branch, "branch_id", "left_semi").select("emp_id")
-            for s in (before, after)])
-        by_account = txns.join(acct_touch, "account_id", "left_semi").select("txn_id")
-        by_employee = txns.join(emp_touch.withColumnRenamed("emp_id", "approved_by_emp_id"),
-                                "approved_by_emp_id", "left_semi").select("txn_id")
+        by_account = by_employee = None
+        if dim_rows["account"] or dim_rows["branch"]:
+            acct_touch = _union([changed["account"]] + [
+                s["account"].join(moved_branch, "branch_id", "left_semi").select("account_id")
+                for s in (before, after)])
+            by_account = txns.join(acct_touch, "account_id", "left_semi").select("txn_id")
+        if dim_rows["employee"] or dim_rows["branch"]:
+            emp_touch = _union([changed["employee"]] + [
+                s["employee"].join(moved_branch, "branch_id", "left_semi").select("emp_id")
+                for s in (before, after)])
+            by_employee = txns.join(emp_touch.withColumnRenamed("emp_id", "approved_by_emp_id"),
+                                    "approved_by_emp_id", "left_semi").select("txn_id")
 
         touched_out: dict[str, DataFrame] = {}
         for name in self.results:
             if name not in TXN_RESULTS:
                 continue
             ids = [new_ids]
-            if "account" in DEPENDS[name]:
+            if "account" in DEPENDS[name] and by_account is not None:
                 ids.append(by_account)
-            if "employee" in DEPENDS[name]:
+            if "employee" in DEPENDS[name] and by_employee is not None:
                 ids.append(by_employee)
             affected = txns.join(_union(ids), "txn_id", "left_semi")
             old = self._newest(affected.filter(F.col("batch_id") < n), "transaction")
@@ -209,6 +223,9 @@ class LandedRefresh:
             on = ["account_id", "txn_date"]
         else:
             raise ValueError(name)
+        # the touched months (a calendar-bounded handful) prune the landed month partitions
+        months = [r[0] for r in self._months(name, pairs).collect()]
+        with_key = with_key.filter(F.col("txn_month").isin(months))
         cand = with_key.join(pairs, on, "left_semi").select("txn_id")
         newest = self._newest(txns.join(cand, "txn_id", "left_semi"), "transaction")
         keyed = newest.withColumn("__k", F.lit(1))
@@ -221,6 +238,20 @@ class LandedRefresh:
         bucket = on[-1]
         return keyed.join(pairs.select(bucket).distinct(), bucket, "left_semi").drop("__k", bucket)
 
+    @staticmethod
+    def _months(name: str, pairs: DataFrame) -> DataFrame:
+        """Distinct ``yyyyMM`` months covered by the touched buckets."""
+        if name == "q3":
+            m = F.date_format("window_start", "yyyyMM")
+        elif name == "q6":
+            m = F.date_format("txn_date", "yyyyMM")
+        else:  # quarter label YYYYQn -> its three months
+            first = (F.substring("quarter", 6, 1).cast("int") - 1) * 3 + 1
+            m = F.explode(F.array(*[F.concat(F.substring("quarter", 1, 4),
+                                             F.lpad((first + k).cast("string"), 2, "0"))
+                                    for k in range(3)]))
+        return pairs.select(m.alias("m")).distinct()
+
     def _write(self, name: str, touched: DataFrame, result: DataFrame, n: int) -> None:
         keys = RESULT_KEYS[name]
         present = result.join(touched, keys, "left_semi").withColumn("__present", F.lit(True))
