@@ -68,11 +68,17 @@ def clustered(df: DataFrame, name: str, partitions: int | None = None) -> DataFr
 
 
 def write_result(df: DataFrame, name: str, path: str, mode: str = "overwrite",
-                 partitions: int | None = None, max_records_per_file: int = 5_000_000) -> None:
-    """Write result table ``name`` in its serving layout (Parquet)."""
+                 partitions: int | None = None, max_records_per_file: int = 5_000_000,
+                 partition_overwrite: str = "dynamic") -> None:
+    """Write result table ``name`` in its serving layout (Parquet).
+
+    ``partition_overwrite``: ``dynamic`` replaces only the partitions present in ``df``
+    (incremental refresh of some months), ``static`` replaces the whole table.
+    """
     lay = LAYOUTS[name]
     w = (clustered(df, name, partitions).write.mode(mode)
-         .option("maxRecordsPerFile", max_records_per_file))
+         .option("maxRecordsPerFile", max_records_per_file)
+         .option("partitionOverwriteMode", partition_overwrite))
     if lay.partition_col:
         w = w.partitionBy(lay.partition_col)
     w.parquet(path)
