@@ -70,13 +70,14 @@ def lookup_join(
     on: str | list[str],
     how: str = "inner",
     max_rows: int | None = None,
-    split_hot: bool = False,
+    split_hot: bool | None = None,
     hot_key_rows: int | None = None,
 ) -> DataFrame:
     """N:1 equi-join of a fact table to a dimension keyed by ``on``.
 
     Broadcast when the dimension is counted small; otherwise shuffle join. With
-    ``split_hot`` the fact keys holding more than ``hot_key_rows`` rows are found first
+    ``split_hot`` (default: on for batch inputs once the dimension is too large to
+    broadcast) the fact keys holding more than ``hot_key_rows`` rows are found first
     (a partially aggregated count, so the hot key itself is combined map-side); their
     dimension rows are at most ``rows / hot_key_rows`` and are broadcast, the remaining
     rows take the shuffle join. The result is the same multiset of rows either way.
@@ -85,6 +86,8 @@ def lookup_join(
     small, is_small = bounded_broadcast(dim, max_rows)
     if is_small:
         return fact.join(small, keys, how)
+    if split_hot is None:
+        split_hot = not fact.isStreaming
     if not split_hot:
         return fact.join(dim, keys, how)
 

@@ -16,8 +16,8 @@ Scale notes (what the physical plans look like):
   two-level sum equals the one-level sum.
 * Dimension sides are broadcast only behind a counted size bound
   (``operators.joins.bounded_broadcast``); beyond it the joins shuffle and AQE splits
-  skewed partitions. Row-level joins (Q3R, Q4) can also route hot keys apart
-  (``split_hot``).
+  skewed partitions. Row-level joins (Q3R, Q4) then also route the rows of hot keys
+  through a broadcast of their few dimension rows (``operators.joins.lookup_join``).
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
 
 
 def q3r_high_value_rows_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
-                                split_hot: bool = False) -> DataFrame:
+                                split_hot: bool | None = None) -> DataFrame:
     """Q3R: the single high-value transactions behind Q3, with hour key and city."""
     x = t["transaction"].filter(F.col("amount") > threshold) \
         .select("txn_id", "account_id", "amount", "txn_time")
@@ -91,7 +91,7 @@ def q3r_high_value_rows_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
     )
 
 
-def q4_withdrawals_by_employee(t: Tables, split_hot: bool = False) -> DataFrame:
+def q4_withdrawals_by_employee(t: Tables, split_hot: bool | None = None) -> DataFrame:
     """Q4: withdrawals with their approving employee, the employee's branch name and
     the quarter (inner joins; rows without approver or with unknown approver drop)."""
     x = t["transaction"].filter(

@@ -38,6 +38,7 @@ from ..functions import buckets as B
 from ..model import PRIMARY_KEYS, RESULT_KEYS, SCHEMAS, WINDOW
 from ..operators.compaction import latest_by_key
 from ..plans import rollups as R
+from ..session import checkpoint_dir
 from ..sources.records import decode
 from .sources import DIMENSIONS, KINDS, changelog_schema, read_stream, tagged_union
 
@@ -55,8 +56,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 class LandedRefresh:
     """Keeps the maintained tables under ``root`` fresh from one tagged stream."""
 
-    def __init__(self, spark: SparkSession, root: str, results: tuple[str, ...] = ALL_RESULTS):
+    def __init__(self, spark: SparkSession, root: str | None = None,
+                 results: tuple[str, ...] = ALL_RESULTS):
+        """``root`` holds landed data, results and (by default) the stream checkpoint; it
+        defaults to ``<spark.checkpoint.dir>/bankroll/landed`` -- a shared folder on a
+        cluster -- and stays the same across restarts."""
         self.spark = spark
+        root = root or f"{checkpoint_dir(spark).rstrip('/')}/bankroll/landed"
         self.root = root.rstrip("/")
         self.results = tuple(r for r in ALL_RESULTS if r in results)
 
@@ -98,9 +104,10 @@ class LandedRefresh:
                    for k, p in sources.items()}
         return tagged_union(streams)
 
-    def start(self, sources: dict[str, str], checkpoint: str, fmt: str = "json",
+    def start(self, sources: dict[str, str], checkpoint: str | None = None, fmt: str = "json",
               max_files_per_trigger: int | None = None, available_now: bool = False,
               processing_time: str | None = None):
+        checkpoint = checkpoint or f"{self.root}/_checkpoint"
         w = (self.stream(sources, fmt, max_files_per_trigger).writeStream
              .foreachBatch(self.process_batch).option("checkpointLocation", checkpoint))
         if available_now:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..model import RESULT_KEYS, WATERMARK_DELAY
 from ..operators.compaction import latest_by_key
 from ..plans import rollups as R
+from ..session import checkpoint_dir
 from .sources import typed_transactions
 
 APPEND_ONLY = ("q1", "q2", "q3r", "q4")
@@ -42,10 +43,14 @@ def rollup_stream(name: str, wire_txns: DataFrame, dims: dict[str, DataFrame],
     return R.ROLLUPS[name]({"transaction": x, **dims})
 
 
-def start(name: str, wire_txns: DataFrame, dims: dict[str, DataFrame], out_path: str,
-          checkpoint: str, available_now: bool = False, processing_time: str | None = None,
-          **opts):
-    """Run result ``name`` as a streaming query writing keyed micro-batches to ``out_path``."""
+def start(name: str, wire_txns: DataFrame, dims: dict[str, DataFrame], out_path: str | None = None,
+          checkpoint: str | None = None, available_now: bool = False,
+          processing_time: str | None = None, **opts):
+    """Run result ``name`` as a streaming query writing keyed micro-batches to ``out_path``
+    (default ``<spark.checkpoint.dir>/bankroll/stream/<name>``; checkpoint beside it)."""
+    if out_path is None:
+        out_path = f"{checkpoint_dir(wire_txns.sparkSession).rstrip('/')}/bankroll/stream/{name}"
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}_checkpoint"
     stream = rollup_stream(name, wire_txns, dims, **opts)
     mode = "append" if name in APPEND_ONLY else "update"
 

@@ -208,3 +208,20 @@ def test_stream_static_drops_late_rows_when_asked(spark, scratch):
     counts = {r.window_start.date().day: r.txn_count
               for r in stream_static.read_view(spark, "q3", out).collect()}
     assert counts.get(11) == 1 and 3 not in counts
+
+
+def test_stream_static_dedupe_option(spark, scratch):
+    """T9 option: a re-delivered transaction inside the watermark counts once."""
+    src = f"{scratch}/src"
+    write_rows(src, "0.json", [_txn(1, amount=100.0)])
+    write_rows(src, "1.json", [_txn(1, amount=100.0), _txn(2, amount=5.0)])
+    from bankroll.streaming.sources import read_stream
+    from pyspark.sql import Row
+
+    dims = {"account": spark.createDataFrame([Row(account_id="a0", branch_id="b1", customer_id="c1")])}
+    out, ckpt = f"{scratch}/out", f"{scratch}/ckpt"
+    q = stream_static.start("q6", read_stream(spark, src, "transaction", max_files_per_trigger=1),
+                            dims, out, ckpt, available_now=True, dedupe=True)
+    q.awaitTermination(600)
+    row = stream_static.read_view(spark, "q6", out).first()
+    assert (row.count_txn, row.total_amount) == (2, 105.0)
