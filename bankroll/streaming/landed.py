@@ -117,9 +117,22 @@ class LandedRefresh:
         return w.start()
 
     # ------------------------------------------------------------------ one micro-batch
-    def land(self, batch: DataFrame, batch_id: int) -> None:
+    def _exists(self, path: str) -> bool:
+        """Does a landed/result folder exist yet (resolved at analysis, no job)?"""
+        try:
+            self.spark.read.parquet(path)
+            return True
+        except Exception:  # noqa: BLE001 - missing path
+            return False
+
+    def land(self, batch: DataFrame, batch_id: int, counts: dict[str, int] | None = None) -> None:
+        """Land every kind of the micro-batch. A kind without rows in this batch is skipped
+        once its folder exists (an empty batch folder would add nothing)."""
         for kind in KINDS:
-            if kind not in batch.columns:  # no source of this kind: land an empty batch
+            present = counts is None or counts.get(kind, 0) > 0
+            if not present and self._exists(self.land_path(kind)):
+                continue
+            if kind not in batch.columns or not present:  # first batch: create the folder
                 rows = self.spark.createDataFrame([], changelog_schema(kind))
             else:
                 rows = batch.filter(F.col("kind") == kind).select(f"{kind}.*", "seq")
@@ -129,17 +142,29 @@ class LandedRefresh:
                 w = good.withColumn("txn_month", F.date_format("txn_time", "yyyyMM")) \
                     .write.mode("overwrite").partitionBy("txn_month")
             w.parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{kind}/batch_id={batch_id}")
+            if present:
+                bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{kind}/batch_id={batch_id}")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            self.land(batch, batch_id)
+            # rows per kind: a handful of (kind, count) rows
+            counts = {r["kind"]: r["n"] for r in
+                      batch.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+            self.land(batch, batch_id, counts)
         finally:
             batch.unpersist()
-        self.refresh(batch_id)
+        self.refresh(batch_id, counts)
 
-    def refresh(self, n: int) -> None:
+    def refresh(self, n: int, counts: dict[str, int] | None = None) -> None:
+        """Bring every result up to batch ``n``. ``counts`` (rows per kind in the batch)
+        lets results whose inputs did not change skip their recompute; ``None`` means
+        recompute everything the batch could touch."""
+        def has(kind: str) -> bool:
+            return counts is None or counts.get(kind, 0) > 0
+
+        if not any(has(k) for k in ("transaction", "account", "branch", "employee")):
+            return
         before = {k: self._state(k, n - 1) for k in DIMENSIONS}
         after = {k: self._state(k, n) for k in DIMENSIONS}
         changed = {k: self._landed(k).filter(F.col("batch_id") == n).select(*PRIMARY_KEYS[k])
@@ -149,7 +174,7 @@ class LandedRefresh:
 
         # accounts / employees whose own row or whose branch row changed in this batch;
         # a batch without dimension rows (the common case) skips these history lookups
-        dim_rows = {k: len(changed[k].take(1)) > 0 for k in ("account", "branch", "employee")}
+        dim_rows = {k: has(k) for k in ("account", "branch", "employee")}
         moved_branch = changed["branch"]
         by_account = by_employee = None
         if dim_rows["account"] or dim_rows["branch"]:
@@ -168,11 +193,13 @@ class LandedRefresh:
         for name in self.results:
             if name not in TXN_RESULTS:
                 continue
-            ids = [new_ids]
+            ids = [new_ids] if has("transaction") else []
             if "account" in DEPENDS[name] and by_account is not None:
                 ids.append(by_account)
             if "employee" in DEPENDS[name] and by_employee is not None:
                 ids.append(by_employee)
+            if not ids:  # nothing this result reads changed in this batch
+                continue
             affected = txns.join(_union(ids), "txn_id", "left_semi")
             old = self._newest(affected.filter(F.col("batch_id") < n), "transaction")
             new = self._newest(affected, "transaction")
@@ -184,7 +211,7 @@ class LandedRefresh:
             self._write(name, touched, fn({"transaction": scope, **after}), n)
             touched_out[name] = touched
 
-        if "q5a" in self.results:
+        if "q5a" in self.results and has("account"):
             acc_b = before["account"].join(changed["account"], "account_id", "left_semi")
             acc_a = after["account"].join(changed["account"], "account_id", "left_semi")
             touched = (R.q5a_active_accounts({"account": acc_b}).select("customer_id")
@@ -195,13 +222,16 @@ class LandedRefresh:
             self._write("q5a", touched, R.q5a_active_accounts({"account": scope}), n)
             touched_out["q5a"] = touched
 
-        if "q5" in self.results and {"q5a", "q5b"} <= set(touched_out):
-            customers = (touched_out["q5a"].select("customer_id")
-                         .unionByName(touched_out["q5b"].select("customer_id")).distinct())
+        # Q5 needs both inputs stored (before that it is empty, and so are its old rows)
+        if ("q5" in self.results and {"q5a", "q5b"} & set(touched_out)
+                and self._has_results("q5a") and self._has_results("q5b")):
+            customers = _union([touched_out[k].select("customer_id")
+                                for k in ("q5a", "q5b") if k in touched_out]).distinct()
             q5a_now = self.read_view("q5a", upto=n, customers=customers)
             q5b_now = self.read_view("q5b", upto=n, customers=customers)
             keys = RESULT_KEYS["q5"]
-            parts = [q5b_now.select(*keys), touched_out["q5b"].select(*keys)]
+            parts = [q5b_now.select(*keys)] + (
+                [touched_out["q5b"].select(*keys)] if "q5b" in touched_out else [])
             if self._has_results("q5"):
                 parts.append(self.read_view("q5", upto=n - 1, customers=customers).select(*keys))
             touched = _union(parts).distinct()
@@ -267,11 +297,7 @@ class LandedRefresh:
         out.write.mode("overwrite").parquet(f"{self.result_path(name)}/batch_id={n}")
 
     def _has_results(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.result_path(name)).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001 - no batch written yet
-            return False
+        return self._exists(self.result_path(name))
 
     def read_view(self, name: str, upto: int | None = None,
                   customers: DataFrame | None = None) -> DataFrame:
