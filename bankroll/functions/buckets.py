@@ -135,6 +135,38 @@ def money(x: str | Column) -> Column:
     return _c(x).cast("decimal(18,2)")
 
 
+def is_finite(x: str | Column) -> Column:
+    c = _c(x)
+    return ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
+
+
+def above(x: str | Column, threshold: float) -> Column:
+    """``x > threshold`` with IEEE semantics: NaN is never above (Spark orders NaN last)."""
+    return (_c(x) > threshold) & ~F.isnan(_c(x))
+
+
+def money_sum_parts(x: str | Column, prefix: str) -> list[Column]:
+    """Partial aggregates of an amount sum: the exact decimal sum of the finite amounts
+    (``<prefix>_s``) and the double sum of the non-finite ones (``<prefix>_ns``, null when
+    there are none). Both re-aggregate with ``sum``, so they serve two-level plans."""
+    c = _c(x)
+    return [F.sum(F.when(is_finite(c), money(c))).alias(f"{prefix}_s"),
+            F.sum(F.when(~is_finite(c), c)).alias(f"{prefix}_ns")]
+
+
+def money_resum(prefix: str) -> list[Column]:
+    """Second-level aggregation of ``money_sum_parts``."""
+    return [F.sum(f"{prefix}_s").alias(f"{prefix}_s"), F.sum(f"{prefix}_ns").alias(f"{prefix}_ns")]
+
+
+def money_total(prefix: str) -> Column:
+    """Final amount: exact for finite amounts; a group holding NaN or an infinity gets the
+    double-sum result (NaN / +-inf), as a plain double SUM would."""
+    s, ns = F.col(f"{prefix}_s"), F.col(f"{prefix}_ns")
+    return F.when(ns.isNull(), s.cast("double")) \
+        .otherwise(ns + F.coalesce(s, F.lit(0)).cast("double"))
+
+
 def to_wall_clock(ts: str | Column) -> Column:
     """Instant -> UTC wall-clock value (``timestamp_ntz``) for export to zone-less engines."""
     return _c(ts).cast("timestamp_ntz")

@@ -114,3 +114,16 @@ def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
     parents = parent.select(F.col(parent_col).alias("__pk"))
     return (child.filter(F.col(child_col).isNotNull())
             .join(parents, F.col(child_col) == F.col("__pk"), "left_anti"))
+
+
+def orphan_count(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+    """Number of child rows without parent, as one row ``violations``.
+
+    Child rows are first counted per key (partial aggregation: a key holding a third of
+    all rows is one row per map task), so the anti join shuffles distinct keys only.
+    """
+    per_key = (child.filter(F.col(child_col).isNotNull())
+               .groupBy(F.col(child_col).alias("__fk")).agg(F.count(F.lit(1)).alias("__n")))
+    parents = parent.select(F.col(parent_col).alias("__pk"))
+    missing = per_key.join(parents, F.col("__fk") == F.col("__pk"), "left_anti")
+    return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))

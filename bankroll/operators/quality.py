@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import buckets as B
 from ..model import (AMOUNT_MAX, AMOUNT_MIN, DOMAINS, FOREIGN_KEYS, MANAGER_SHARE, PRIMARY_KEYS,
                      SCHEMAS, TARGET_WEIGHTS)
-from ..operators.joins import bounded_broadcast, orphans
+from ..operators.joins import bounded_broadcast, orphan_count
 
 Tables = Mapping[str, DataFrame]
 
@@ -58,8 +59,7 @@ def qc3_foreign_keys(t: Tables) -> DataFrame:
     """QC3: child rows whose non-null foreign key has no parent (J7 anti joins)."""
     parts = []
     for child, ccol, parent, pcol in FOREIGN_KEYS:
-        n = orphans(t[child].select(ccol), ccol, t[parent].select(pcol), pcol) \
-            .agg(F.count(F.lit(1)).alias("violations"))
+        n = orphan_count(t[child].select(ccol), ccol, t[parent].select(pcol), pcol)
         parts.append(n.select(F.lit("QC3").alias("rule"), F.lit(child).alias("tbl"),
                               F.lit(f"{ccol}->{parent}.{pcol}").alias("item"), "violations"))
     return _union(parts)
@@ -113,11 +113,12 @@ def qc6_closed_at(t: Tables) -> DataFrame:
 
 
 def qc7_amounts(t: Tables) -> DataFrame:
-    """QC7: amount outside [1, 150000] or with more than two decimals."""
+    """QC7: amount outside [1, 150000] or with more than two decimals (a NaN or infinite
+    amount breaks both)."""
     a = F.col("amount")
     return _counts_to_rows(t["transaction"], "QC7", "transaction", {
         "amount_range": (a < AMOUNT_MIN) | (a > AMOUNT_MAX),
-        "amount_two_decimals": a.cast("decimal(18,2)").cast("double") != a,
+        "amount_two_decimals": ~B.is_finite(a) | (a.cast("decimal(18,2)").cast("double") != a),
     })
 
 

@@ -68,20 +68,20 @@ from bk_txn""",
     "q2": """
 select strftime(txn_time, '%Y%m%d%H%M') as txn_minute, txn_time, txn_id, account_id, currency,
        amount, channel, status
-from bk_txn where amount > 10000""",
+from bk_txn where amount > 10000 and not isnan(amount)""",
     "q3": """
 select time_bucket(interval 1 hour, t.txn_time) as window_start,
        time_bucket(interval 1 hour, t.txn_time) + interval 1 hour as window_end,
        b.city, count(t.txn_id) as txn_count
 from bk_txn t join bk_account a on t.account_id = a.account_id
      join bk_branch b on a.branch_id = b.branch_id
-where t.amount > 50000
+where t.amount > 50000 and not isnan(t.amount)
 group by 1, 2, 3""",
     "q3r": """
 select strftime(t.txn_time, '%Y%m%d%H') as bucket_hour, b.city, t.account_id, t.txn_id, t.amount
 from bk_txn t join bk_account a on t.account_id = a.account_id
      join bk_branch b on a.branch_id = b.branch_id
-where t.amount > 50000""",
+where t.amount > 50000 and not isnan(t.amount)""",
     "q4": f"""
 select e.emp_id as employee_id, {_QUARTER.format(t='t.txn_time')} as "quarter", t.txn_time,
        t.txn_id, t.account_id, t.currency, t.amount, b.branch_name
@@ -182,7 +182,8 @@ def qc_sql(name: str) -> str:
         parts.append("select 'QC7' as rule, 'transaction' as tbl, 'amount_range' as item, "
                      "count(*) filter (where amount < 1.0 or amount > 150000.0) as violations from bk_txn")
         parts.append("select 'QC7' as rule, 'transaction' as tbl, 'amount_two_decimals' as item, "
-                     "count(*) filter (where cast(cast(amount as decimal(18,2)) as double) <> amount) "
+                     "count(*) filter (where case when not isfinite(amount) then true "
+                     "else cast(cast(amount as decimal(18,2)) as double) <> amount end) "
                      "as violations from bk_txn")
     elif name == "qc8":
         from ..model import TARGET_WEIGHTS

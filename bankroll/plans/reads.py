@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import buckets as B
+from ..operators.joins import bounded_broadcast
 
 
 def _ts(x: datetime | str):
@@ -85,8 +86,8 @@ def r4_employee_quarter(q4: DataFrame, employee_id, quarter: str) -> DataFrame:
 def r4m_manager_quarter(q4: DataFrame, employee: DataFrame, manager_id, quarter: str) -> DataFrame:
     """R4M: withdrawals in ``quarter`` approved by the direct reports of ``manager_id``
     (J6: semi join against the manager's reports)."""
-    reports = employee.filter(F.col("manager_id") == manager_id) \
-        .select(F.col("emp_id").alias("employee_id"))
+    reports, _ = bounded_broadcast(employee.filter(F.col("manager_id") == manager_id)
+                                   .select(F.col("emp_id").alias("employee_id")))
     return q4.filter(F.col("quarter") == quarter).join(reports, "employee_id", "left_semi")
 
 

@@ -49,7 +49,7 @@ def q1_transactions_by_account(t: Tables) -> DataFrame:
 def q2_high_value_by_minute(t: Tables, threshold: float = HIGH_VALUE) -> DataFrame:
     """Q2: transactions with amount strictly above ``threshold``, minute key."""
     x = t["transaction"]
-    return x.filter(F.col("amount") > threshold).select(
+    return x.filter(B.above("amount", threshold)).select(
         B.minute_bucket("txn_time").alias("txn_minute"),
         "txn_time", "txn_id", "account_id", "currency", "amount", "channel", "status",
     )
@@ -66,7 +66,7 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
                           window: str = WINDOW) -> DataFrame:
     """Q3: per tumbling event-time window and city, count of transactions above
     ``threshold`` (inner joins transaction -> account -> branch; status not filtered)."""
-    hv = t["transaction"].filter(F.col("amount") > threshold) \
+    hv = t["transaction"].filter(B.above("amount", threshold)) \
         .select("account_id", "txn_id", F.window("txn_time", window).alias("w"))
     cities, small = bounded_broadcast(account_city(t))
     if small or hv.isStreaming:  # one aggregation after the join (a stream allows only one)
@@ -83,7 +83,7 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
 def q3r_high_value_rows_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
                                 split_hot: bool | None = None) -> DataFrame:
     """Q3R: the single high-value transactions behind Q3, with hour key and city."""
-    x = t["transaction"].filter(F.col("amount") > threshold) \
+    x = t["transaction"].filter(B.above("amount", threshold)) \
         .select("txn_id", "account_id", "amount", "txn_time")
     joined = lookup_join(x, account_city(t), "account_id", split_hot=split_hot)
     return joined.select(
@@ -116,14 +116,16 @@ def q5a_active_accounts(t: Tables) -> DataFrame:
 
 def q5b_customer_quarter_total(t: Tables) -> DataFrame:
     """Sum of amounts per customer and quarter (every type, status and currency)."""
-    x = t["transaction"].select("account_id", B.quarter_label("txn_time").alias("quarter"),
-                                B.money("amount").alias("amount"))
+    x = t["transaction"].select("account_id", B.quarter_label("txn_time").alias("quarter"), "amount")
     owners, small = bounded_broadcast(t["account"].select("account_id", "customer_id"))
-    if not small and not x.isStreaming:  # reduce per (account, quarter) before the shuffle join
-        x = x.groupBy("account_id", "quarter").agg(F.sum("amount").alias("amount"))
-    return (x.join(owners, "account_id")
-            .groupBy("customer_id", "quarter")
-            .agg(F.sum("amount").cast("double").alias("amount")))
+    if small or x.isStreaming:
+        grouped = x.join(owners, "account_id").groupBy("customer_id", "quarter") \
+            .agg(*B.money_sum_parts("amount", "amt"))
+    else:  # reduce per (account, quarter) before the shuffle join
+        per_account = x.groupBy("account_id", "quarter").agg(*B.money_sum_parts("amount", "amt"))
+        grouped = per_account.join(owners, "account_id").groupBy("customer_id", "quarter") \
+            .agg(*B.money_resum("amt"))
+    return grouped.select("customer_id", "quarter", B.money_total("amt").alias("amount"))
 
 
 def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
@@ -141,20 +143,18 @@ def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
 def q6_branch_daily(t: Tables) -> DataFrame:
     """Q6: per branch and UTC date, total and count of approved transactions."""
     x = (t["transaction"].filter(F.col("status") == "approved")
-         .select("account_id", B.to_day("txn_time").alias("txn_date"),
-                 B.money("amount").alias("total"), F.lit(1).cast("bigint").alias("n")))
+         .select("account_id", B.to_day("txn_time").alias("txn_date"), "amount"))
     branches, small = bounded_broadcast(t["account"].select("account_id", "branch_id"))
-    if not small and not x.isStreaming:  # reduce per (account, date) before the shuffle join
-        x = x.groupBy("account_id", "txn_date").agg(F.sum("total").alias("total"),
-                                                     F.sum("n").alias("n"))
-    return (
-        x.join(branches, "account_id")
-        .groupBy("branch_id", "txn_date")
-        .agg(F.sum("total").cast("double").alias("total_amount"),
-             F.sum("n").alias("count_txn"))
-        .select("branch_id", B.year_text("txn_date").alias("txn_year"), "txn_date",
-                "total_amount", "count_txn")
-    )
+    if small or x.isStreaming:
+        grouped = x.join(branches, "account_id").groupBy("branch_id", "txn_date") \
+            .agg(*B.money_sum_parts("amount", "amt"), F.count(F.lit(1)).alias("count_txn"))
+    else:  # reduce per (account, date) before the shuffle join
+        per_account = x.groupBy("account_id", "txn_date") \
+            .agg(*B.money_sum_parts("amount", "amt"), F.count(F.lit(1)).alias("n"))
+        grouped = per_account.join(branches, "account_id").groupBy("branch_id", "txn_date") \
+            .agg(*B.money_resum("amt"), F.sum("n").alias("count_txn"))
+    return grouped.select("branch_id", B.year_text("txn_date").alias("txn_year"), "txn_date",
+                          B.money_total("amt").alias("total_amount"), "count_txn")
 
 
 def d6_active_account_events(t: Tables) -> DataFrame:

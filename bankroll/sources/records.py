@@ -103,6 +103,8 @@ def decode(raw: DataFrame, table: str, check_ids: bool = False) -> tuple[DataFra
             problems.append(F.when(src.isNull(), F.lit(f"null {f.name}")))
         if isinstance(f.dataType, (T.DateType, T.TimestampType)):
             problems.append(F.when(src.isNotNull() & out.isNull(), F.lit(f"bad time {f.name}")))
+        if isinstance(f.dataType, T.DoubleType):  # NaN / infinite amounts break the contract
+            problems.append(F.when(src.isNotNull() & ~B.is_finite(src), F.lit(f"non-finite {f.name}")))
         if check_ids and f.name in ID_COLUMNS:
             problems.append(F.when(~B.uuid_is_valid(src), F.lit(f"bad id {f.name}")))
     reason = F.concat_ws("; ", F.array_compact(F.array(*problems))) if problems else F.lit("")

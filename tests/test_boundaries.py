@@ -119,3 +119,16 @@ def test_d6_count_equals_q5a(spark):
 def test_branch_city_join_uses_current_branch_row(spark):
     t = tables(spark, [txn("t1", amount=70000)], branches=[branch("b1", "Delhi")])
     assert [r.city for r in R.q3_high_value_by_city(t).collect()] == ["Delhi"]
+
+
+def test_nan_amount_is_never_high_value_and_sums_like_double(spark):
+    nan = float("nan")
+    t = tables(spark, [txn("t1", amount=nan), txn("t2", amount=60000.0),
+                       txn("t3", amount=1.10, when="2025-02-01T00:00:00Z")])
+    assert ids(R.q2_high_value_by_minute(t)) == ["t2"]
+    assert [r.txn_count for r in R.q3_high_value_by_city(t).collect()] == [1]
+    sums = {r.txn_date.day: r.total_amount for r in R.q6_branch_daily(t).collect()}
+    import math
+    assert math.isnan(sums[15]) and sums[1] == 1.10
+    q5b = {r.quarter: r.amount for r in R.q5b_customer_quarter_total(t).collect()}
+    assert math.isnan(q5b["2025Q1"])
