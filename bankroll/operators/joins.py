@@ -98,8 +98,11 @@ def lookup_join(
     hot_keys_b, ok = bounded_broadcast(hot_keys, max_rows)
     if not ok:
         return fact.join(dim, keys, how)
-    hot_dim = dim.join(hot_keys_b, keys, "left_semi")
-    hot_rows = fact.join(hot_keys_b, keys, "left_semi").join(F.broadcast(hot_dim), keys, how)
+    # one dimension row per hot key if the key is unique -- counted, not assumed
+    hot_dim, ok = bounded_broadcast(dim.join(hot_keys_b, keys, "left_semi"), max_rows)
+    if not ok:
+        return fact.join(dim, keys, how)
+    hot_rows = fact.join(hot_keys_b, keys, "left_semi").join(hot_dim, keys, how)
     cold_rows = fact.join(hot_keys_b, keys, "left_anti").join(dim, keys, how)
     return hot_rows.unionByName(cold_rows)
 

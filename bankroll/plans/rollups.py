@@ -137,6 +137,8 @@ def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
         .filter(F.col("account_count") > min_accounts)
     totals = (q5b if q5b is not None else q5b_customer_quarter_total(t)) \
         .filter(F.col("amount") >= min_amount)
+    if not totals.isStreaming:
+        counts, _ = bounded_broadcast(counts)
     return totals.join(counts, "customer_id").select("quarter", "customer_id", "amount")
 
 
