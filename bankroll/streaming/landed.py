@@ -20,6 +20,11 @@ changelogs. For micro-batch ``N`` the ``foreachBatch`` function
    is read -- and writes ``results/<name>/batch_id=N``: one row per touched key, with
    ``deleted = true`` where the key no longer has a result.
 
+Landed transactions are partitioned by ``batch_id`` and ``txn_month``. Transactions are
+immutable events (a re-delivery repeats the event, time included), so earlier versions
+of a batch's transactions are looked up in that batch's months only; a dimension change
+revisits the full history of the accounts / employees it concerns, as it must.
+
 The read view of a result is its newest row per result key without deleted rows
 (``read_view``); after every batch it equals the batch rollup over everything landed.
 Late rows are kept (they revise their groups), as in the regular updating aggregation
@@ -170,10 +175,18 @@ class LandedRefresh:
         changed = {k: self._landed(k).filter(F.col("batch_id") == n).select(*PRIMARY_KEYS[k])
                    for k in DIMENSIONS}
         txns = self._landed("transaction").filter(F.col("batch_id") <= n)
-        new_ids = txns.filter(F.col("batch_id") == n).select("txn_id")
+        new_rows = None
+        if has("transaction"):
+            # Transactions are immutable events: a re-delivery repeats the event time, so
+            # earlier versions of this batch's transactions sit in the same months.
+            this_batch = txns.filter(F.col("batch_id") == n)
+            months = [r[0] for r in this_batch.select("txn_month").distinct().collect()]
+            new_rows = (txns.filter(F.col("txn_month").isin(months))
+                        .join(this_batch.select("txn_id"), "txn_id", "left_semi"))
 
         # accounts / employees whose own row or whose branch row changed in this batch;
-        # a batch without dimension rows (the common case) skips these history lookups
+        # their transactions' whole history is revisited (a batch without dimension rows,
+        # the common case, skips this)
         dim_rows = {k: has(k) for k in ("account", "branch", "employee")}
         moved_branch = changed["branch"]
         by_account = by_employee = None
@@ -181,26 +194,26 @@ class LandedRefresh:
             acct_touch = _union([changed["account"]] + [
                 s["account"].join(moved_branch, "branch_id", "left_semi").select("account_id")
                 for s in (before, after)])
-            by_account = txns.join(acct_touch, "account_id", "left_semi").select("txn_id")
+            by_account = txns.join(acct_touch, "account_id", "left_semi")
         if dim_rows["employee"] or dim_rows["branch"]:
             emp_touch = _union([changed["employee"]] + [
                 s["employee"].join(moved_branch, "branch_id", "left_semi").select("emp_id")
                 for s in (before, after)])
             by_employee = txns.join(emp_touch.withColumnRenamed("emp_id", "approved_by_emp_id"),
-                                    "approved_by_emp_id", "left_semi").select("txn_id")
+                                    "approved_by_emp_id", "left_semi")
 
         touched_out: dict[str, DataFrame] = {}
         for name in self.results:
             if name not in TXN_RESULTS:
                 continue
-            ids = [new_ids] if has("transaction") else []
+            rows = [new_rows] if new_rows is not None else []
             if "account" in DEPENDS[name] and by_account is not None:
-                ids.append(by_account)
+                rows.append(by_account)
             if "employee" in DEPENDS[name] and by_employee is not None:
-                ids.append(by_employee)
-            if not ids:  # nothing this result reads changed in this batch
+                rows.append(by_employee)
+            if not rows:  # nothing this result reads changed in this batch
                 continue
-            affected = txns.join(_union(ids), "txn_id", "left_semi")
+            affected = _union(rows)   # every version of every affected transaction
             old = self._newest(affected.filter(F.col("batch_id") < n), "transaction")
             new = self._newest(affected, "transaction")
             fn = R.ROLLUPS[name]
