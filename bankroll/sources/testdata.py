@@ -167,7 +167,7 @@ class LazyTables(dict):
         return name in self._builders
 
 
-_TABLES: dict[tuple[int, str], LazyTables] = {}
+_TABLES: dict[str, tuple[SparkSession, LazyTables]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> LazyTables:
@@ -176,10 +176,11 @@ def tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     One set per session and folder: every rollup of a refresh derives from the same
     DataFrames, so file listing and footer reads happen once.
     """
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _TABLES:
+    key = sf_dir.rstrip("/")
+    cached = _TABLES.get(key)
+    if cached is None or cached[0] is not spark:  # built for another (maybe stopped) session
         builders = {n: (lambda f=f: f(spark, sf_dir)) for n, f in (
             ("branch", branch), ("customer", customer), ("employee", employee),
             ("product", product), ("account", account), ("transaction", transaction))}
-        _TABLES[key] = LazyTables(builders)
-    return _TABLES[key]
+        _TABLES[key] = (spark, LazyTables(builders))
+    return _TABLES[key][1]
