@@ -48,22 +48,39 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def shuffle_partitions_for(input_bytes: int, slots: int) -> int:
+    """Shuffle partitions so one partition carries about 256 MB of the largest input (it
+    fits executor memory and sort buffers without heavy spill); AQE coalesces small ones
+    and splits skewed ones at run time. Never fewer than two per task slot."""
+    want = -(-input_bytes // TARGET_SHUFFLE_PARTITION_BYTES)
+    return int(max(2 * slots, min(want, MAX_SHUFFLE_PARTITIONS)))
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "bankroll",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    slots: int | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with the library settings.
 
-    ``shuffle_partitions`` defaults to 2x the local cores; on a cluster pass a value
-    sized so one shuffle partition stays around 128 MB (AQE coalesces from there).
+    Shuffle partitions: ``shuffle_partitions`` if given; else sized from ``input_bytes``
+    (the largest table a job reads) and ``slots`` (total task slots of the cluster) by
+    ``shuffle_partitions_for``; else 2x the local cores.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
+    cores = slots or os.cpu_count() or 8
     conf = dict(SESSION_CONF)
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes, cores)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 2 * cores)
     conf.update(extra_conf or {})
     for k, v in conf.items():
