@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import buckets as B
-from ..model import FIELD_ORDER, PRIMARY_KEYS, RAW_DIMENSIONS, RAW_TRANSACTION, SCHEMAS
+from ..model import FIELD_ORDER, RAW_DIMENSIONS, RAW_TRANSACTION, SCHEMAS
 
 # Topic names of the streams.
 TOPICS = {
@@ -140,7 +140,3 @@ def parse_keyed(messages: DataFrame, table: str, check_ids: bool = False
     bad = bad.select(F.to_json(F.struct(*[F.col(c) for c in FIELD_ORDER[table]]),
                                {"ignoreNullFields": "false"}).alias("value"), "reason")
     return good, bad.unionByName(not_json)
-
-
-def primary_key(table: str) -> list[str]:
-    return PRIMARY_KEYS[table]

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from bankroll.plans import rollups as R
-from fixtures import account, branch, employee, tables, txn
+from fixtures import account, branch, tables, txn
 
 
 def ids(df, col="txn_id"):

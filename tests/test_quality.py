@@ -53,3 +53,11 @@ def test_counts(spark):
     assert shares[("status", "approved")][0] == 8
     assert shares[("currency", "XYZ")] == (1, None)
     assert shares[("currency", "USD")] == (0, 0.5)
+
+
+def test_orphans_lists_rows(spark):
+    from bankroll.operators.joins import orphans
+
+    t = tables(spark)
+    rows = orphans(t["transaction"], "account_id", t["account"], "account_id").select("txn_id").collect()
+    assert sorted(r.txn_id for r in rows) == ["t2", "t3", "t4"]
