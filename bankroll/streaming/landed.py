@@ -253,40 +253,32 @@ class LandedRefresh:
 
     # ------------------------------------------------------------------ helpers
     def _scope(self, name: str, txns: DataFrame, touched: DataFrame, after: dict) -> DataFrame:
-        """Newest versions of every transaction that can contribute to a touched group:
-        candidates are the versions inside the touched buckets (and, for Q5b/Q6, of the
-        accounts behind the touched customers/branches); their newest versions are
-        taken, then kept only if still inside a touched bucket."""
-        if name == "q3":
-            with_key = txns.withColumn("window_start", F.window("txn_time", WINDOW).start)
-            pairs = touched.select("window_start").distinct()
-            on = ["window_start"]
-        elif name == "q5b":
-            with_key = txns.withColumn("quarter", B.quarter_label("txn_time"))
-            pairs = touched.join(after["account"].select("account_id", "customer_id"), "customer_id") \
-                .select("account_id", "quarter").distinct()
-            on = ["account_id", "quarter"]
-        elif name == "q6":
-            with_key = txns.withColumn("txn_date", B.to_day("txn_time"))
-            pairs = touched.join(after["account"].select("account_id", "branch_id"), "branch_id") \
-                .select("account_id", "txn_date").distinct()
-            on = ["account_id", "txn_date"]
-        else:
-            raise ValueError(name)
+        """Newest versions of every transaction that can contribute to a touched group.
+
+        Candidates are the landed versions whose time bucket is touched (Q3: window,
+        Q5b: quarter, Q6: date) and, for Q5b / Q6, whose account belongs (after the batch)
+        to a touched customer / branch -- two independent semi joins, never a product of
+        buckets and accounts. Their newest versions are kept if still in a touched bucket.
+        """
+        bucket_of = {"q3": lambda: F.window("txn_time", WINDOW).start,
+                     "q5b": lambda: B.quarter_label("txn_time"),
+                     "q6": lambda: B.to_day("txn_time")}
+        bucket = {"q3": "window_start", "q5b": "quarter", "q6": "txn_date"}[name]
+        buckets = touched.select(bucket).distinct()
         # the touched months (a calendar-bounded handful) prune the landed month partitions
-        months = [r[0] for r in self._months(name, pairs).collect()]
-        with_key = with_key.filter(F.col("txn_month").isin(months))
-        cand = with_key.join(pairs, on, "left_semi").select("txn_id")
-        newest = self._newest(txns.join(cand, "txn_id", "left_semi"), "transaction")
-        keyed = newest.withColumn("__k", F.lit(1))
-        if name == "q3":
-            keyed = keyed.withColumn("window_start", F.window("txn_time", WINDOW).start)
-        elif name == "q5b":
-            keyed = keyed.withColumn("quarter", B.quarter_label("txn_time"))
-        else:
-            keyed = keyed.withColumn("txn_date", B.to_day("txn_time"))
-        bucket = on[-1]
-        return keyed.join(pairs.select(bucket).distinct(), bucket, "left_semi").drop("__k", bucket)
+        months = [r[0] for r in self._months(name, buckets).collect()]
+        in_months = txns.filter(F.col("txn_month").isin(months))
+        cand = in_months.withColumn(bucket, bucket_of[name]()).join(buckets, bucket, "left_semi")
+        owner = {"q5b": "customer_id", "q6": "branch_id"}.get(name)
+        if owner:
+            accounts = after["account"].join(touched.select(owner).distinct(), owner, "left_semi") \
+                .select("account_id")
+            cand = cand.join(accounts, "account_id", "left_semi")
+        # versions of one (immutable) event share its month
+        newest = self._newest(in_months.join(cand.select("txn_id"), "txn_id", "left_semi"),
+                              "transaction")
+        return (newest.withColumn(bucket, bucket_of[name]())
+                .join(buckets, bucket, "left_semi").drop(bucket))
 
     @staticmethod
     def _months(name: str, pairs: DataFrame) -> DataFrame:
@@ -304,7 +296,9 @@ class LandedRefresh:
 
     def _write(self, name: str, touched: DataFrame, result: DataFrame, n: int) -> None:
         keys = RESULT_KEYS[name]
-        present = result.join(touched, keys, "left_semi").withColumn("__present", F.lit(True))
+        # the left join from the touched keys keeps exactly those keys (result rows of
+        # other keys fall away), marking keys without a result as deleted
+        present = result.withColumn("__present", F.lit(True))
         out = (touched.join(present, keys, "left")
                .withColumn("deleted", F.col("__present").isNull()).drop("__present"))
         out.write.mode("overwrite").parquet(f"{self.result_path(name)}/batch_id={n}")
