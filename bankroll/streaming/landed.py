@@ -62,14 +62,18 @@ class LandedRefresh:
     """Keeps the maintained tables under ``root`` fresh from one tagged stream."""
 
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 results: tuple[str, ...] = ALL_RESULTS):
+                 results: tuple[str, ...] = ALL_RESULTS, snapshot_every: int = 20):
         """``root`` holds landed data, results and (by default) the stream checkpoint; it
         defaults to ``<spark.checkpoint.dir>/bankroll/landed`` -- a shared folder on a
-        cluster -- and stays the same across restarts."""
+        cluster -- and stays the same across restarts. Every ``snapshot_every`` batches
+        (0: never) the dimension states and result tables are snapshotted, so later
+        batches read one snapshot plus the newer batch folders instead of all history."""
         self.spark = spark
         root = root or f"{checkpoint_dir(spark).rstrip('/')}/bankroll/landed"
         self.root = root.rstrip("/")
         self.results = tuple(r for r in ALL_RESULTS if r in results)
+        self.snapshot_every = snapshot_every
+        self._snaps: dict[tuple[str, str], list[int]] = {}
 
     # ------------------------------------------------------------------ storage
     def land_path(self, kind: str) -> str:
@@ -94,8 +98,62 @@ class LandedRefresh:
         out = latest_by_key(df, PRIMARY_KEYS[kind], ["batch_id", "seq"]).drop("batch_id", "seq")
         return out.drop("txn_month") if "txn_month" in out.columns else out
 
+    # ------------------------------------------------------------------ snapshots
+    def _snap_path(self, area: str, name: str) -> str:
+        return f"{self.root}/snap/{area}/{name}"
+
+    def _snapshots(self, area: str, name: str) -> list[int]:
+        """Committed snapshot batches of ``area/name`` (read once, then kept in memory:
+        this object is the only writer)."""
+        key = (area, name)
+        if key not in self._snaps:
+            marks = f"{self._snap_path(area, name)}/marks"
+            self._snaps[key] = sorted(
+                int(r[0]) for r in self.spark.read.parquet(marks).select("m").collect()
+            ) if self._exists(marks) else []
+        return self._snaps[key]
+
+    def _snapshot_at(self, area: str, name: str, upto: int) -> int | None:
+        """Newest committed snapshot of ``area/name`` covering batches <= ``upto``."""
+        done = [m for m in self._snapshots(area, name) if m <= upto]
+        return done[-1] if done else None
+
+    def _with_snapshot(self, area: str, name: str, rows: DataFrame, upto: int) -> DataFrame:
+        """Versioned rows of ``area/name`` as of batch ``upto``: the newest snapshot plus
+        the batch folders after it (all batch folders when there is no snapshot)."""
+        m = self._snapshot_at(area, name, upto)
+        rows = rows.filter(F.col("batch_id") <= upto)
+        if m is None:
+            return rows
+        snap = self.spark.read.schema(rows.schema).parquet(f"{self._snap_path(area, name)}/upto={m}")
+        return snap.unionByName(rows.filter(F.col("batch_id") > m))
+
+    def snapshot(self, upto: int) -> None:
+        """Write the newest version per key of every dimension and result as of batch
+        ``upto`` (a batch before the running one, so a replay of the running batch still
+        finds its before-state), then its commit mark."""
+        for kind in DIMENSIONS:
+            rows = self._with_snapshot("land", kind, self._landed(kind), upto)
+            snap = latest_by_key(rows, PRIMARY_KEYS[kind], ["batch_id", "seq"])
+            self._write_snapshot("land", kind, snap, upto)
+        for name in self.results:
+            if self._has_results(name):
+                rows = self._with_snapshot("results", name, self._results(name), upto)
+                snap = latest_by_key(rows, RESULT_KEYS[name], "batch_id", drop_deleted="deleted") \
+                    .withColumn("deleted", F.lit(False))
+                self._write_snapshot("results", name, snap.select(*rows.columns), upto)
+
+    def _write_snapshot(self, area: str, name: str, df: DataFrame, upto: int) -> None:
+        base = self._snap_path(area, name)
+        df.write.mode("overwrite").parquet(f"{base}/upto={upto}")
+        # commit mark, written after the snapshot is complete
+        self.spark.createDataFrame([(upto,)], "m long").write.mode("overwrite") \
+            .parquet(f"{base}/marks/upto={upto}")
+        self._snaps.setdefault((area, name), [])
+        self._snaps[(area, name)] = sorted(set(self._snaps[(area, name)]) | {upto})
+
     def _state(self, kind: str, upto: int) -> DataFrame:
-        return self._newest(self._landed(kind).filter(F.col("batch_id") <= upto), kind)
+        return self._newest(self._with_snapshot("land", kind, self._landed(kind), upto), kind)
 
     def _results(self, name: str) -> DataFrame:
         return (self.spark.read.parquet(self.result_path(name))
@@ -160,6 +218,8 @@ class LandedRefresh:
         finally:
             batch.unpersist()
         self.refresh(batch_id, counts)
+        if self.snapshot_every and batch_id > 0 and batch_id % self.snapshot_every == 0:
+            self.snapshot(batch_id - 1)
 
     def refresh(self, n: int, counts: dict[str, int] | None = None) -> None:
         """Bring every result up to batch ``n``. ``counts`` (rows per kind in the batch)
@@ -311,8 +371,8 @@ class LandedRefresh:
         """Current content of result ``name``: newest row per result key, deleted rows
         dropped (optionally as of batch ``upto`` and for some customers only)."""
         df = self._results(name)
-        if upto is not None:
-            df = df.filter(F.col("batch_id") <= upto)
+        upto = upto if upto is not None else (1 << 62)
+        df = self._with_snapshot("results", name, df, upto)
         if customers is not None:
             df = df.join(customers, "customer_id", "left_semi")
         keys = RESULT_KEYS[name]

@@ -111,11 +111,12 @@ def _txn(i, account="a0", amount=60000.0, ms=1736935200000, **kw):
     return r
 
 
-def test_landed_revisions_redelivery_and_versions(spark, scratch):
+@pytest.mark.parametrize("snapshot_every", [0, 1])
+def test_landed_revisions_redelivery_and_versions(spark, scratch, snapshot_every):
     src = _dims(spark, scratch)
     write_rows(src["transaction"], "t0.json", [_txn(1), _txn(2, account="a1", amount=400000.0),
                                               _txn(3, account="a9")])      # a9 not known yet
-    ref = LandedRefresh(spark, f"{scratch}/state")
+    ref = LandedRefresh(spark, f"{scratch}/state", snapshot_every=snapshot_every)
     run(ref, src, f"{scratch}/ckpt")
     assert sorted(r.txn_count for r in ref.read_view("q3").collect()) == [2]
     assert ref.read_view("q5a").first().account_count == 7
@@ -151,6 +152,13 @@ def test_landed_revisions_redelivery_and_versions(spark, scratch):
     assert counts == {"c1": 4, "c2": 2}
     # Q5 with its default bounds: c1 has 4 active accounts -> nothing
     assert ref.read_view("q5").count() == 0
+    # a restarted process reads the same state (snapshots and marks from storage)
+    again = LandedRefresh(spark, f"{scratch}/state", snapshot_every=snapshot_every)
+    for name in ("q5b", "q3", "q5a"):
+        assert sorted(map(tuple, again.read_view(name).collect())) == \
+            sorted(map(tuple, ref.read_view(name).collect()))
+    if snapshot_every:
+        assert again._snapshots("results", "q5b") == [0, 1]
 
 
 def test_landed_replay_is_idempotent(spark, base, scratch):
