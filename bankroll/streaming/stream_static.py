@@ -10,10 +10,11 @@ What this mode does not do, by construction: it never revises results when a dim
 row changes, and a transaction whose account is not yet known is dropped by the inner
 join instead of waiting (use ``landed.LandedRefresh`` for both).
 
-Options: ``watermark`` (T1) bounds the state of windowed aggregations (Q3); with
-``drop_late`` the rows older than the watermark are dropped (T4, off by default, as late
-rows count in the reference's updating aggregation); ``dedupe`` drops re-delivered
-transactions inside the watermark (T9, off by default: the SQL does not dedupe).
+Options: with ``drop_late`` the event-time watermark (T1, ``txn_time - watermark``) is
+applied, so rows older than it are dropped and the state of the windowed aggregation (Q3)
+is evicted (T4); ``dedupe`` drops re-delivered transactions inside the watermark (T9).
+Both are off by default, as in the reference's SQL: every late row counts and the state
+of every group is kept (T3).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from ..model import RESULT_KEYS, WATERMARK_DELAY
 from ..operators.compaction import latest_by_key
 from ..plans import rollups as R
 from ..session import checkpoint_dir
-from .sources import typed_transactions
+from .sources import typed_transactions, with_watermark
 
 APPEND_ONLY = ("q1", "q2", "q3r", "q4")
 AGGREGATES = ("q3", "q5b", "q6")
@@ -37,7 +38,7 @@ def rollup_stream(name: str, wire_txns: DataFrame, dims: dict[str, DataFrame],
     """Streaming DataFrame of result ``name`` over a wire transaction stream."""
     x = typed_transactions(wire_txns)
     if watermark and (drop_late or dedupe):
-        x = x.withWatermark("txn_time", watermark)
+        x = with_watermark(x, watermark)
     if dedupe:
         x = x.dropDuplicatesWithinWatermark(["txn_id"])
     return R.ROLLUPS[name]({"transaction": x, **dims})
