@@ -3,8 +3,8 @@
 Policy
 ------
 * A side is broadcast only after its row count is *counted* to be at or below a bound
-  (``bounded_broadcast``). The count runs ``limit(bound + 1).count()``, so it never reads
-  more than ``bound + 1`` rows per partition and stops there.
+  (``bounded_broadcast``). The count runs ``limit(bound + 1).count()``: each partition
+  stops after ``bound + 1`` rows, so checking a large side costs little.
 * Beyond the bound the join is a shuffle (sort-merge) join. Spark's adaptive execution
   splits a skewed join partition into several tasks; ``lookup_join(..., split_hot=True)``
   additionally routes the rows of hot keys through a broadcast of their (few) dimension
