@@ -160,16 +160,17 @@ class LandedRefresh:
                 .withColumn("batch_id", F.col("batch_id").cast("long")))
 
     # ------------------------------------------------------------------ stream wiring
-    def stream(self, sources: dict[str, str], fmt: str = "json",
+    def stream(self, sources: dict[str, str | DataFrame], fmt: str = "json",
                max_files_per_trigger: int | None = None) -> DataFrame:
-        """The tagged union of the source folders (``kind -> folder``)."""
-        streams = {k: read_stream(self.spark, p, k, fmt, max_files_per_trigger)
-                   for k, p in sources.items()}
+        """The tagged union of the sources: ``kind -> folder`` of wire records, or
+        ``kind -> streaming DataFrame`` already in wire form (e.g. ``Synth.transaction_stream``)."""
+        streams = {k: (read_stream(self.spark, p, k, fmt, max_files_per_trigger)
+                       if isinstance(p, str) else p) for k, p in sources.items()}
         return tagged_union(streams)
 
-    def start(self, sources: dict[str, str], checkpoint: str | None = None, fmt: str = "json",
-              max_files_per_trigger: int | None = None, available_now: bool = False,
-              processing_time: str | None = None):
+    def start(self, sources: dict[str, str | DataFrame], checkpoint: str | None = None,
+              fmt: str = "json", max_files_per_trigger: int | None = None,
+              available_now: bool = False, processing_time: str | None = None):
         checkpoint = checkpoint or f"{self.root}/_checkpoint"
         w = (self.stream(sources, fmt, max_files_per_trigger).writeStream
              .foreachBatch(self.process_batch).option("checkpointLocation", checkpoint))
