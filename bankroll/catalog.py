@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .functions import buckets as B
 from .functions.buckets import to_wall_clock
-from .model import AMOUNT_MAX, AMOUNT_MIN
+from .model import AMOUNT_MAX, AMOUNT_MIN, Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT
 from .operators import quality as Q
 from .operators.compaction import latest_by_key
 from .plans import oracle_sql as O
@@ -76,7 +76,7 @@ def _rollup(name: str, fn: Callable, **kw) -> None:
 for _name in ("q1", "q2", "q3", "q3r", "q4", "q5a", "q5b", "q6", "d6"):
     _rollup(_name, R.ROLLUPS[_name])
 
-register("q5", O.with_mapping(O.q5_sql(5, 1_000_000),
+register("q5", O.with_mapping(O.q5_sql(Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT),
                               {"q5a": O.ROLLUP_SQL["q5a"], "q5b": O.ROLLUP_SQL["q5b"]}))(
     lambda spark, sf_dir: R.q5_high_value_customers(_t(spark, sf_dir)))
 
