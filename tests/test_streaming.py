@@ -233,3 +233,25 @@ def test_stream_static_dedupe_option(spark, scratch):
     q.awaitTermination(600)
     row = stream_static.read_view(spark, "q6", out).first()
     assert (row.count_txn, row.total_amount) == (2, 105.0)
+
+
+def test_latest_by_key_on_a_stream(spark, scratch):
+    """T7 on a stream: the compacted view of a changelog, kept by a streaming aggregation."""
+    from bankroll.operators.compaction import latest_by_key
+    from bankroll.streaming.sources import read_stream
+
+    src = f"{scratch}/branch"
+    write_rows(src, "0.json", [{"branch_id": "b1", "branch_name": "P", "city": "Pune", "region": "W", "seq": 1},
+                               {"branch_id": "b2", "branch_name": "D", "city": "Delhi", "region": "N", "seq": 1}])
+    write_rows(src, "1.json", [{"branch_id": "b1", "branch_name": "P", "city": "Mumbai", "region": "W", "seq": 2}])
+    out = f"{scratch}/out"
+
+    def write(df, batch_id):
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    view = latest_by_key(read_stream(spark, src, "branch", max_files_per_trigger=1), "branch_id", "seq")
+    q = (view.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = latest_by_key(spark.read.parquet(out), "branch_id", "batch_id")
+    assert sorted((r.branch_id, r.city) for r in got.collect()) == [("b1", "Mumbai"), ("b2", "Delhi")]
