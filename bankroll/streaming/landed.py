@@ -203,8 +203,12 @@ class LandedRefresh:
             good, bad = decode(rows, kind)
             w = good.write.mode("overwrite")
             if kind == "transaction":  # month partitions let recomputes read touched months only
-                w = good.withColumn("txn_month", F.date_format("txn_time", "yyyyMM")) \
-                    .write.mode("overwrite").partitionBy("txn_month")
+                # range-partitioned on (month, id): each task writes a contiguous slice (few
+                # files), and a hot month -- usually the current one -- spreads over tasks
+                slots = self.spark.sparkContext.defaultParallelism
+                w = (good.withColumn("txn_month", F.date_format("txn_time", "yyyyMM"))
+                     .repartitionByRange(slots, "txn_month", "txn_id")
+                     .write.mode("overwrite").partitionBy("txn_month"))
             w.parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
             if present:
                 bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{kind}/batch_id={batch_id}")
