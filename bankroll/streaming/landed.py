@@ -283,10 +283,14 @@ class LandedRefresh:
             new = self._newest(affected, "transaction")
             fn = R.ROLLUPS[name]
             keys = RESULT_KEYS[name]
+            new_result = fn({"transaction": new, **after})
             touched = (fn({"transaction": old, **before}).select(*keys)
-                       .unionByName(fn({"transaction": new, **after}).select(*keys)).distinct())
-            scope = new if name in ("q1", "q2", "q3r", "q4") else self._scope(name, txns, touched, after)
-            self._write(name, touched, fn({"transaction": scope, **after}), n)
+                       .unionByName(new_result.select(*keys)).distinct())
+            if name in ("q1", "q2", "q3r", "q4"):  # row results: a key depends on its row only
+                result = new_result
+            else:
+                result = fn({"transaction": self._scope(name, txns, touched, after), **after})
+            self._write(name, touched, result, n)
             touched_out[name] = touched
 
         if "q5a" in self.results and has("account"):
