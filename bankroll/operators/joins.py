@@ -6,9 +6,9 @@ Policy
   (``bounded_broadcast``). The count runs ``limit(bound + 1).count()``: each partition
   stops after ``bound + 1`` rows, so checking a large side costs little.
 * Beyond the bound the join is a shuffle (sort-merge) join. Spark's adaptive execution
-  splits a skewed join partition into several tasks; ``lookup_join(..., split_hot=True)``
-  additionally routes the rows of hot keys through a broadcast of their (few) dimension
-  rows, so one key holding a third of all rows never lands in one task.
+  splits a skewed join partition into several tasks; ``lookup_join`` additionally salts
+  the hot keys (rows spread over ``salts`` join keys, their dimension rows repeated), so
+  one key holding a third of all rows never lands in one task.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 CONF_MAX_BROADCAST_ROWS = "bankroll.broadcast.maxRows"
 CONF_HOT_KEY_ROWS = "bankroll.skew.hotKeyRows"
 DEFAULT_HOT_KEY_ROWS = 5_000_000
+DEFAULT_SALTS = 32
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
@@ -72,15 +73,18 @@ def lookup_join(
     max_rows: int | None = None,
     split_hot: bool | None = None,
     hot_key_rows: int | None = None,
+    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
-    """N:1 equi-join of a fact table to a dimension keyed by ``on``.
+    """N:1 equi-join of a fact table to a dimension keyed by ``on`` (inner or left).
 
     Broadcast when the dimension is counted small; otherwise shuffle join. With
     ``split_hot`` (default: on for batch inputs once the dimension is too large to
     broadcast) the fact keys holding more than ``hot_key_rows`` rows are found first
-    (a partially aggregated count, so the hot key itself is combined map-side); their
-    dimension rows are at most ``rows / hot_key_rows`` and are broadcast, the remaining
-    rows take the shuffle join. The result is the same multiset of rows either way.
+    (a partially aggregated count, so the hot key itself is combined map-side; their
+    number is at most ``rows / hot_key_rows`` and is counted before broadcasting). Rows
+    of hot keys get a salt in ``[0, salts)`` from a hash of the row, the dimension rows
+    of hot keys are repeated once per salt, and one shuffle join on ``(key, salt)``
+    spreads every hot key over ``salts`` tasks. The result is the same multiset of rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
     small, is_small = bounded_broadcast(dim, max_rows)
@@ -93,18 +97,20 @@ def lookup_join(
 
     spark = fact.sparkSession
     threshold = hot_key_rows or int(spark.conf.get(CONF_HOT_KEY_ROWS, str(DEFAULT_HOT_KEY_ROWS)))
-    hot_keys = (fact.groupBy(*keys).count().filter(F.col("count") > threshold).select(*keys))
-    # hot key count <= total rows / threshold; still checked before broadcasting.
-    hot_keys_b, ok = bounded_broadcast(hot_keys, max_rows)
+    hot_keys = fact.groupBy(*keys).count().filter(F.col("count") > threshold).select(*keys)
+    hot_b, ok = bounded_broadcast(hot_keys.withColumn("__hot", F.lit(True)), max_rows)
     if not ok:
         return fact.join(dim, keys, how)
-    # one dimension row per hot key if the key is unique -- counted, not assumed
-    hot_dim, ok = bounded_broadcast(dim.join(hot_keys_b, keys, "left_semi"), max_rows)
-    if not ok:
-        return fact.join(dim, keys, how)
-    hot_rows = fact.join(hot_keys_b, keys, "left_semi").join(hot_dim, keys, how)
-    cold_rows = fact.join(hot_keys_b, keys, "left_anti").join(dim, keys, how)
-    return hot_rows.unionByName(cold_rows)
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    fact_s = (fact.join(hot_b, keys, "left")
+              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)))
+                          .otherwise(F.lit(0)).cast("int"))
+              .drop("__hot"))
+    dim_s = (dim.join(hot_b, keys, "left")
+             .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                             .otherwise(F.array(F.lit(0)))))
+             .drop("__hot"))
+    return fact_s.join(dim_s, keys + ["__salt"], how).drop("__salt")
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -51,9 +51,16 @@ def test_hot_key_split_routes_hot_rows(spark):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
         F.col("id").alias("v"))
     dim = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
-    out = joins.lookup_join(fact, dim, "k", max_rows=10, split_hot=True, hot_key_rows=100)
+    out = joins.lookup_join(fact, dim, "k", max_rows=10, split_hot=True, hot_key_rows=100, salts=8)
     assert out.count() == 3000
     assert out.filter(F.col("k") == 7).count() == 1001  # every third id, plus id 7
     assert out.filter(F.col("d") != F.col("k") * 10).count() == 0
+    assert sorted(out.columns) == ["d", "k", "v"]
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "__salt" in plan
+    # the hot key's rows are spread over all salts
+    fact_s = fact.withColumn("__salt", F.pmod(F.xxhash64("k", "v"), F.lit(8)))
+    assert fact_s.filter(F.col("k") == 7).select("__salt").distinct().count() == 8
+    left = joins.lookup_join(fact, dim.filter(F.col("k") != 7), "k", how="left", max_rows=10,
+                             split_hot=True, hot_key_rows=100, salts=8)
+    assert left.count() == 3000 and left.filter(F.col("d").isNull()).count() == 1001
