@@ -56,6 +56,27 @@ def r2m_minute_range(q2: DataFrame, minute_from: str, minute_to: str) -> DataFra
     return q2.filter(pred)
 
 
+def minute_keys(spark, minute_from: str, minute_to: str) -> DataFrame:
+    """The consecutive ``yyyyMMddHHmm`` minute keys from ``minute_from`` to ``minute_to``
+    (inclusive), generated by ``sequence`` -- the key list of a per-minute partition read."""
+    t0 = F.to_timestamp(F.lit(minute_from), B.MINUTE_PATTERN)
+    t1 = F.to_timestamp(F.lit(minute_to), B.MINUTE_PATTERN)
+    return spark.range(1).select(
+        F.explode(F.sequence(t0, t1, F.expr("INTERVAL 1 MINUTE"))).alias("t")
+    ).select(B.minute_bucket("t").alias("txn_minute"))
+
+
+def r2m_by_keys(q2: DataFrame, minute_from: str, minute_to: str) -> DataFrame:
+    """R2M through the minute key list (the reference's "query up to 60 consecutive
+    partition keys"): a semi join with the generated keys, broadcast after its size check.
+    Same rows as ``r2m_minute_range``."""
+    keys, _ = bounded_broadcast(minute_keys(q2.sparkSession, minute_from, minute_to))
+    out = q2
+    if "txn_month" in q2.columns:
+        out = q2.filter(F.col("txn_month").between(minute_from[:6], minute_to[:6])).drop("txn_month")
+    return out.join(keys, "txn_minute", "left_semi")
+
+
 def r3_city_windows(q3: DataFrame, now: datetime | str | None = None, span: str = "24 hours",
                     start_from: datetime | str | None = None,
                     start_to: datetime | str | None = None) -> DataFrame:

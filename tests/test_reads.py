@@ -38,3 +38,15 @@ def test_r1_and_r6_are_newest_first(spark):
     r6 = [r.txn_date for r in P.r6_branch_days(R.q6_branch_daily(t), 4, "1998-01-01",
                                                "1998-12-31").collect()]
     assert r6 == sorted(r6, reverse=True) and r6
+
+
+def test_r2m_key_list_equals_range_read(spark):
+    t = testdata.tables(spark, SF_SMALL)
+    q2 = R.q2_high_value_by_minute(t)
+    keys = [r.txn_minute for r in P.minute_keys(spark, "199806151155", "199806151210").collect()]
+    assert len(keys) == 16 and keys[0] == "199806151155" and keys[-1] == "199806151210"
+    a = P.r2m_minute_range(q2, "199805010000", "199807312359")
+    b = P.r2m_by_keys(q2, "199805010000", "199807312359")
+    c1, r1 = spark_rows(a)
+    c2, r2 = spark_rows(b)
+    assert r1 and multiset(c1, r1) == multiset(c2, r2)
