@@ -378,7 +378,12 @@ class LandedRefresh:
     def read_view(self, name: str, upto: int | None = None,
                   customers: DataFrame | None = None) -> DataFrame:
         """Current content of result ``name``: newest row per result key, deleted rows
-        dropped (optionally as of batch ``upto`` and for some customers only)."""
+        dropped (optionally as of batch ``upto`` and for some customers only). Before the
+        first write of ``name`` this is an empty table with the result's schema."""
+        if not self._has_results(name):
+            empty = {k: self.spark.createDataFrame([], SCHEMAS[k])
+                     for k in ("transaction", "account", "branch", "employee")}
+            return R.ROLLUPS[name](empty)
         df = self._results(name)
         upto = upto if upto is not None else (1 << 62)
         df = self._with_snapshot("results", name, df, upto)

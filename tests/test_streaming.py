@@ -255,3 +255,10 @@ def test_latest_by_key_on_a_stream(spark, scratch):
     q.awaitTermination(600)
     got = latest_by_key(spark.read.parquet(out), "branch_id", "batch_id")
     assert sorted((r.branch_id, r.city) for r in got.collect()) == [("b1", "Mumbai"), ("b2", "Delhi")]
+
+
+def test_read_view_before_first_write_is_empty(spark, scratch):
+    ref = LandedRefresh(spark, f"{scratch}/state")
+    v = ref.read_view("q6")
+    assert v.count() == 0
+    assert v.columns == ["branch_id", "txn_year", "txn_date", "total_amount", "count_txn"]
