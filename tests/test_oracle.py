@@ -7,8 +7,9 @@ import __spark_entry__ as E
 from helpers import assert_same
 from conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+from bankroll.catalog import ORACLE_SQL as ORACLE, QUERIES
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
