@@ -12,6 +12,12 @@ with m = 14, K = 4 at s = 0.75 this is 2e-5, and 1e-7 at 0.85. Candidates pass a
 a count of equal minhashes (a link at s = 0.75 fails it with a probability of about
 5e-4, at 0.8 of 1e-5); every link is confirmed on the full shingle sets.
 
+Pairs of different components (below) also pass a sketch made in one permutation: of each
+256th part of the hash range the least member. The share of equal ones among the parts that
+either set occupies estimates the similarity; a pair fails four standard deviations below
+0.75 (a probability below 4e-5 for a link). It keeps families that share much text, but
+less than 0.75, from being listed pair by pair.
+
 Documents with equal shingle sets are one class from the start. Links are sought in two
 rounds: each table's members against its least one, then every pair of a table whose
 members the first round left in different components. So the pairs inside a large group of
@@ -41,7 +47,8 @@ SIGNATURE = 2 * ELEMENTS * HASHES
 LEAST_EQUAL = 31         # of the 56 minhashes; expected 42 at a similarity of 0.75
 GROUP_ROWS = 4096        # a larger group of one left element is handled in blocks
 CELL_ROWS = 50_000       # rows of left groups in one task
-CELL_SHINGLES = 16 << 20  # shingles of one verifying task
+CELL_SHINGLES = 2 << 20   # shingles of one verifying task
+BINS = 256               # of the one-permutation sketch
 _rng = np.random.default_rng(20240)
 _XOR = _rng.integers(0, 1 << 64, SIGNATURE, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 64, SIGNATURE, dtype=np.uint64) | np.uint64(1)
@@ -70,6 +77,25 @@ def signatures(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sketches(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """A byte of the least hash in each part of the hash range [set, BINS]; 0: none there.
+    The hashes of a set are sorted, so the first one of a part is its least."""
+    part = (hashes >> np.uint64(56)).astype(np.int64)
+    owner = np.repeat(np.arange(len(own) - 1), np.diff(own))
+    least = np.ones(len(hashes), bool)
+    least[1:] = (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])
+    out = np.zeros((len(own) - 1, BINS), np.uint8)
+    out[owner[least], part[least]] = hashes[least] % np.uint64(255) + np.uint64(1)
+    return out
+
+
+def _alike(sketch: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x, y = sketch[a], sketch[b]
+    both = ((x == y) & (x > 0)).sum(1)
+    either = ((x | y) > 0).sum(1)
+    return both >= 0.75 * either - 4 * np.sqrt(0.1875 * either)
+
+
 def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_batches(batches, "text"):
         hashes, own = _sets(batch)
@@ -90,7 +116,9 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2),
             list_array(left[n > 0].ravel(), np.where(n > 0, ELEMENTS, 0), pa.int64()),
             pa.array([t.tobytes() if c else None for t, c in zip(tags, n)], pa.binary()),
-        ], ["doc_id", "n_shingles", "k1", "k2", "left", "tags"])
+            pa.array([t.tobytes() if c else None for t, c in zip(_sketches(hashes, own), n)], pa.binary()),
+            batch.column("text_key"),
+        ], ["doc_id", "n_shingles", "k1", "k2", "left", "tags", "sketch", "text_key"])
 
 
 def _members(tbl: pa.Table, keys: list[str]) -> tuple:
@@ -156,6 +184,7 @@ def _cross_pairs(tbl: pa.Table) -> pa.Table:
     rep, n, tags, group, pdf = _members(tbl, ["i", "key", "x", "y"])
     comp, block, table = (pdf[c].to_numpy() for c in ("component", "block", "i"))
     apart = (pdf["x"] != pdf["y"]).to_numpy()
+    sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), BINS)
     out = [np.zeros((0, 2), np.int64)]
     for a, b in _in_groups(group):
         keep = (comp[a] != comp[b]) & _close(n, a, b) & ~(apart[a] & (block[a] == block[b]))
@@ -164,6 +193,8 @@ def _cross_pairs(tbl: pa.Table) -> pa.Table:
         elements = same.reshape(len(a), 2, ELEMENTS, HASHES).all(3)
         first = elements[:, 0].argmax(1) == table[a]
         keep = first & elements[:, 1].any(1) & (same.sum(1) >= LEAST_EQUAL)
+        a, b = a[keep], b[keep]
+        keep = _alike(sketch, a, b)
         out.append(np.stack([rep[a[keep]], rep[b[keep]]], 1))
     out = np.concatenate(out)
     return _pairs(out[:, 0], out[:, 1])
@@ -214,21 +245,23 @@ def _cell(cells: int, *keys: str):
     return F.pmod(F.xxhash64(*keys), F.lit(cells)).alias("cell")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, row): one row per row of ``docs``. ``kept``
-    marks rows whose id is the component's; ``row`` numbers the rows, so one of equal ids
-    can be chosen."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    text_key: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, row, text_key): one row per row of ``docs``.
+    ``kept`` marks rows whose id is the component's; ``row`` numbers the rows; ``text_key``
+    is null, or a digest of the text if asked for."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    spark = docs.sparkSession
-    signed = written(docs.mapInArrow(_signed, (
-        "doc_id long, n_shingles long, k1 long, k2 long, left array<bigint>, tags binary"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary")) if text_key else F.lit(None).cast("string")
+    signed = written(docs.select("doc_id", "text", digest.alias("text_key")).mapInArrow(_signed, (
+        "doc_id long, n_shingles long, k1 long, k2 long, left array<bigint>, tags binary, sketch binary, "
+        "text_key string"))
         .withColumn("row", F.monotonically_increasing_id()), "neardup-signed")
     key = ["n_shingles", "k1", "k2"]
     full = signed.filter("n_shingles > 0")
     # one class for each set; its least row stands for it
     reps = written(full.groupBy(*key).agg(
         F.min("row").alias("rep"), F.min("doc_id").alias("class_id"),
-        F.first("left").alias("left"), F.first("tags").alias("tags")), "neardup-reps")
+        *(F.first(c).alias(c) for c in ("left", "tags", "sketch"))), "neardup-reps")
     groups = reps.select("rep", F.posexplode("left").alias("i", "key"))
     # only groups of two and more can link; large ones are split into blocks
     sizes = groups.groupBy("i", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -245,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.join(reps, "rep").select("rep", "class_id", *key)
     sets = written(_wanted_sets(docs, signed, wanted), "neardup-sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    sides = max(2, -(-2 * total // CELL_SHINGLES))
+    sides = max(4, -(-2 * total // CELL_SHINGLES))
     links = written(_verify(star, sets, sides), "neardup-links")
     first = written(connected_components(links), "neardup-first")
     labelled = (groups.join(first, groups.rep == first.node, "left").drop("node")
@@ -257,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = (labelled.join(mixed, ["i", "key"])
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
-    cross = (left.join(signs, "rep").groupBy(_cell(cells, "i", "key", "x", "y"))
+    cross = (left.join(reps.select("rep", "n_shingles", "tags", "sketch"), "rep").groupBy(_cell(cells, "i", "key", "x", "y"))
              .applyInArrow(_cross_pairs, "a long, b long").distinct())
     late = written(_verify(cross, sets, sides), "neardup-links")
     second = connected_components(links.union(late)) if late.head(1) else first
@@ -266,13 +299,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(*key, "component", "class_id"))
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     classes = named.join(least, "component").select(*key, "component_id")
-    out = (full.select("doc_id", "row", *key).join(classes, key)
-           .select("doc_id", "n_shingles", "component_id", "row"))
+    out = (full.select("doc_id", "row", "text_key", *key).join(classes, key)
+           .select("doc_id", "n_shingles", "component_id", "row", "text_key"))
     alone = signed.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row")
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row", "text_key")
     out = out.union(alone)
     return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row")
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row", "text_key")
 
 
 IDS_BOUND = 2_000_000
@@ -297,9 +330,27 @@ def _wanted_sets(docs: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataF
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: that with the least id (of
-    equal ids any one row). Rows without words are all kept."""
-    marked = near_duplicates(docs, id_col, text_col)
-    gone = marked.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs[id_col].eqNullSafe(F.col("gone_id")), "left_anti")
+    """``docs`` with one row of each near-duplicate component: that with the least id; of
+    rows that repeat it with one text any one, of several texts the one numbered first.
+    Rows without words all stay."""
+    marked = written(near_duplicates(docs, id_col, text_col, text_key=True), "neardup-marked")
+    worded = marked.filter("n_shingles > 0")
+    key = F.struct("doc_id", "text_key")
+    # the least non-null id of a component; only then the rows without an id
+    stays = worded.groupBy("component_id").agg(F.min_by(key, F.struct(
+        F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("k")).select("k.*")
+    same = lambda a, b: (F.col(f"{a}doc_id").eqNullSafe(F.col(f"{b}doc_id"))
+                         & (F.col(f"{a}text_key") == F.col(f"{b}text_key")))
+    gone = written(worded.select("doc_id", "text_key").distinct().join(
+        stays.toDF("s_doc_id", "s_text_key"), same("", "s_"), "left_anti").toDF("__g_doc_id", "__g_text_key"), "neardup-gone")
+    side = F.broadcast(gone) if gone.count() <= IDS_BOUND else gone
+    keyed = docs.select(*docs.columns, F.col(id_col).cast("long").alias("__doc_id"),
+                        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("__text_key"))
+    left = keyed.join(side, same("__", "__g_"), "left_anti")
+    # rows that repeat both id and text: one of each
+    twice = written(worded.groupBy("doc_id", "text_key").count().filter("count > 1")
+                    .select(F.col("doc_id").alias("__g_doc_id"), F.col("text_key").alias("__g_text_key")), "neardup-twice")
+    if twice.head(1):
+        again = left.join(twice, same("__", "__g_"), "left_semi").dropDuplicates(["__doc_id", "__text_key"])
+        left = left.join(twice, same("__", "__g_"), "left_anti").union(again)
     return left.select(*docs.columns)
