@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, secret_scan, sentencepiece_np, warc
+from . import (decontam, neardup, pivot_topk, quality_cnn, secret_scan, sentencepiece_np, shards,
+               token_tree, toxicity, warc)
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,8 +113,85 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_placeholder")
 
 
+# ------------------------------------------------------------------ 4 quality
+def _remainder(column: str, by: int):
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(by))
+
+
+def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Weights of the quality classifier, learned outside the held-out rows."""
+    return quality_cnn.fit(docs, table(spark, sf_dir, "labels"), may_learn=_remainder("id", 4) != 2)
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_cnn.score(docs, quality_weights(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------------ 5 shards
+@query("op5_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes."""
+    return shards.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
 # ------------------------------------------------------------------ 6 near duplicates
 @query("op6_neardup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+# ------------------------------------------------------------------ 7 exact top-k
+OP7_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)) as v from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, x.vec_id, list_dot_product(q.v, x.v)::bigint as score
+      from v q, v x where q.vec_id % 50 = 0 and q.vec_id <> x.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
+"""
+
+
+@query("op7_topk", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+# ------------------------------------------------------------------ 8 toxicity
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"), may_learn=_remainder("id", 5) != 0)
+    return toxicity.score(docs, weights).select(
+        "doc_id", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------------ 9 token counts
+@query("op9_tokencounts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after two edits each. The tables hold no
+    edits; each document gets a replacement in its first half and an insertion in its
+    second."""
+    n, text = F.length("text"), F.col("text")
+    at = lambda share: F.floor(n * share).cast("int")
+    edits = F.array(
+        F.struct(at(0.3).alias("start"), (at(0.3) + 12).alias("end"), F.substring(text, 1, 24).alias("replacement")),
+        F.struct(at(0.7).alias("start"), at(0.7).alias("end"), F.concat(F.lit(" "), F.coalesce("source", F.lit("")))
+                 .alias("replacement")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", edits.alias("edits"))
+    counted = token_tree.apply_edits(token_tree.build(docs, more=("edits",)), keep_state=False)
+    return counted.select(F.col("id").alias("doc_id"), "n_tokens_before", "n_tokens", "n_edits", "n_encoded")
+
+
+# ------------------------------------------------------------------ 10 decontamination
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that lie in them."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
