@@ -14,13 +14,15 @@ a count of equal minhashes (a link at s = 0.75 fails it with a probability of ab
 
 Pairs of different components (below) also pass a sketch made in one permutation: of each
 256th part of the hash range the least member. The share of equal ones among the parts that
-either set occupies estimates the similarity; a pair fails four standard deviations below
-0.75 (a probability below 4e-5 for a link). It keeps families that share much text, but
-less than 0.75, from being listed pair by pair.
-
-Documents with equal shingle sets are one class from the start. Links are sought in two
-rounds: each table's members against its least one, then every pair of a table whose
-members the first round left in different components. So the pairs inside a large group of
+either set occupies estimates the similarity; a pair fails four standard deviations (of
+draws without replacement from the union) below 0.75, which a link does with a probability
+below 4e-5. It keeps families that share much text, but less than 0.75, from being listed
+pair by pair.
+
+Documents with equal shingle sets are one class from the start. Links are sought in
+rounds: each table's members against its least one; then, ``PARTNER_ROUNDS`` times, each
+member against the one most like it by sketch of those in other components; then every pair
+of a table whose members are still in different components. So the pairs inside a large group of
 copies are never listed, and none between different components is left out.
 
 Cases: a null or empty text, or one without words, has no shingles and links with nothing.
@@ -47,6 +49,7 @@ SIGNATURE = 2 * ELEMENTS * HASHES
 LEAST_EQUAL = 31         # of the 56 minhashes; expected 42 at a similarity of 0.75
 GROUP_ROWS = 4096        # a larger group of one left element is handled in blocks
 CELL_ROWS = 50_000       # rows of left groups in one task
+PARTNER_ROUNDS = 2
 CELL_SHINGLES = 2 << 20   # shingles of one verifying task
 BINS = 256               # of the one-permutation sketch
 _rng = np.random.default_rng(20240)
@@ -89,11 +92,14 @@ def _sketches(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
     return out
 
 
-def _alike(sketch: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _alike(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a link is possible, estimated similarity) of pairs of sets of n members."""
     x, y = sketch[a], sketch[b]
     both = ((x == y) & (x > 0)).sum(1)
-    either = ((x | y) > 0).sum(1)
-    return both >= 0.75 * either - 4 * np.sqrt(0.1875 * either)
+    either = np.maximum(((x | y) > 0).sum(1), 1)
+    union = np.maximum((n[a] + n[b]) / 1.75, 1)  # of a link; smaller for more similar ones
+    left = np.clip(1 - (either - 1) / union, 0.1, 1)
+    return both >= 0.75 * either - 4 * np.sqrt(0.1875 * either * left) - 0.5, both / either
 
 
 def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,15 +183,17 @@ def _in_groups(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = to
 
 
-def _cross_pairs(tbl: pa.Table) -> pa.Table:
+def _cross_pairs(tbl: pa.Table, partners: bool = False) -> pa.Table:
     """Of the groups of one cell (of a large group: two of its blocks): the pairs of
     different components that share a right element, each pair only in the first group in
-    which both meet."""
+    which both meet. ``partners``: of these only each member's most similar one."""
     rep, n, tags, group, pdf = _members(tbl, ["i", "key", "x", "y"])
     comp, block, table = (pdf[c].to_numpy() for c in ("component", "block", "i"))
     apart = (pdf["x"] != pdf["y"]).to_numpy()
     sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), BINS)
     out = [np.zeros((0, 2), np.int64)]
+    best = np.full(len(rep), -1.0)
+    with_whom = np.full(len(rep), -1)
     for a, b in _in_groups(group):
         keep = (comp[a] != comp[b]) & _close(n, a, b) & ~(apart[a] & (block[a] == block[b]))
         a, b = a[keep], b[keep]
@@ -194,12 +202,28 @@ def _cross_pairs(tbl: pa.Table) -> pa.Table:
         first = elements[:, 0].argmax(1) == table[a]
         keep = first & elements[:, 1].any(1) & (same.sum(1) >= LEAST_EQUAL)
         a, b = a[keep], b[keep]
-        keep = _alike(sketch, a, b)
-        out.append(np.stack([rep[a[keep]], rep[b[keep]]], 1))
+        keep, share = _alike(sketch, n, a, b)
+        a, b, share = a[keep], b[keep], share[keep]
+        if not partners:
+            out.append(np.stack([rep[a], rep[b]], 1))
+            continue
+        for x, y in ((a, b), (b, a)):  # the last of ascending shares is written last
+            by = np.argsort(share, kind="stable")
+            x, y, s = x[by], y[by], share[by]
+            better = s > best[x]
+            best[x[better]], with_whom[x[better]] = s[better], y[better]
+    if partners:
+        has = np.flatnonzero(with_whom >= 0)
+        pair = np.sort(np.stack([rep[has], rep[with_whom[has]]], 1), axis=1)
+        out.append(np.unique(pair, axis=0))
     out = np.concatenate(out)
     return _pairs(out[:, 0], out[:, 1])
 
 
+def _partner_pairs(tbl: pa.Table) -> pa.Table:
+    return _cross_pairs(tbl, partners=True)
+
+
 def _rehashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_batches(batches, "text"):
         hashes, own = _sets(batch)
@@ -235,7 +259,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, sides: int) -> DataFrame:
     part = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(sides))
     cell = F.least(part("a"), part("b")) * sides + F.greatest(part("a"), part("b"))
     pairs = written(pairs.select(cell.cast("long").alias("cell"), "a", "b"), "neardup-pairs")
-    named = (pairs.select(F.col("cell").alias("at"), F.explode(F.array("a", "b")).alias("rep"))
+    named = (pairs.select(F.col("cell").alias("at"), F.col("a").alias("rep"))
+             .union(pairs.select(F.col("cell").alias("at"), F.col("b").alias("rep")))
              .distinct().join(sets.select("rep", "members"), "rep"))
     return (pairs.groupBy("cell").cogroup(named.select("at", "rep", "members").groupBy("at"))
             .applyInArrow(_confirmed, "a long, b long"))
@@ -281,19 +306,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sides = max(4, -(-2 * total // CELL_SHINGLES))
     links = written(_verify(star, sets, sides), "neardup-links")
     first = written(connected_components(links), "neardup-first")
-    labelled = (groups.join(first, groups.rep == first.node, "left").drop("node")
-                .withColumn("component", F.coalesce("component", "rep")))
-    # groups of one component have nothing left to find
-    mixed = (labelled.groupBy("i", "key").agg(F.min("component").alias("lo"),
-                                              F.max("component").alias("hi"))
-             .filter("lo < hi").select("i", "key"))
-    left = (labelled.join(mixed, ["i", "key"])
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
-    cross = (left.join(reps.select("rep", "n_shingles", "tags", "sketch"), "rep").groupBy(_cell(cells, "i", "key", "x", "y"))
-             .applyInArrow(_cross_pairs, "a long, b long").distinct())
-    late = written(_verify(cross, sets, sides), "neardup-links")
-    second = connected_components(links.union(late)) if late.head(1) else first
+    second = first
+    for k in range(PARTNER_ROUNDS + 1):
+        partners = k < PARTNER_ROUNDS
+        labelled = (groups.join(second, groups.rep == second.node, "left").drop("node")
+                    .withColumn("component", F.coalesce("component", "rep")))
+        # groups of one component have nothing left to find
+        mixed = (labelled.groupBy("i", "key").agg(F.min("component").alias("lo"),
+                                                  F.max("component").alias("hi"))
+                 .filter("lo < hi").select("i", "key"))
+        left = (labelled.join(mixed, ["i", "key"])
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
+        cross = (left.join(reps.select("rep", "n_shingles", "tags", "sketch"), "rep")
+                 .groupBy(_cell(cells, "i", "key", "x", "y"))
+                 .applyInArrow(_partner_pairs if partners else _cross_pairs, "a long, b long").distinct())
+        late = written(_verify(cross, sets, sides), "neardup-links")
+        if late.head(1):
+            links = links.union(late)
+            second = written(connected_components(links), "neardup-components")
     named = (reps.join(second, reps.rep == second.node, "left")
              .withColumn("component", F.coalesce("component", "rep"))
              .select(*key, "component", "class_id"))
