@@ -9,22 +9,26 @@ fixture notes use for the test tables (the library defaults stay as in the refer
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import buckets as B
 from .functions.buckets import to_wall_clock
-from .model import AMOUNT_MAX, AMOUNT_MIN, Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT
+from .model import AMOUNT_MAX, AMOUNT_MIN, PRIMARY_KEYS, Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT
 from .operators import quality as Q
-from .operators.compaction import latest_by_key
+from .operators.compaction import latest_by_key, upsert
 from .plans import oracle_sql as O
 from .plans import reads as P
 from .plans import rollups as R
-from .session import use_utc
-from .sources import records, testdata
+from .plans.refresh import ordered_by_account, refresh_batch
+from .session import scratch_dir, use_utc
+from .sources import layout, records, testdata
+from .streaming import stream_static
+from .streaming.landed import LandedRefresh
+from .streaming.sources import read_stream
 
 # Read parameters used against the test tables.
 R1_ACCOUNT, R1_FROM, R1_TO = 7, "19950101", "20011231"
@@ -76,9 +80,10 @@ def _rollup(name: str, fn: Callable, **kw) -> None:
 for _name in ("q1", "q2", "q3", "q3r", "q4", "q5a", "q5b", "q6", "d6"):
     _rollup(_name, R.ROLLUPS[_name])
 
-register("q5", O.with_mapping(O.q5_sql(Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT),
-                              {"q5a": O.ROLLUP_SQL["q5a"], "q5b": O.ROLLUP_SQL["q5b"]}))(
-    lambda spark, sf_dir: R.q5_high_value_customers(_t(spark, sf_dir)))
+# bounds that some customers of the test tables reach, and the default ones (none does)
+for _name, _bounds in (("q5", (3, 250_000)), ("q5_default", (Q5_MIN_ACCOUNTS, Q5_MIN_AMOUNT))):
+    register(_name, O.with_mapping(O.q5_sql(*_bounds), {"q5b": O.ROLLUP_SQL["q5b"]}))(
+        lambda spark, sf_dir, _b=_bounds: R.q5_high_value_customers(_t(spark, sf_dir), *_b))
 
 
 # ---------------------------------------------------------------- end-user reads
@@ -134,8 +139,7 @@ register("r4m", O.with_mapping(
     f"select * from q4 where \"quarter\" = '{R4_QUARTER}' and employee_id in "
     f"(select emp_id from bk_employee where manager_id = {R4M_MANAGER})", {"q4": _q("q4")}))(_r4m)
 
-register("r5", O.with_mapping(O.q5_sql(R5_MIN_ACCOUNTS, R5_MIN_AMOUNT),
-                              {"q5a": _q("q5a"), "q5b": _q("q5b")}))(
+register("r5", O.with_mapping(O.q5_sql(R5_MIN_ACCOUNTS, R5_MIN_AMOUNT), {"q5b": _q("q5b")}))(
     lambda spark, sf_dir: R.q5_high_value_customers(_t(spark, sf_dir), R5_MIN_ACCOUNTS,
                                                     R5_MIN_AMOUNT))
 
@@ -164,7 +168,10 @@ def _txn(spark, sf_dir):
 register("f9", O.with_mapping(O.FUNCTION_SQL["f9"]))(
     lambda spark, sf_dir: _account(spark, sf_dir).select(
         "account_id",
-        *[B.parse_iso_timestamp(B.iso_utc_text(c)).alias(c) for c in ("opened_at", "closed_at")]))
+        *[B.parse_iso_timestamp(B.iso_utc_text(c)).alias(c) for c in ("opened_at", "closed_at")],
+        B.parse_iso_date(B.iso_date_text("opened_at")).alias("opened_on"),
+        B.parse_iso_date(F.concat(B.iso_date_text("opened_at"), F.lit("x"))).alias("bad_date"),
+        B.parse_iso_timestamp(F.concat(F.lit("x"), B.iso_utc_text("opened_at"))).alias("bad_time")))
 
 register("f10", O.with_mapping(O.FUNCTION_SQL["f10"]))(
     lambda spark, sf_dir: _account(spark, sf_dir).select(
@@ -196,7 +203,7 @@ register("f14", O.with_mapping(O.FUNCTION_SQL["f14"]))(
 
 register("f17", O.with_mapping(O.FUNCTION_SQL["f17"]))(
     lambda spark, sf_dir: _txn(spark, sf_dir).select(
-        "txn_id", B.clamp_round(F.col("amount") * 2, AMOUNT_MIN, AMOUNT_MAX).alias("amount")))
+        "txn_id", B.clamp_round(F.col("amount") * 0.125, AMOUNT_MIN, AMOUNT_MAX).alias("amount")))
 
 register("t7", O.with_mapping(O.FUNCTION_SQL["t7"]))(
     lambda spark, sf_dir: latest_by_key(_txn(spark, sf_dir), "account_id", ["txn_time", "txn_id"]))
@@ -208,10 +215,297 @@ def _s7(spark, sf_dir):
 
 def _s8(spark, sf_dir):
     x = _txn(spark, sf_dir)
-    good, _bad = records.parse_keyed(records.emit_keyed(x, "transaction"), "transaction")
+    good, _bad = records.parse_keyed(records.emit_keyed(x, "transaction"), "transaction", check_ids=False)
     # ids come back as text; restore the test tables' integer ids for comparison
     return good.select(*[F.col(c).cast(x.schema[c].dataType).alias(c) for c in x.columns])
 
 
 register("s7", O.with_mapping(O.FUNCTION_SQL["s7"]))(_s7)
 register("s8", O.with_mapping(O.FUNCTION_SQL["s8"]))(_s8)
+
+
+# ---------------------------------------------------------------- sinks, stored tables
+def _wire_sink(spark: SparkSession, sf_dir: str, write) -> str:
+    root = scratch_dir(spark, "sink")
+    write({"account": _account(spark, sf_dir)}, root)
+    return f"{root}/account"
+
+
+def _s4(spark, sf_dir):
+    lines = spark.read.text(_wire_sink(spark, sf_dir, layout.write_json))
+    return lines.select(F.from_json("value", records.wire_schema("account")).alias("r"),
+                        F.size(F.json_object_keys("value")).alias("n_keys")).select("r.*", "n_keys")
+
+
+def _s5(spark, sf_dir):
+    path = _wire_sink(spark, sf_dir, layout.write_csv)
+    return spark.read.option("header", True).schema(records.wire_schema("account")).csv(path)
+
+
+register("s4", O.with_mapping(O.FUNCTION_SQL["s4"]))(_s4)
+register("s5", O.with_mapping(O.FUNCTION_SQL["s5"]))(_s5)
+
+register("s3", O.with_mapping("select * from bk_product"))(
+    lambda spark, sf_dir: _stored_product(spark, sf_dir))
+
+
+def _stored_product(spark, sf_dir):
+    """S3: a stored table read with its contract (ids as text), in contract order."""
+    path = scratch_dir(spark, "product")
+    p = _t(spark, sf_dir)["product"]
+    p.select(*[F.col(c).cast("string").alias(c) for c in reversed(p.columns)]).write.parquet(path)
+    back = records.read_table(spark, path, "product")
+    return back.select(*[F.col(c).cast(p.schema[c].dataType).alias(c) for c in p.columns])
+
+
+# Of every table two later versions of some rows replace the stored ones
+UPSERTED = {"branch": "city", "customer": "city", "employee": "role", "product": "product_category",
+            "account": "status", "transaction": "status"}
+
+
+def _s6(spark, sf_dir):
+    out = None
+    for name, column in UPSERTED.items():
+        key = PRIMARY_KEYS[name][0]
+        stored = _t(spark, sf_dir)[name]
+        some = stored.filter(F.right(F.col(key).cast("string"), F.lit(1)).isin("0", "3", "6", "9"))
+        changes = some.withColumn("version", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn(
+            column, F.concat(column, F.repeat(F.lit("*"), "version")))
+        rows = upsert(stored, changes, key, "version").select(
+            F.lit(name).alias("tbl"), F.col(key).cast("string").alias("key"), F.col(column).alias("value"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+register("s6", O.with_mapping(" union all ".join(
+    f"select '{name}' as tbl, cast({PRIMARY_KEYS[name][0]} as varchar) as key, {column} || case when "
+    f"right(cast({PRIMARY_KEYS[name][0]} as varchar), 1) in ('0', '3', '6', '9') then '**' else '' end as value "
+    f"from {O.CTE_OF[name]}" for name, column in UPSERTED.items())))(_s6)
+
+
+def _s8q(spark, sf_dir):
+    """S8 with ids of the contract's form, and messages that are no JSON, hold a bad id, or
+    lack a required value, in equal parts."""
+    x = _txn(spark, sf_dir)
+    ids = x.withColumns({c: F.md5(F.col(c).cast("string")) for c in ("account_id", "product_id",
+                                                                     "approved_by_emp_id")})
+    sent = records.emit_keyed(ids, "transaction")
+    last = F.substring(F.get_json_object("value", "$.txn_id"), 32, 1)
+    value = (F.when(last == "0", F.substring("value", 1, 60))
+             .when(last == "1", F.regexp_replace("value", '"account_id":"[0-9a-f]+"', '"account_id":"none"'))
+             .when(last == "2", F.regexp_replace("value", '"currency":"[A-Z]+"', '"currency":null'))
+             .otherwise(F.col("value")))
+    good, bad = records.parse_keyed(sent.withColumn("value", value), "transaction")
+    return good.select("txn_id", F.lit(None).cast("string").alias("value"), F.lit("").alias("reason")).union(
+        bad.select(F.lit(None).cast("string"), "value", "reason"))
+
+
+register("s8q", O.with_mapping(O.FUNCTION_SQL["s8q"]))(_s8q)
+
+
+def _stored(spark, sf_dir, *names: str) -> dict[str, DataFrame]:
+    """Result tables as the batch refresh stores them."""
+    paths = refresh_batch(_t(spark, sf_dir), scratch_dir(spark, "stored"), names=names)
+    return {n: layout.read_result(spark, p) for n, p in paths.items()}
+
+
+def _s9(spark, sf_dir):
+    names = ("q1", "q2", "q3", "q3r", "q4", "q5a", "q5b", "q6")
+    out = None
+    for name, df in _stored(spark, sf_dir, *names).items():
+        rows = df.agg(F.lit(name).alias("tbl"), F.count(F.lit(1)).alias("n"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+register("s9", O.with_mapping(" union all ".join(
+    f"select '{n}' as tbl, count(*) as n from ({O.ROLLUP_SQL[n]})"
+    for n in ("q1", "q2", "q3", "q3r", "q4", "q5a", "q5b", "q6"))))(_s9)
+
+
+def _s10(spark, sf_dir):
+    path = scratch_dir(spark, "table")
+    name = f"bk_{path.rsplit('-', 1)[-1]}"
+    layout.save_table(R.q5a_active_accounts(_t(spark, sf_dir)), name, path, name="q5a")
+    return spark.table(name)
+
+
+register("s10", O.with_mapping(_q("q5a")))(_s10)
+
+# R1-R6 over the stored, pruned tables
+STORED_READS = {
+    "r1": ("q1", lambda d: P.r1_account_days(d, R1_ACCOUNT, R1_FROM, R1_TO)),
+    "r2": ("q2", lambda d: P.r2_recent_high_value(d, R2_NOW, R2_SPAN)),
+    "r2m": ("q2", lambda d: P.r2m_minute_range(d, R2M_FROM, R2M_TO)),
+    "r3": ("q3", lambda d: P.r3_city_windows(d, R3_NOW, R3_SPAN)),
+    "r4": ("q4", lambda d: P.r4_employee_quarter(d, R4_EMPLOYEE, R4_QUARTER)),
+    "r6": ("q6", lambda d: P.r6_branch_days(d, R6_BRANCH, R6_FROM, R6_TO)),
+}
+
+
+def _stored_read(spark, sf_dir, name):
+    table, read = STORED_READS[name]
+    df = _stored(spark, sf_dir, table)[table]
+    extra = [c for c in df.columns if c == "txn_month"]
+    return read(df).drop(*extra)
+
+
+for _name in STORED_READS:
+    register(f"s11_{_name}", ORACLE_SQL[_name])(lambda spark, sf_dir, _n=_name: _stored_read(spark, sf_dir, _n))
+
+register("p9", O.with_mapping(
+    f"select city, txn_count from q3 where window_start >= {_ts(R3_NOW)} "
+    f"and window_start < {_ts(R3_NOW)} + interval 3 day", {"q3": _q("q3")}))(
+    lambda spark, sf_dir: P.r3_city_windows(R.q3_high_value_by_city(_t(spark, sf_dir)), start_from=R3_NOW,
+                                            start_to=R3_NOW + timedelta(days=3)))
+
+
+# ---------------------------------------------------------------- order
+def _with_position(df: DataFrame, *keys: str) -> DataFrame:
+    """The place of each row in the order in which ``df`` comes (in its group by ``keys``)."""
+    at = df.withColumn("__at", F.monotonically_increasing_id())
+    return at.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("__at"))).drop("__at")
+
+
+register("o1", O.with_mapping(
+    f"select txn_id, row_number() over (order by txn_timestamp desc) as place from q1 "
+    f"where account_id = {R1_ACCOUNT}", {"q1": _q("q1")}))(
+    lambda spark, sf_dir: _with_position(P.r1_account_days(
+        R.q1_transactions_by_account(_t(spark, sf_dir)), R1_ACCOUNT, "00000101", "99991231")).select(
+            "txn_id", "place"))
+
+
+def _o2(spark, sf_dir):
+    """Rows of the stored Q6 that lie below their predecessor in its file."""
+    df = _stored(spark, sf_dir, "q6")["q6"].select(
+        "branch_id", "txn_date", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("k"))
+    key = F.struct("branch_id", "txn_date")
+    before = F.lag(key).over(Window.partitionBy("f").orderBy("k"))
+    return df.select((before > key).alias("wrong")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("wrong"), 1)).alias("out_of_order"))
+
+
+register("o2", O.with_mapping(f"select count(*) as n, 0::bigint as out_of_order from ({_q('q6')})"))(_o2)
+
+register("t8", O.with_mapping(
+    "select account_id, txn_id, row_number() over (partition by account_id order by txn_time, txn_id) "
+    "as place from bk_txn"))(
+    lambda spark, sf_dir: _with_position(ordered_by_account(_txn(spark, sf_dir), 8), "account_id").select(
+        "account_id", "txn_id", "place"))
+
+
+# ---------------------------------------------------------------- streams
+class _Feed:
+    """Folders of wire records and the landed refresh of Q6 over them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.root = scratch_dir(spark, "feed")
+        self.tables = _t(spark, sf_dir)
+        self.src = {k: f"{self.root}/src/{k}" for k in ("transaction", "account")}
+        for kind in self.src:  # the folders exist from the start
+            self.send(kind, self._table(kind).limit(0), 0)
+        self.refresh = LandedRefresh(spark, f"{self.root}/state", results=("q6",), check_ids=False)
+
+    def _table(self, kind: str) -> DataFrame:
+        # the test tables lack the account type, which the contract requires
+        return self.tables[kind] if kind != "account" else self.tables[kind].withColumn(
+            "account_type", F.lit("Savings"))
+
+    def send(self, kind: str, rows: DataFrame | None = None, seq: int = 1, files: int = 1) -> None:
+        rows = self._table(kind) if rows is None else rows
+        (records.encode(rows, kind).withColumn("seq", F.lit(seq).cast("long")).repartition(files)
+         .write.mode("append").json(self.src[kind]))
+
+    def run(self, max_files: int = 2) -> None:
+        query = self.refresh.start(self.src, f"{self.root}/checkpoint", max_files_per_trigger=max_files,
+                                   available_now=True)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+
+    def result(self) -> DataFrame:
+        return self.refresh.read_view("q6").withColumn("branch_id", F.col("branch_id").cast("bigint"))
+
+
+def _stream(name: str):
+    def deco(fn):
+        def query(spark, sf_dir):
+            feed = _Feed(spark, sf_dir)
+            fn(feed)
+            return feed.result()
+        return register(name, O.with_mapping(_q("q6")))(query)
+    return deco
+
+
+@_stream("t2")
+def _t2(feed: _Feed) -> None:
+    """Several micro-batches keep Q6 fresh."""
+    feed.send("account")
+    feed.send("transaction", files=3)
+    feed.run(max_files=2)
+
+
+@_stream("t5")
+def _t5(feed: _Feed) -> None:
+    """Accounts that move to their branch later revise Q6."""
+    accounts = feed._table("account")
+    feed.send("account", accounts.withColumn("branch_id", F.col("branch_id") + 100), 1)
+    feed.send("transaction")
+    feed.run(max_files=1000)
+    feed.send("account", accounts, 2)
+    feed.run(max_files=1000)
+
+
+@_stream("t6")
+def _t6(feed: _Feed) -> None:
+    """Transactions that come before their accounts are counted once these arrive."""
+    feed.send("transaction")
+    feed.run(max_files=1000)
+    feed.send("account")
+    feed.run(max_files=1000)
+
+
+@_stream("t9")
+def _t9(feed: _Feed) -> None:
+    """Transactions delivered twice, the first time with another time, count once."""
+    feed.send("account")
+    early = feed._table("transaction").withColumn("txn_time", F.col("txn_time") - F.expr("INTERVAL 45 DAYS"))
+    feed.send("transaction", early, 1)
+    feed.run(max_files=1000)
+    feed.send("transaction", seq=2)
+    feed.run(max_files=1000)
+
+
+def _static_stream(spark, sf_dir, name: str, sent: list[DataFrame], **options) -> DataFrame:
+    """Result of the stream-static refresh over batches sent one after the other."""
+    root, t = scratch_dir(spark, "static"), _t(spark, sf_dir)
+    dims = {k: t[k].select(*[F.col(c).cast("string").alias(c) if c.endswith("_id") else F.col(c)
+                             for c in t[k].columns]) for k in ("account", "branch")}
+    for rows in sent:
+        wire = records.encode(rows, "transaction").withColumn("seq", F.lit(0).cast("long"))
+        wire.coalesce(1).write.mode("append").json(f"{root}/src")
+        query = stream_static.start(name, read_stream(spark, f"{root}/src", "transaction"), dims, f"{root}/out",
+                                    f"{root}/checkpoint", available_now=True, **options)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return stream_static.read_view(spark, name, f"{root}/out")
+
+
+register("t3", O.with_mapping(_q("q6")))(
+    lambda spark, sf_dir: _static_stream(spark, sf_dir, "q6", [
+        _txn(spark, sf_dir).filter(F.col("txn_id") < "8"), _txn(spark, sf_dir).filter(F.col("txn_id") >= "8")])
+    .select(F.col("branch_id").cast("bigint").alias("branch_id"), "txn_year", "txn_date", "total_amount",
+            "count_txn"))
+
+
+def _t4(spark, sf_dir):
+    """Rows that come years behind the watermark are dropped when that is asked for."""
+    x = _txn(spark, sf_dir)
+    cut = F.lit("1996-01-01").cast("timestamp")
+    return _static_stream(spark, sf_dir, "q3", [x.filter(F.col("txn_time") >= cut), x.filter(F.col("txn_time") < cut)],
+                          drop_late=True)
+
+
+register("t4", O.with_mapping("select * from q3 where window_start >= timestamp '1996-01-01'",
+                              {"q3": _q("q3")}))(_t4)

@@ -129,10 +129,16 @@ def clamp_round(x: str | Column, lo: float, hi: float, digits: int = 2) -> Colum
     return F.round(F.greatest(F.lit(lo), F.least(_c(x), F.lit(hi))), digits)
 
 
+EXACT = "decimal(28,12)"
+
+
 def money(x: str | Column) -> Column:
-    """Amounts carry two decimals by contract; summing them as decimal(18,2) makes the sum
-    independent of addition order (a double sum is not)."""
-    return _c(x).cast("decimal(18,2)")
+    """The amount as a decimal of twelve places, or null if that is not its exact value (more
+    places, out of range, not finite). Decimal sums do not depend on the order of addition
+    (double sums do)."""
+    c = _c(x)
+    exact = c.try_cast(EXACT)
+    return F.when(exact.cast("double") == c, exact)
 
 
 def is_finite(x: str | Column) -> Column:
@@ -146,12 +152,13 @@ def above(x: str | Column, threshold: float) -> Column:
 
 
 def money_sum_parts(x: str | Column, prefix: str) -> list[Column]:
-    """Partial aggregates of an amount sum: the exact decimal sum of the finite amounts
-    (``<prefix>_s``) and the double sum of the non-finite ones (``<prefix>_ns``, null when
-    there are none). Both re-aggregate with ``sum``, so they serve two-level plans."""
+    """Partial aggregates of an amount sum: the exact decimal sum of the amounts that have
+    at most twelve places (``<prefix>_s``) and the double sum of all others, the non-finite
+    among them (``<prefix>_ns``, null when there are none). No amount is rounded before the
+    sum. Both re-aggregate with ``sum``, so they serve two-level plans."""
     c = _c(x)
-    return [F.sum(F.when(is_finite(c), money(c))).alias(f"{prefix}_s"),
-            F.sum(F.when(~is_finite(c), c)).alias(f"{prefix}_ns")]
+    return [F.sum(money(c)).alias(f"{prefix}_s"),
+            F.sum(F.when(money(c).isNull(), c)).alias(f"{prefix}_ns")]
 
 
 def money_resum(prefix: str) -> list[Column]:
@@ -160,8 +167,8 @@ def money_resum(prefix: str) -> list[Column]:
 
 
 def money_total(prefix: str) -> Column:
-    """Final amount: exact for finite amounts; a group holding NaN or an infinity gets the
-    double-sum result (NaN / +-inf), as a plain double SUM would."""
+    """Final amount: the exact sum as a double; a group that also holds amounts beyond twelve
+    places, NaN or an infinity gets the double sum of those added, as a plain SUM would."""
     s, ns = F.col(f"{prefix}_s"), F.col(f"{prefix}_ns")
     return F.when(ns.isNull(), s.cast("double")) \
         .otherwise(ns + F.coalesce(s, F.lit(0)).cast("double"))

@@ -55,9 +55,12 @@ RAW_TRANSACTION = _schema(*[(f.name, L if f.name == "txn_time" else f.dataType,
 RAW_DIMENSIONS: dict[str, T.StructType] = {
     name: _schema(*[(f.name, S if isinstance(f.dataType, (T.DateType, T.TimestampType)) else f.dataType,
                      f.nullable) for f in SCHEMAS[name].fields])
-    for name in ("account", "branch", "customer", "employee")
+    for name in ("account", "branch", "customer", "employee", "product")
 }
 
+# Column that holds the text of a record that is no JSON of its schema.
+CORRUPT = "_corrupt_record"
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     "branch": ["branch_id"],
     "customer": ["customer_id"],

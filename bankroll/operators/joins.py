@@ -2,115 +2,128 @@
 
 Policy
 ------
-* A side is broadcast only after its row count is *counted* to be at or below a bound
-  (``bounded_broadcast``). The count runs ``limit(bound + 1).count()``: each partition
-  stops after ``bound + 1`` rows, so checking a large side costs little.
-* Beyond the bound the join is a shuffle (sort-merge) join. Spark's adaptive execution
-  splits a skewed join partition into several tasks; ``lookup_join`` additionally salts
-  the hot keys (rows spread over ``salts`` join keys, their dimension rows repeated), so
-  one key holding a third of all rows never lands in one task.
+* A side is broadcast only after it was *measured* to be within the bounds on rows and on
+  bytes (``measure``): one pass over the narrow columns of the table the side comes from,
+  whose tasks report their counts to the driver; no exchange, and nothing of a derived
+  side's plan runs. The measure is kept with the DataFrame it was taken from and goes with it.
+* Beyond the bounds the join is a shuffle join. Spark's adaptive execution splits a skewed
+  join partition; ``lookup_join`` also salts hot keys, as many salts as their row count
+  asks for, so one key holding a third of all rows never lands in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 CONF_MAX_BROADCAST_ROWS = "bankroll.broadcast.maxRows"
+CONF_MAX_BROADCAST_BYTES = "bankroll.broadcast.maxBytes"
 CONF_HOT_KEY_ROWS = "bankroll.skew.hotKeyRows"
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 DEFAULT_HOT_KEY_ROWS = 5_000_000
-DEFAULT_SALTS = 32
-
-
-def max_broadcast_rows(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(CONF_MAX_BROADCAST_ROWS, None)
-    return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
+STREAM_SALTS = 8
 
+_MEASURED: WeakKeyDictionary[DataFrame, dict[tuple[str, ...], tuple[int, int]]] = WeakKeyDictionary()
 
-_FITS: dict[tuple, bool] = {}
 
+def _conf(df: DataFrame, name: str, default: int) -> int:
+    value = df.sparkSession.conf.get(name, None)
+    return int(value) if value else default
 
-def _plan_key(df: DataFrame, max_rows: int) -> tuple | None:
-    """Identity of a batch input: canonical plan + the files it reads (Spark writes new
-    file names on every overwrite/append, so changed data gives a new key)."""
-    try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001 - plans without a file listing are not memoised
-        return None
 
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1 rows).
-
-    The answer is memoised per (canonical plan, input files) for the life of the
-    process, so a refresh that joins the same unchanged dimension in several rollups
-    counts it once.
-    """
-    key = _plan_key(df, max_rows)
-    if key is not None and key in _FITS:
-        return _FITS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _FITS[key] = ok
-    return ok
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(df with a broadcast hint, True)`` if its counted size is within the bound,
-    else ``(df, False)`` -- the caller's join then shuffles."""
+def max_broadcast_rows(df: DataFrame) -> int:
+    return _conf(df, CONF_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_ROWS)
+
+
+def measure(df: DataFrame, columns: list[str]) -> tuple[int, int]:
+    """(rows, bytes of the values) of ``columns`` of ``df``."""
+    kept = _MEASURED.setdefault(df, {})
+    key = tuple(columns)
+    if key not in kept:
+        size = F.lit(0).cast("long")
+        for c in columns:
+            text = isinstance(df.schema[c].dataType, T.StringType)
+            size = size + (F.coalesce(F.octet_length(c), F.lit(0)).cast("long") if text else F.lit(8).cast("long"))
+        seen = Observation()
+        (df.select(*columns, size.alias("__size")).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.sum("__size").alias("bytes"))
+         .write.format("noop").mode("overwrite").save())
+        kept[key] = (seen.get["rows"], seen.get["bytes"] or 0)
+    return kept[key]
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
+                      rows_of: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """Return ``(df with a broadcast hint, True)`` if it was measured to be within the bounds,
+    else ``(df, False)`` -- the caller's join then shuffles. ``rows_of``: the table that
+    ``df`` is derived from, with at least as many rows; it is measured in place of it."""
+    source = rows_of if rows_of is not None else df
+    rows, size = measure(source, [c for c in df.columns if c in source.columns])
     bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if fits(df, bound):
+    if rows <= bound and size <= _conf(df, CONF_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_BYTES):
         return F.broadcast(df), True
     return df, False
 
 
+def _salted(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join of a fact and a dimension that both carry ``__salts``, the salts of their key."""
+    row = F.xxhash64(*[F.col(c) for c in fact.columns if c != "__salts"])
+    fact = fact.withColumn("__salt", F.pmod(row, F.col("__salts")).cast("int")).drop("__salts")
+    dim = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts").cast("int") - 1))).drop("__salts")
+    return fact.join(dim, keys + ["__salt"], how).drop("__salt")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
     max_rows: int | None = None,
-    split_hot: bool | None = None,
+    split_hot: bool = True,
     hot_key_rows: int | None = None,
-    salts: int = DEFAULT_SALTS,
+    rows_of: DataFrame | None = None,
 ) -> DataFrame:
     """N:1 equi-join of a fact table to a dimension keyed by ``on`` (inner or left).
 
-    Broadcast when the dimension is counted small; otherwise shuffle join. With
-    ``split_hot`` (default: on for batch inputs once the dimension is too large to
-    broadcast) the fact keys holding more than ``hot_key_rows`` rows are found first
-    (a partially aggregated count, so the hot key itself is combined map-side; their
-    number is at most ``rows / hot_key_rows`` and is counted before broadcasting). Rows
-    of hot keys get a salt in ``[0, salts)`` from a hash of the row, the dimension rows
-    of hot keys are repeated once per salt, and one shuffle join on ``(key, salt)``
-    spreads every hot key over ``salts`` tasks. The result is the same multiset of rows.
+    Broadcast when the dimension (or ``rows_of``, the table it comes from) is measured
+    small; otherwise a shuffle join in which hot keys are split: the facts are counted per
+    key once (a partially aggregated count) and the keys above ``hot_key_rows`` kept in the
+    shared folder; a key gets one salt per ``hot_key_rows`` rows, its dimension row is
+    repeated per salt. So the facts are read twice. Should more keys be hot than may be
+    broadcast, the row count that makes a key hot is doubled until they fit. The keys of a
+    stream cannot be counted beforehand: there every key gets ``STREAM_SALTS`` salts (a
+    micro-batch bounds the rows of each). The result is the same multiset of rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    small, is_small = bounded_broadcast(dim, max_rows)
+    small, is_small = bounded_broadcast(dim, max_rows, rows_of)
     if is_small:
         return fact.join(small, keys, how)
-    if split_hot is None:
-        split_hot = not fact.isStreaming
     if not split_hot:
         return fact.join(dim, keys, how)
+    if fact.isStreaming:
+        salts = F.lit(STREAM_SALTS)
+        return _salted(fact.withColumn("__salts", salts), dim.withColumn("__salts", salts), keys, how)
 
     spark = fact.sparkSession
-    threshold = hot_key_rows or int(spark.conf.get(CONF_HOT_KEY_ROWS, str(DEFAULT_HOT_KEY_ROWS)))
-    hot_keys = fact.groupBy(*keys).count().filter(F.col("count") > threshold).select(*keys)
-    hot_b, ok = bounded_broadcast(hot_keys.withColumn("__hot", F.lit(True)), max_rows)
-    if not ok:
-        return fact.join(dim, keys, how)
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    fact_s = (fact.join(hot_b, keys, "left")
-              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)))
-                          .otherwise(F.lit(0)).cast("int"))
-              .drop("__hot"))
-    dim_s = (dim.join(hot_b, keys, "left")
-             .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                             .otherwise(F.array(F.lit(0)))))
-             .drop("__hot"))
-    return fact_s.join(dim_s, keys + ["__salt"], how).drop("__salt")
+    target = hot_key_rows or _conf(fact, CONF_HOT_KEY_ROWS, DEFAULT_HOT_KEY_ROWS)
+    path = scratch_dir(spark, "hot-keys")
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > target)
+    counts.write.parquet(path)
+    hot = spark.read.schema(counts.schema).parquet(path)
+    bound = max_rows if max_rows is not None else max_broadcast_rows(fact)
+    while hot.filter(F.col("__n") > target).count() > max(bound, 1):
+        target *= 2
+    salts = F.ceil(F.col("__n") / target).cast("int")
+    side = F.broadcast(hot.filter(F.col("__n") > target).select(*keys, salts.alias("__salts")))
+    one = F.coalesce("__salts", F.lit(1)).alias("__salts")
+    return _salted(fact.join(side, keys, "left").select(*fact.columns, one),
+                   dim.join(side, keys, "left").select(*dim.columns, one), keys, how)
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:

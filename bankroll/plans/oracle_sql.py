@@ -93,13 +93,13 @@ select customer_id, count(*) as account_count from bk_account where status = 'Ac
 group by customer_id""",
     "q5b": f"""
 select a.customer_id, {_QUARTER.format(t='t.txn_time')} as "quarter",
-       cast(sum(cast(t.amount as decimal(18,2))) as double) as amount
+       cast(sum(cast(cast(t.amount as varchar) as decimal(38,12))) as double) as amount
 from bk_txn t join bk_account a on t.account_id = a.account_id
 group by 1, 2""",
     "q6": """
 select a.branch_id, cast(extract(year from t.txn_time) as varchar) as txn_year,
        cast(t.txn_time as date) as txn_date,
-       cast(sum(cast(t.amount as decimal(18,2))) as double) as total_amount, count(*) as count_txn
+       cast(sum(cast(cast(t.amount as varchar) as decimal(38,12))) as double) as total_amount, count(*) as count_txn
 from bk_txn t join bk_account a on t.account_id = a.account_id
 where t.status = 'approved'
 group by 1, 2, 3""",
@@ -109,10 +109,12 @@ select 'account_active' as event, customer_id, account_id from bk_account where
 
 
 def q5_sql(min_accounts: int, min_amount: float) -> str:
+    """Big spenders by quarter among the customers who hold enough active accounts."""
     return f"""
-select txn."quarter", txn.customer_id, txn.amount
-from q5b as txn join q5a as acct on txn.customer_id = acct.customer_id
-where acct.account_count > {min_accounts} and txn.amount >= {min_amount}"""
+select "quarter", customer_id, amount from q5b
+where amount >= {min_amount}
+  and customer_id in (select customer_id from bk_account where status = 'Active'
+                      group by customer_id having count(*) > {min_accounts})"""
 
 
 def with_mapping(body: str, extra: dict[str, str] | None = None) -> str:
@@ -215,7 +217,8 @@ _UUID_OK = ("({c} is null or regexp_full_match(replace(regexp_replace(regexp_rep
             "'[0-9a-fA-F]{{32}}'))")
 
 FUNCTION_SQL = {
-    "f9": "select account_id, opened_at, closed_at from bk_account",
+    "f9": "select account_id, opened_at, closed_at, cast(opened_at as date) as opened_on, "
+          "cast(null as date) as bad_date, cast(null as timestamp) as bad_time from bk_account",
     "f10": "select account_id, strftime(cast(opened_at as date), '%Y-%m-%d') as opened_on, "
            "strftime(cast(closed_at as date), '%Y-%m-%d') as closed_on from bk_account",
     "f11": f"select account_id, {_iso_utc('opened_at')} as opened_at, {_iso_utc('closed_at')} as closed_at "
@@ -226,7 +229,9 @@ FUNCTION_SQL = {
         for c in ("txn_id", "account_id", "approved_by_emp_id")),
     "f14": "select customer_id, upper(substr(sha256('PAN-' || cast(customer_id as varchar)), 1, 16)) "
            "as pan_hash from bk_customer",
-    "f17": "select txn_id, round(greatest(1.0, least(amount * 2, 150000.0)), 2) as amount from bk_txn",
+    # rounded as decimal text, so ties are ties
+    "f17": "select txn_id, cast(round(cast(cast(greatest(1.0, least(amount * 0.125, 150000.0)) as varchar) "
+           "as decimal(38,12)), 2) as double) as amount from bk_txn",
     "t7": "select * exclude (rn) from (select *, row_number() over (partition by account_id "
           "order by txn_time desc, txn_id desc) as rn from bk_txn) where rn = 1",
     "s8": "select * from bk_txn",
@@ -238,3 +243,24 @@ FUNCTION_SQL["s7"] = (
     "'amount', amount, 'currency', currency, 'txn_time', epoch_ms(txn_time), 'channel', channel, "
     "'status', status, 'product_id', cast(product_id as varchar), "
     "'approved_by_emp_id', cast(approved_by_emp_id as varchar)) as varchar) as value from bk_txn")
+
+_TEXT_ID = "cast({c} as varchar) as {c}"
+FUNCTION_SQL["s5"] = (
+    f"select {_TEXT_ID.format(c='account_id')}, {_TEXT_ID.format(c='customer_id')}, account_type, status, "
+    f"{_TEXT_ID.format(c='branch_id')}, {_iso_utc('opened_at')} as opened_at, {_iso_utc('closed_at')} as closed_at "
+    f"from bk_account")
+FUNCTION_SQL["s4"] = f"select *, 7 as n_keys from ({FUNCTION_SQL['s5']})"
+
+FUNCTION_SQL["s8q"] = """
+, sent as (select txn_id, right(txn_id, 1) as last, cast(json_object('txn_id', txn_id,
+  'account_id', case when right(txn_id, 1) = '1' then 'none' else md5(cast(account_id as varchar)) end,
+  'txn_type', txn_type, 'amount', amount,
+  'currency', case when right(txn_id, 1) = '2' then null else currency end,
+  'txn_time', epoch_ms(txn_time), 'channel', channel, 'status', status,
+  'product_id', md5(cast(product_id as varchar)),
+  'approved_by_emp_id', md5(cast(approved_by_emp_id as varchar))) as varchar) as value from bk_txn)
+select case when last not in ('0', '1', '2') then txn_id end as txn_id,
+       case last when '0' then left(value, 60) when '1' then value when '2' then value end as value,
+       case last when '0' then 'unparseable record' when '1' then 'bad id account_id'
+                 when '2' then 'null currency' else '' end as reason
+from sent"""

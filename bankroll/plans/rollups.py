@@ -14,10 +14,9 @@ Scale notes (what the physical plans look like):
   account and bucket, and a hot account (a third of all rows) collapses to one row per
   bucket map-side, so it never makes one join task hot. Sums are exact decimals, so the
   two-level sum equals the one-level sum.
-* Dimension sides are broadcast only behind a counted size bound
-  (``operators.joins.bounded_broadcast``); beyond it the joins shuffle and AQE splits
-  skewed partitions. Row-level joins (Q3R, Q4) then also route the rows of hot keys
-  through a broadcast of their few dimension rows (``operators.joins.lookup_join``).
+* Dimension sides are broadcast only behind a measured size bound
+  (``operators.joins.bounded_broadcast``); beyond it the joins shuffle, AQE splits skewed
+  partitions, and row-level joins (Q3R, Q4) salt hot keys (``operators.joins.lookup_join``).
 """
 
 from __future__ import annotations
@@ -55,9 +54,16 @@ def q2_high_value_by_minute(t: Tables, threshold: float = HIGH_VALUE) -> DataFra
     )
 
 
+def _joined(x: DataFrame, side: DataFrame, small: bool, t: Tables) -> DataFrame:
+    """Transactions with the account side: map-side if it is small, else hot keys are split."""
+    if small:
+        return x.join(side, "account_id")
+    return lookup_join(x, side, "account_id", rows_of=t["account"])
+
+
 def account_city(t: Tables) -> DataFrame:
     """account_id -> city through the account's branch (J1 side of J2)."""
-    branch, _ = bounded_broadcast(t["branch"].select("branch_id", "city"))
+    branch, _ = bounded_broadcast(t["branch"].select("branch_id", "city"), rows_of=t["branch"])
     return t["account"].select("account_id", "branch_id").join(branch, "branch_id") \
         .select("account_id", "city")
 
@@ -68,9 +74,9 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
     ``threshold`` (inner joins transaction -> account -> branch; status not filtered)."""
     hv = t["transaction"].filter(B.above("amount", threshold)) \
         .select("account_id", "txn_id", F.window("txn_time", window).alias("w"))
-    cities, small = bounded_broadcast(account_city(t))
+    cities, small = bounded_broadcast(account_city(t), rows_of=t["account"])
     if small or hv.isStreaming:  # one aggregation after the join (a stream allows only one)
-        counted = (hv.join(cities, "account_id")
+        counted = (_joined(hv, cities, small, t)
                    .groupBy("w", "city").agg(F.count("txn_id").alias("txn_count")))
     else:  # reduce per (account, window) before the shuffle join
         per_account = hv.groupBy("account_id", "w").agg(F.count("txn_id").alias("n"))
@@ -81,26 +87,26 @@ def q3_high_value_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
 
 
 def q3r_high_value_rows_by_city(t: Tables, threshold: float = CITY_HIGH_VALUE,
-                                split_hot: bool | None = None) -> DataFrame:
+                                split_hot: bool = True) -> DataFrame:
     """Q3R: the single high-value transactions behind Q3, with hour key and city."""
     x = t["transaction"].filter(B.above("amount", threshold)) \
         .select("txn_id", "account_id", "amount", "txn_time")
-    joined = lookup_join(x, account_city(t), "account_id", split_hot=split_hot)
+    joined = lookup_join(x, account_city(t), "account_id", split_hot=split_hot, rows_of=t["account"])
     return joined.select(
         B.hour_bucket("txn_time").alias("bucket_hour"), "city", "account_id", "txn_id", "amount",
     )
 
 
-def q4_withdrawals_by_employee(t: Tables, split_hot: bool | None = None) -> DataFrame:
+def q4_withdrawals_by_employee(t: Tables, split_hot: bool = True) -> DataFrame:
     """Q4: withdrawals with their approving employee, the employee's branch name and
     the quarter (inner joins; rows without approver or with unknown approver drop)."""
     x = t["transaction"].filter(
         (F.col("txn_type") == "Withdrawal") & F.col("approved_by_emp_id").isNotNull()
     ).select("approved_by_emp_id", "txn_time", "txn_id", "account_id", "currency", "amount")
-    branch, _ = bounded_broadcast(t["branch"].select("branch_id", "branch_name"))
+    branch, _ = bounded_broadcast(t["branch"].select("branch_id", "branch_name"), rows_of=t["branch"])
     staff = (t["employee"].select(F.col("emp_id").alias("approved_by_emp_id"), "branch_id")
              .join(branch, "branch_id").select("approved_by_emp_id", "branch_name"))
-    joined = lookup_join(x, staff, "approved_by_emp_id", split_hot=split_hot)
+    joined = lookup_join(x, staff, "approved_by_emp_id", split_hot=split_hot, rows_of=t["employee"])
     return joined.select(
         F.col("approved_by_emp_id").alias("employee_id"),
         B.quarter_label("txn_time").alias("quarter"),
@@ -117,9 +123,9 @@ def q5a_active_accounts(t: Tables) -> DataFrame:
 def q5b_customer_quarter_total(t: Tables) -> DataFrame:
     """Sum of amounts per customer and quarter (every type, status and currency)."""
     x = t["transaction"].select("account_id", B.quarter_label("txn_time").alias("quarter"), "amount")
-    owners, small = bounded_broadcast(t["account"].select("account_id", "customer_id"))
+    owners, small = bounded_broadcast(t["account"].select("account_id", "customer_id"), rows_of=t["account"])
     if small or x.isStreaming:
-        grouped = x.join(owners, "account_id").groupBy("customer_id", "quarter") \
+        grouped = _joined(x, owners, small, t).groupBy("customer_id", "quarter") \
             .agg(*B.money_sum_parts("amount", "amt"))
     else:  # reduce per (account, quarter) before the shuffle join
         per_account = x.groupBy("account_id", "quarter").agg(*B.money_sum_parts("amount", "amt"))
@@ -138,7 +144,7 @@ def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
     totals = (q5b if q5b is not None else q5b_customer_quarter_total(t)) \
         .filter(F.col("amount") >= min_amount)
     if not totals.isStreaming:
-        counts, _ = bounded_broadcast(counts)
+        counts, _ = bounded_broadcast(counts, rows_of=q5a if q5a is not None else t["account"])
     return totals.join(counts, "customer_id").select("quarter", "customer_id", "amount")
 
 
@@ -146,9 +152,9 @@ def q6_branch_daily(t: Tables) -> DataFrame:
     """Q6: per branch and UTC date, total and count of approved transactions."""
     x = (t["transaction"].filter(F.col("status") == "approved")
          .select("account_id", B.to_day("txn_time").alias("txn_date"), "amount"))
-    branches, small = bounded_broadcast(t["account"].select("account_id", "branch_id"))
+    branches, small = bounded_broadcast(t["account"].select("account_id", "branch_id"), rows_of=t["account"])
     if small or x.isStreaming:
-        grouped = x.join(branches, "account_id").groupBy("branch_id", "txn_date") \
+        grouped = _joined(x, branches, small, t).groupBy("branch_id", "txn_date") \
             .agg(*B.money_sum_parts("amount", "amt"), F.count(F.lit(1)).alias("count_txn"))
     else:  # reduce per (account, date) before the shuffle join
         per_account = x.groupBy("account_id", "txn_date") \

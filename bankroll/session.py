@@ -8,7 +8,7 @@ and coalesces small ones.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,15 +49,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def shuffle_partitions_for(input_bytes: int, slots: int) -> int:
     """Shuffle partitions so one partition carries about 256 MB of the largest input (it
     fits executor memory and sort buffers without heavy spill); AQE coalesces small ones
     and splits skewed ones at run time. Never fewer than two per task slot."""
-    want = -(-input_bytes // TARGET_SHUFFLE_PARTITION_BYTES)
-    return int(max(2 * slots, min(want, MAX_SHUFFLE_PARTITIONS)))
+    return int(max(2 * slots, 1, -(-input_bytes // TARGET_SHUFFLE_PARTITION_BYTES)))
 
 
 def get_session(
@@ -72,16 +70,16 @@ def get_session(
 
     Shuffle partitions: ``shuffle_partitions`` if given; else sized from ``input_bytes``
     (the largest table a job reads) and ``slots`` (total task slots of the cluster) by
-    ``shuffle_partitions_for``; else 2x the local cores.
+    ``shuffle_partitions_for``; else Spark's own setting stays as it is.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = slots or os.cpu_count() or 8
     conf = dict(SESSION_CONF)
     if shuffle_partitions is None and input_bytes:
-        shuffle_partitions = shuffle_partitions_for(input_bytes, cores)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 2 * cores)
+        shuffle_partitions = shuffle_partitions_for(input_bytes, slots or 0)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -95,8 +93,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and landed tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared file system there).
-    Only when it is unset -- local runs and tests -- a fresh scratch folder is created
-    and registered, so later lookups return the same place.
+    Only when it is unset and the master is local (one machine) a fresh scratch folder is
+    created and registered, so later lookups return the same place; on a cluster an unset
+    folder is an error, as each machine would write to its own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -104,6 +103,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if registered:
             # the context appends a random child folder; the shared root is its parent
             return registered.rstrip("/").rsplit("/", 1)[0]
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="bankroll-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         return path

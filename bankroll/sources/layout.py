@@ -20,6 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions_for
+from .records import encode
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -55,7 +58,15 @@ LAYOUTS: dict[str, Layout] = {
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions of a range write: as asked, else one per ``TARGET_SHUFFLE_PARTITION_BYTES``
+    of the files that ``df`` reads (a result is no larger than its input)."""
+    if partitions:
+        return partitions
+    size = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total, at = 0, size.iterator()
+    while at.hasNext():
+        total += min(int(str(at.next().stats().sizeInBytes())), 1 << 60)
+    return shuffle_partitions_for(total, 0)
 
 
 def clustered(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
@@ -102,12 +113,15 @@ def save_table(df: DataFrame, table: str, path: str, name: str | None = None,
 
 
 def write_json(tables: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> None:
-    """One line-delimited JSON file set per table (distributed write, one folder each)."""
+    """One line-delimited JSON file set per table (distributed write, one folder each), in
+    the wire form of the contract; a null field is written as null."""
     for name, df in tables.items():
-        df.write.mode(mode).json(f"{out_dir.rstrip('/')}/{name}")
+        (encode(df, name).write.mode(mode).option("ignoreNullFields", False)
+         .json(f"{out_dir.rstrip('/')}/{name}"))
 
 
 def write_csv(tables: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> None:
-    """One CSV file set with header per table."""
+    """One CSV file set with header per table, in the wire form of the contract."""
     for name, df in tables.items():
-        df.write.mode(mode).option("header", True).csv(f"{out_dir.rstrip('/')}/{name}")
+        (encode(df, name).write.mode(mode).option("header", True)
+         .csv(f"{out_dir.rstrip('/')}/{name}"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import buckets as B
-from ..model import FIELD_ORDER, RAW_DIMENSIONS, RAW_TRANSACTION, SCHEMAS
+from ..model import CORRUPT, FIELD_ORDER, RAW_DIMENSIONS, RAW_TRANSACTION, SCHEMAS
 
 # Topic names of the streams.
 TOPICS = {
@@ -84,15 +84,16 @@ def _typed(raw: DataFrame, table: str) -> list:
     return cols
 
 
-def decode(raw: DataFrame, table: str, check_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+def decode(raw: DataFrame, table: str, check_ids: bool = True) -> tuple[DataFrame, DataFrame]:
     """Wire rows -> ``(typed rows, quarantined wire rows + reason)``.
 
-    A row is quarantined when a non-null time text does not parse, a required column
-    is null, or (``check_ids``) an id is not UUID text (F12). Columns that are not part
-    of the contract (e.g. a ``seq`` version) pass through after the contract columns.
+    A row is quarantined when its text did not parse (``_corrupt_record``, if present, holds
+    it), a non-null time text does not parse, a required column is null, or an id is not
+    UUID text (F12; ``check_ids=False`` accepts other ids). Columns that are not part of the
+    contract (e.g. a ``seq`` version) pass through after the contract columns.
     """
     contract = {f.name for f in SCHEMAS[table].fields}
-    extra = [c for c in raw.columns if c not in contract]
+    extra = [c for c in raw.columns if c not in contract and c != CORRUPT]
     typed = raw.select(*[F.col(c) for c in raw.columns],
                        *[c.alias(f"__t_{f.name}") for c, f in zip(_typed(raw, table),
                                                                    SCHEMAS[table].fields)])
@@ -107,7 +108,9 @@ def decode(raw: DataFrame, table: str, check_ids: bool = False) -> tuple[DataFra
             problems.append(F.when(src.isNotNull() & ~B.is_finite(src), F.lit(f"non-finite {f.name}")))
         if check_ids and f.name in ID_COLUMNS:
             problems.append(F.when(~B.uuid_is_valid(src), F.lit(f"bad id {f.name}")))
-    reason = F.concat_ws("; ", F.array_compact(F.array(*problems))) if problems else F.lit("")
+    reason = F.concat_ws("; ", F.array_compact(F.array(*problems)))
+    if CORRUPT in raw.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("unparseable record")).otherwise(reason)
     flagged = typed.withColumn("__reason", reason)
     good = flagged.filter(F.col("__reason") == "").select(
         *[F.col(f"__t_{f.name}").alias(f.name) for f in SCHEMAS[table].fields], *extra)
@@ -128,15 +131,16 @@ def emit_keyed(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def parse_keyed(messages: DataFrame, table: str, check_ids: bool = False
+def parse_keyed(messages: DataFrame, table: str, check_ids: bool = True
                 ) -> tuple[DataFrame, DataFrame]:
     """Decode the ``value`` JSON of keyed messages against the table's wire schema.
-    Unparseable JSON and malformed fields land in the quarantine frame."""
-    parsed = messages.select(F.from_json("value", wire_schema(table)).alias("r"),
-                             F.col("value"))
-    not_json = parsed.filter(F.col("r").isNull()).select(
-        F.col("value"), F.lit("unparseable record").alias("reason"))
-    good, bad = decode(parsed.filter(F.col("r").isNotNull()).select("r.*"), table, check_ids)
-    bad = bad.select(F.to_json(F.struct(*[F.col(c) for c in FIELD_ORDER[table]]),
-                               {"ignoreNullFields": "false"}).alias("value"), "reason")
-    return good, bad.unionByName(not_json)
+    Messages that are no JSON of the schema, or have malformed fields, land in the quarantine
+    frame ``(value, reason)`` with their value as it came."""
+    schema = T.StructType([*wire_schema(table).fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = messages.select(
+        F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("r"),
+        F.col("value").alias("__value"))
+    rows = parsed.select("r.*", "__value", F.when(F.col("r").isNull(), F.lit("")).otherwise(
+        F.col(f"r.{CORRUPT}")).alias("__bad")).drop(CORRUPT).withColumnRenamed("__bad", CORRUPT)
+    good, bad = decode(rows, table, check_ids)
+    return good.drop("__value"), bad.select(F.col("__value").alias("value"), "reason")

@@ -20,10 +20,16 @@ changelogs. For micro-batch ``N`` the ``foreachBatch`` function
    is read -- and writes ``results/<name>/batch_id=N``: one row per touched key, with
    ``deleted = true`` where the key no longer has a result.
 
-Landed transactions are partitioned by ``batch_id`` and ``txn_month``. Transactions are
-immutable events (a re-delivery repeats the event, time included), so earlier versions
-of a batch's transactions are looked up in that batch's months only; a dimension change
-revisits the full history of the accounts / employees it concerns, as it must.
+Landed transactions are partitioned by ``batch_id`` and ``txn_month``. Hash-bucketed indexes
+tell in which months a transaction, an account or an employee has rows, so a batch reads the
+months it concerns and no others. A re-delivered transaction may carry a corrected time:
+where its month changes, a row that says so (``moved``) is landed in the old month, so the
+newest versions within any set of months are right for these months.
+
+Every ``snapshot_every`` batches dimension states, results and indexes are snapshotted, and
+of the transactions the months written to since. Files read per batch are then bounded: for
+each index bucket and month touched, those of one snapshot and of at most
+``2 * snapshot_every`` batches, whatever the history's length.
 
 The read view of a result is its newest row per result key without deleted rows
 (``read_view``); after every batch it equals the batch rollup over everything landed.
@@ -35,6 +41,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +61,12 @@ DEPENDS = {"q1": (), "q2": (), "q3": ("account", "branch"), "q3r": ("account", "
            "q4": ("employee", "branch"), "q5b": ("account",), "q6": ("account",)}
 
 
+# indexes over landed transactions: name -> id column
+INDEXES = {"txn": "txn_id", "account": "account_id", "employee": "approved_by_emp_id"}
+INDEX_BUCKETS = 64
+INDEX_SCHEMA = "id string, txn_month string, batch_id long, bucket int"
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -62,7 +75,8 @@ class LandedRefresh:
     """Keeps the maintained tables under ``root`` fresh from one tagged stream."""
 
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 results: tuple[str, ...] = ALL_RESULTS, snapshot_every: int = 20):
+                 results: tuple[str, ...] = ALL_RESULTS, snapshot_every: int = 20,
+                 check_ids: bool = True):
         """``root`` holds landed data, results and (by default) the stream checkpoint; it
         defaults to ``<spark.checkpoint.dir>/bankroll/landed`` -- a shared folder on a
         cluster -- and stays the same across restarts. Every ``snapshot_every`` batches
@@ -73,7 +87,9 @@ class LandedRefresh:
         self.root = root.rstrip("/")
         self.results = tuple(r for r in ALL_RESULTS if r in results)
         self.snapshot_every = snapshot_every
+        self.check_ids = check_ids
         self._snaps: dict[tuple[str, str], list[int]] = {}
+        self._months: dict[str, list[int]] | None = None
 
     # ------------------------------------------------------------------ storage
     def land_path(self, kind: str) -> str:
@@ -87,16 +103,87 @@ class LandedRefresh:
         (transactions also carry their ``txn_month`` partition)."""
         parts = [T.StructField("seq", T.LongType()), T.StructField("batch_id", T.StringType())]
         if kind == "transaction":
-            parts.append(T.StructField("txn_month", T.StringType()))
-        schema = T.StructType(SCHEMAS[kind].fields + parts)
+            parts += [T.StructField("moved", T.BooleanType()), T.StructField("txn_month", T.StringType())]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in SCHEMAS[kind].fields] + parts)
         df = (self.spark.read.schema(schema).parquet(self.land_path(kind))
               .withColumn("batch_id", F.col("batch_id").cast("long")))
         return df
 
     @staticmethod
     def _newest(df: DataFrame, kind: str) -> DataFrame:
-        out = latest_by_key(df, PRIMARY_KEYS[kind], ["batch_id", "seq"]).drop("batch_id", "seq")
-        return out.drop("txn_month") if "txn_month" in out.columns else out
+        if kind == "transaction":  # a row outranks a "moved" mark of its own version
+            live = F.when(F.col("moved"), 0).otherwise(1)
+            out = latest_by_key(df.withColumn("live", live), "txn_id", ["batch_id", "seq", "live"])
+            return out.filter("live = 1").drop("batch_id", "seq", "live", "moved", "txn_month")
+        return latest_by_key(df, PRIMARY_KEYS[kind], ["batch_id", "seq"]).drop("batch_id", "seq")
+
+    # ------------------------------------------------------------------ months
+    def _index(self, name: str, ids: DataFrame, upto: int) -> DataFrame:
+        """(id, txn_month) of the index ``name`` for ``ids`` as of batch ``upto``."""
+        path = f"{self.root}/index/{name}"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], "id string, txn_month string")
+        ids = ids.select(F.col(ids.columns[0]).alias("id")).filter("id is not null").distinct()
+        bucket = F.pmod(F.xxhash64("id"), F.lit(INDEX_BUCKETS)).cast("int")
+        touched = [r[0] for r in ids.select(bucket).distinct().collect()]  # at most INDEX_BUCKETS
+        rows = self.spark.read.schema(INDEX_SCHEMA).parquet(path)
+        rows = self._with_snapshot("index", name, rows, upto).filter(F.col("bucket").isin(touched))
+        return rows.join(ids, "id", "left_semi").select("id", "txn_month").distinct()
+
+    def _months_of(self, name: str, ids: DataFrame, upto: int) -> list[str]:
+        """The months (a calendar-bounded handful) in which the ids have transactions."""
+        return sorted(r[0] for r in self._index(name, ids, upto).select("txn_month").distinct().collect())
+
+    def _txns(self, months: list[str], upto: int) -> DataFrame:
+        """Versions of the transactions of ``months`` as of batch ``upto``: of each month the
+        newest snapshot and the batches after it."""
+        rows = self._landed("transaction").filter(F.col("batch_id") <= upto)
+        since: dict[int, list[str]] = {}
+        for m in months:
+            done = [u for u in self._month_snapshots().get(m, []) if u <= upto]
+            since.setdefault(max(done, default=-1), []).append(m)
+        parts = [] if since else [rows.filter(F.lit(False))]
+        for u, own in since.items():
+            here = rows.filter(F.col("txn_month").isin(own))
+            if u >= 0:
+                snap = (self.spark.read.schema(self._landed_schema())
+                        .parquet(f"{self._snap_path('land', 'transaction')}/upto={u}"))
+                here = here.filter(F.col("batch_id") > u).unionByName(
+                    snap.filter(F.col("txn_month").isin(own)).select(*rows.columns))
+            parts.append(here)
+        return _union(parts)
+
+    def _landed_schema(self) -> T.StructType:
+        return self._landed("transaction").schema
+
+    def _month_snapshots(self) -> dict[str, list[int]]:
+        """Committed snapshots of each month (read once, then kept: this object alone writes)."""
+        if self._months is None:
+            marks = f"{self._snap_path('land', 'transaction')}/marks"
+            self._months = {}
+            if self._exists(marks):
+                for r in self.spark.read.parquet(marks).select("m", "txn_month").collect():
+                    self._months.setdefault(r["txn_month"], []).append(r["m"])
+        return self._months
+
+    def _snapshot_months(self, upto: int) -> None:
+        """Snapshot the months written to since their last snapshot."""
+        known = self._month_snapshots()
+        last = max((u for us in known.values() for u in us), default=-1)
+        dirty = [r[0] for r in self._landed("transaction").filter(
+            (F.col("batch_id") > last) & (F.col("batch_id") <= upto)).select("txn_month").distinct().collect()]
+        if not dirty:
+            return
+        base = self._snap_path("land", "transaction")
+        live = F.when(F.col("moved"), 0).otherwise(1)
+        # per month the newest version, marks of moved rows among them
+        newest = latest_by_key(self._txns(dirty, upto).withColumn("live", live), ["txn_month", "txn_id"],
+                               ["batch_id", "seq", "live"]).drop("live")
+        newest.write.mode("overwrite").partitionBy("txn_month").parquet(f"{base}/upto={upto}")
+        (self.spark.createDataFrame([(upto, m) for m in dirty], "m long, txn_month string")
+         .coalesce(1).write.mode("overwrite").parquet(f"{base}/marks/upto={upto}"))
+        for m in dirty:
+            known.setdefault(m, []).append(upto)
 
     # ------------------------------------------------------------------ snapshots
     def _snap_path(self, area: str, name: str) -> str:
@@ -136,6 +223,13 @@ class LandedRefresh:
             rows = self._with_snapshot("land", kind, self._landed(kind), upto)
             snap = latest_by_key(rows, PRIMARY_KEYS[kind], ["batch_id", "seq"])
             self._write_snapshot("land", kind, snap, upto)
+        if self._exists(self.land_path("transaction")):
+            self._snapshot_months(upto)
+        for name in INDEXES:
+            path = f"{self.root}/index/{name}"
+            if self._exists(path):
+                rows = self._with_snapshot("index", name, self.spark.read.schema(INDEX_SCHEMA).parquet(path), upto)
+                self._write_snapshot("index", name, rows.dropDuplicates(["id", "txn_month"]), upto, "bucket")
         for name in self.results:
             if self._has_results(name):
                 rows = self._with_snapshot("results", name, self._results(name), upto)
@@ -143,9 +237,9 @@ class LandedRefresh:
                     .withColumn("deleted", F.lit(False))
                 self._write_snapshot("results", name, snap.select(*rows.columns), upto)
 
-    def _write_snapshot(self, area: str, name: str, df: DataFrame, upto: int) -> None:
+    def _write_snapshot(self, area: str, name: str, df: DataFrame, upto: int, *parts: str) -> None:
         base = self._snap_path(area, name)
-        df.write.mode("overwrite").parquet(f"{base}/upto={upto}")
+        df.write.mode("overwrite").partitionBy(*parts).parquet(f"{base}/upto={upto}")
         # commit mark, written after the snapshot is complete
         self.spark.createDataFrame([(upto,)], "m long").write.mode("overwrite") \
             .parquet(f"{base}/marks/upto={upto}")
@@ -163,7 +257,7 @@ class LandedRefresh:
     def stream(self, sources: dict[str, str | DataFrame], fmt: str = "json",
                max_files_per_trigger: int | None = None) -> DataFrame:
         """The tagged union of the sources: ``kind -> folder`` of wire records, or
-        ``kind -> streaming DataFrame`` already in wire form (e.g. ``Synth.transaction_stream``)."""
+        ``kind -> streaming DataFrame`` already in wire form."""
         streams = {k: (read_stream(self.spark, p, k, fmt, max_files_per_trigger)
                        if isinstance(p, str) else p) for k, p in sources.items()}
         return tagged_union(streams)
@@ -182,12 +276,15 @@ class LandedRefresh:
 
     # ------------------------------------------------------------------ one micro-batch
     def _exists(self, path: str) -> bool:
-        """Does a landed/result folder exist yet (resolved at analysis, no job)?"""
+        """Does a landed/result folder exist yet (resolved at analysis, no job)? Any error but
+        a missing path is raised."""
         try:
-            self.spark.read.parquet(path)
+            self.spark.read.schema("x int").parquet(path)
             return True
-        except Exception:  # noqa: BLE001 - missing path
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
 
     def land(self, batch: DataFrame, batch_id: int, counts: dict[str, int] | None = None) -> None:
         """Land every kind of the micro-batch. A kind without rows in this batch is skipped
@@ -200,19 +297,34 @@ class LandedRefresh:
                 rows = self.spark.createDataFrame([], changelog_schema(kind))
             else:
                 rows = batch.filter(F.col("kind") == kind).select(f"{kind}.*", "seq")
-            good, bad = decode(rows, kind)
-            w = good.write.mode("overwrite")
-            if kind == "transaction":  # month partitions let recomputes read touched months only
-                # range-partitioned on (month, id): each task writes a contiguous slice (few
-                # files), and a hot month -- usually the current one -- spreads over tasks
-                slots = self.spark.sparkContext.defaultParallelism
-                w = (good.withColumn("txn_month", F.date_format("txn_time", "yyyyMM"))
-                     .repartitionByRange(slots, "txn_month", "txn_id")
-                     .write.mode("overwrite").partitionBy("txn_month"))
-            w.parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
+            good, bad = decode(rows, kind, self.check_ids)
+            if kind == "transaction":
+                self._land_transactions(good, batch_id)
+            else:
+                good.write.mode("overwrite").parquet(f"{self.land_path(kind)}/batch_id={batch_id}")
             if present:
                 bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{kind}/batch_id={batch_id}")
 
+    def _land_transactions(self, good: DataFrame, n: int) -> None:
+        """Land by month, with a mark in each month that a transaction has left, and index."""
+        rows = good.withColumn("moved", F.lit(False)).withColumn("txn_month", F.date_format("txn_time", "yyyyMM"))
+        last = latest_by_key(rows.select("txn_id", "seq", "txn_month"), "txn_id", ["seq", "txn_month"])
+        before = _union([self._index("txn", rows.select("txn_id"), n - 1).toDF("txn_id", "old"),
+                         rows.select("txn_id", F.col("txn_month").alias("old"))]).distinct()
+        left = (before.join(last, "txn_id").filter("old <> txn_month")
+                .select("txn_id", "seq", F.lit(True).alias("moved"), F.col("old").alias("txn_month")))
+        # range-partitioned on (month, id): each task writes a contiguous slice (few files), and
+        # a hot month -- usually the current one -- spreads over tasks
+        slots = self.spark.sparkContext.defaultParallelism
+        (rows.unionByName(left, allowMissingColumns=True).repartitionByRange(slots, "txn_month", "txn_id")
+         .write.mode("overwrite").partitionBy("txn_month")
+         .parquet(f"{self.land_path('transaction')}/batch_id={n}"))
+        for name, column in INDEXES.items():
+            (rows.select(F.col(column).alias("id"), "txn_month").filter("id is not null").distinct()
+             .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(INDEX_BUCKETS)).cast("int"))
+             .repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+             .parquet(f"{self.root}/index/{name}/batch_id={n}"))
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -239,33 +351,27 @@ class LandedRefresh:
         after = {k: self._state(k, n) for k in DIMENSIONS}
         changed = {k: self._landed(k).filter(F.col("batch_id") == n).select(*PRIMARY_KEYS[k])
                    for k in DIMENSIONS}
-        txns = self._landed("transaction").filter(F.col("batch_id") <= n)
         new_rows = None
         if has("transaction"):
-            # Transactions are immutable events: a re-delivery repeats the event time, so
-            # earlier versions of this batch's transactions sit in the same months.
-            this_batch = txns.filter(F.col("batch_id") == n)
+            # the months of this batch's rows, those that a transaction has left among them
+            this_batch = self._landed("transaction").filter(F.col("batch_id") == n)
             months = [r[0] for r in this_batch.select("txn_month").distinct().collect()]
-            new_rows = (txns.filter(F.col("txn_month").isin(months))
-                        .join(this_batch.select("txn_id"), "txn_id", "left_semi"))
+            new_rows = self._txns(months, n).join(this_batch.select("txn_id"), "txn_id", "left_semi")
 
-        # accounts / employees whose own row or whose branch row changed in this batch;
-        # their transactions' whole history is revisited (a batch without dimension rows,
-        # the common case, skips this)
+        # accounts / employees whose own row or whose branch row changed in this batch: their
+        # transactions are revisited in the months in which they have any (a batch without
+        # dimension rows, the common case, skips this)
         dim_rows = {k: has(k) for k in ("account", "branch", "employee")}
         moved_branch = changed["branch"]
         by_account = by_employee = None
         if dim_rows["account"] or dim_rows["branch"]:
-            acct_touch = _union([changed["account"]] + [
+            by_account = self._revisited("account", _union([changed["account"]] + [
                 s["account"].join(moved_branch, "branch_id", "left_semi").select("account_id")
-                for s in (before, after)])
-            by_account = txns.join(acct_touch, "account_id", "left_semi")
+                for s in (before, after)]), n)
         if dim_rows["employee"] or dim_rows["branch"]:
-            emp_touch = _union([changed["employee"]] + [
+            by_employee = self._revisited("employee", _union([changed["employee"]] + [
                 s["employee"].join(moved_branch, "branch_id", "left_semi").select("emp_id")
-                for s in (before, after)])
-            by_employee = txns.join(emp_touch.withColumnRenamed("emp_id", "approved_by_emp_id"),
-                                    "approved_by_emp_id", "left_semi")
+                for s in (before, after)]), n)
 
         touched_out: dict[str, DataFrame] = {}
         for name in self.results:
@@ -284,22 +390,20 @@ class LandedRefresh:
             fn = R.ROLLUPS[name]
             keys = RESULT_KEYS[name]
             new_result = fn({"transaction": new, **after})
-            touched = (fn({"transaction": old, **before}).select(*keys)
-                       .unionByName(new_result.select(*keys)).distinct())
+            touched = self._kept(name, n, fn({"transaction": old, **before}).select(*keys)
+                                 .unionByName(new_result.select(*keys)).distinct())
             if name in ("q1", "q2", "q3r", "q4"):  # row results: a key depends on its row only
                 result = new_result
             else:
-                result = fn({"transaction": self._scope(name, txns, touched, after), **after})
+                result = fn({"transaction": self._scope(name, n, touched, after), **after})
             self._write(name, touched, result, n)
             touched_out[name] = touched
 
         if "q5a" in self.results and has("account"):
             acc_b = before["account"].join(changed["account"], "account_id", "left_semi")
             acc_a = after["account"].join(changed["account"], "account_id", "left_semi")
-            touched = (R.q5a_active_accounts({"account": acc_b}).select("customer_id")
-                       .unionByName(R.q5a_active_accounts({"account": acc_a}).select("customer_id"))
-                       .unionByName(acc_b.select("customer_id")).unionByName(acc_a.select("customer_id"))
-                       .distinct())
+            touched = self._kept("q5a", n, acc_b.select("customer_id")
+                                 .unionByName(acc_a.select("customer_id")).distinct())
             scope = after["account"].join(touched, "customer_id", "left_semi")
             self._write("q5a", touched, R.q5a_active_accounts({"account": scope}), n)
             touched_out["q5a"] = touched
@@ -321,7 +425,24 @@ class LandedRefresh:
             self._write("q5", touched, out, n)
 
     # ------------------------------------------------------------------ helpers
-    def _scope(self, name: str, txns: DataFrame, touched: DataFrame, after: dict) -> DataFrame:
+    def _kept(self, name: str, n: int, touched: DataFrame) -> DataFrame:
+        """The touched keys, written once and read by every use of them."""
+        path = f"{self.root}/touched/{name}/batch_id={n}"
+        touched.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(touched.schema).parquet(path)
+
+    def _revisited(self, index: str, ids: DataFrame, n: int) -> DataFrame | None:
+        """All versions of the ids' transactions; None if they have none."""
+        column = INDEXES[index]
+        ids = ids.toDF(column).distinct()
+        months = self._months_of(index, ids, n)
+        if not months:
+            return None
+        rows = self._txns(months, n)
+        mine = rows.join(ids, column, "left_semi").select("txn_id").distinct()
+        return rows.join(mine, "txn_id", "left_semi")
+
+    def _scope(self, name: str, n: int, touched: DataFrame, after: dict) -> DataFrame:
         """Newest versions of every transaction that can contribute to a touched group.
 
         Candidates are the landed versions whose time bucket is touched (Q3: window,
@@ -335,22 +456,21 @@ class LandedRefresh:
         bucket = {"q3": "window_start", "q5b": "quarter", "q6": "txn_date"}[name]
         buckets = touched.select(bucket).distinct()
         # the touched months (a calendar-bounded handful) prune the landed month partitions
-        months = [r[0] for r in self._months(name, buckets).collect()]
-        in_months = txns.filter(F.col("txn_month").isin(months))
+        months = [r[0] for r in self._bucket_months(name, buckets).collect()]
+        in_months = self._txns(months, n)
         cand = in_months.withColumn(bucket, bucket_of[name]()).join(buckets, bucket, "left_semi")
         owner = {"q5b": "customer_id", "q6": "branch_id"}.get(name)
         if owner:
             accounts = after["account"].join(touched.select(owner).distinct(), owner, "left_semi") \
                 .select("account_id")
             cand = cand.join(accounts, "account_id", "left_semi")
-        # versions of one (immutable) event share its month
         newest = self._newest(in_months.join(cand.select("txn_id"), "txn_id", "left_semi"),
                               "transaction")
         return (newest.withColumn(bucket, bucket_of[name]())
                 .join(buckets, bucket, "left_semi").drop(bucket))
 
     @staticmethod
-    def _months(name: str, pairs: DataFrame) -> DataFrame:
+    def _bucket_months(name: str, pairs: DataFrame) -> DataFrame:
         """Distinct ``yyyyMM`` months covered by the touched buckets."""
         if name == "q3":
             m = F.date_format("window_start", "yyyyMM")
@@ -380,14 +500,15 @@ class LandedRefresh:
         """Current content of result ``name``: newest row per result key, deleted rows
         dropped (optionally as of batch ``upto`` and for some customers only). Before the
         first write of ``name`` this is an empty table with the result's schema."""
+        empty = R.ROLLUPS[name]({k: self.spark.createDataFrame([], SCHEMAS[k])
+                                 for k in ("transaction", "account", "branch", "employee")})
         if not self._has_results(name):
-            empty = {k: self.spark.createDataFrame([], SCHEMAS[k])
-                     for k in ("transaction", "account", "branch", "employee")}
-            return R.ROLLUPS[name](empty)
+            return empty
         df = self._results(name)
         upto = upto if upto is not None else (1 << 62)
         df = self._with_snapshot("results", name, df, upto)
         if customers is not None:
             df = df.join(customers, "customer_id", "left_semi")
         keys = RESULT_KEYS[name]
-        return latest_by_key(df, keys, "batch_id", drop_deleted="deleted").drop("batch_id")
+        newest = latest_by_key(df, keys, "batch_id", drop_deleted="deleted")
+        return newest.select(*empty.columns)

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import FIELD_ORDER, WATERMARK_DELAY
+from ..model import CORRUPT, FIELD_ORDER, WATERMARK_DELAY
 from ..sources.records import wire_schema
 
-DIMENSIONS = ("account", "branch", "employee", "customer")
+DIMENSIONS = ("account", "branch", "employee", "customer", "product")
 KINDS = ("transaction",) + DIMENSIONS
 
 
@@ -28,15 +28,24 @@ def changelog_schema(table: str) -> T.StructType:
 
 def read_stream(spark: SparkSession, path: str, table: str, fmt: str = "json",
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Schema-first stream of wire records of ``table`` (never inferred)."""
-    r = spark.readStream.schema(changelog_schema(table)).format(fmt)
+    """Schema-first stream of wire records of ``table`` (never inferred). A JSON line that is
+    no record of the schema keeps its text in ``_corrupt_record``."""
+    schema = changelog_schema(table)
+    r = spark.readStream.format(fmt)
+    if fmt == "json":
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
+    r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(path)
 
 
 def typed_transactions(wire: DataFrame) -> DataFrame:
-    """Wire transactions (epoch-millis time) to typed rows (F8) in contract order."""
+    """Wire transactions (epoch-millis time) to typed rows (F8) in contract order; lines that
+    did not parse are left out."""
+    if CORRUPT in wire.columns:
+        wire = wire.filter(F.col(CORRUPT).isNull())
     return wire.withColumn("txn_time", F.timestamp_millis("txn_time")).select(*FIELD_ORDER["transaction"])
 
 

@@ -13,8 +13,9 @@ join instead of waiting (use ``landed.LandedRefresh`` for both).
 Options: with ``drop_late`` the event-time watermark (T1, ``txn_time - watermark``) is
 applied, so rows older than it are dropped and the state of the windowed aggregation (Q3)
 is evicted (T4); ``dedupe`` drops re-delivered transactions inside the watermark (T9).
-Both are off by default, as in the reference's SQL: every late row counts and the state
-of every group is kept (T3).
+Both are off by default, a choice: Spark drops rows behind a watermark, whereas the
+maintained tables are updating aggregations in which every late row counts, so the state
+of every group is kept (T3) unless dropping is asked for.
 """
 
 from __future__ import annotations

@@ -132,3 +132,20 @@ def test_nan_amount_is_never_high_value_and_sums_like_double(spark):
     assert math.isnan(sums[15]) and sums[1] == 1.10
     q5b = {r.quarter: r.amount for r in R.q5b_customer_quarter_total(t).collect()}
     assert math.isnan(q5b["2025Q1"])
+
+
+def test_amounts_below_a_cent_are_not_rounded(spark):
+    """1,000 amounts of 0.004 are 4.0, in the map-side plan and in the shuffle plan."""
+    from bankroll.operators import joins
+
+    for rows in (None, "0"):
+        if rows:
+            spark.conf.set(joins.CONF_MAX_BROADCAST_ROWS, rows)
+        try:
+            t = tables(spark, txns=[txn(f"t{k}", amount=0.004) for k in range(1000)])
+            assert R.q6_branch_daily(t).first().total_amount == 4.0
+            assert R.q5b_customer_quarter_total(t).first().amount == 4.0
+            t = tables(spark, txns=[txn("t1", amount=1e-15), txn("t2", amount=1.0)])  # beyond twelve places
+            assert R.q6_branch_daily(t).first().total_amount == 1.0 + 1e-15
+        finally:
+            spark.conf.unset(joins.CONF_MAX_BROADCAST_ROWS)

@@ -63,9 +63,42 @@ def test_keyed_emission_and_parse(spark):
     assert (m.topic, m.key) == ("banking.transactions", "acc-9")
     assert '"approved_by_emp_id":null' in m.value and '"txn_time":1736935200000' in m.value
     junk = spark.createDataFrame([("banking.transactions", "k", "{not json")], msgs.schema)
-    good, bad = records.parse_keyed(msgs.unionByName(junk), "transaction")
+    good, bad = records.parse_keyed(msgs.unionByName(junk), "transaction", check_ids=False)
     assert [tuple(r) for r in good.collect()] == [tuple(r) for r in df.collect()]
-    assert bad.count() == 1
+    assert [tuple(r) for r in bad.collect()] == [("{not json", "unparseable record")]
+
+
+def test_ids_are_checked_unless_told_otherwise(spark):
+    df = frame(spark, "transaction", [txn("t1", account_id="acc-9")])
+    good, bad = records.parse_keyed(records.emit_keyed(df, "transaction"), "transaction")
+    assert good.count() == 0 and "bad id account_id" in bad.first().reason
+    good, bad = records.decode(records.encode(df, "transaction"), "transaction")
+    assert good.count() == 0 and bad.count() == 1
+
+
+def test_null_and_mistyped_values_keep_their_text(spark):
+    rows = [("t", "k", None), ("t", "k", '{"amount":"much"}'), ("t", "k", "[]")]
+    msgs = spark.createDataFrame(rows, "topic string, key string, value string")
+    good, bad = records.parse_keyed(msgs, "transaction")
+    assert good.count() == 0
+    assert sorted((r.value or "") for r in bad.collect()) == sorted((v or "") for _, _, v in rows)
+
+
+def test_malformed_lines_of_a_stream_are_quarantined(spark, scratch):
+    import os
+
+    from bankroll.streaming.landed import LandedRefresh
+
+    src = f"{scratch}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as f:
+        f.write("{not json\n")
+    ref = LandedRefresh(spark, f"{scratch}/state", results=("q1",))
+    query = ref.start({"transaction": src}, f"{scratch}/ckpt", available_now=True)
+    query.awaitTermination(600)
+    bad = spark.read.parquet(f"{scratch}/state/quarantine/transaction").collect()
+    assert [(r._corrupt_record, r.reason) for r in bad] == [("{not json", "unparseable record")]
+    assert ref.read_view("q1").count() == 0
 
 
 def test_pan_hash(spark):

@@ -51,16 +51,57 @@ def test_hot_key_split_routes_hot_rows(spark):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
         F.col("id").alias("v"))
     dim = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
-    out = joins.lookup_join(fact, dim, "k", max_rows=10, split_hot=True, hot_key_rows=100, salts=8)
+    out = joins.lookup_join(fact, dim, "k", max_rows=10, hot_key_rows=100)
     assert out.count() == 3000
     assert out.filter(F.col("k") == 7).count() == 1001  # every third id, plus id 7
     assert out.filter(F.col("d") != F.col("k") * 10).count() == 0
     assert sorted(out.columns) == ["d", "k", "v"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "__salt" in plan
-    # the hot key's rows are spread over all salts
-    fact_s = fact.withColumn("__salt", F.pmod(F.xxhash64("k", "v"), F.lit(8)))
-    assert fact_s.filter(F.col("k") == 7).select("__salt").distinct().count() == 8
     left = joins.lookup_join(fact, dim.filter(F.col("k") != 7), "k", how="left", max_rows=10,
-                             split_hot=True, hot_key_rows=100, salts=8)
+                             hot_key_rows=100)
     assert left.count() == 3000 and left.filter(F.col("d").isNull()).count() == 1001
+
+
+def test_salts_follow_the_key_size(spark):
+    """A key gets a salt for each ``hot_key_rows`` of its rows; nothing falls back to a plain
+    join when many keys are hot."""
+    from pyspark.sql import functions as F
+
+    fact = spark.range(4000).select(F.when(F.col("id") < 2000, F.lit(-1)).otherwise(F.col("id") % 20).alias("k"),
+                                    F.col("id").alias("v"))
+    dim = spark.range(-1, 20).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    out = joins.lookup_join(fact, dim, "k", max_rows=4, hot_key_rows=50)  # 21 hot keys, 4 may be broadcast
+    assert out.count() == 4000 and out.select("k", "v").distinct().count() == 4000
+    assert "__salt" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_size_check_has_no_exchange_and_runs_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    ran, kind = [], type(spark.range(1))
+    observe = kind.observe
+    monkeypatch.setattr(kind, "observe", lambda self, *a: ran.append(1) or observe(self, *a))
+    side = spark.range(1000).select(F.col("id").alias("k"), F.lit("abc").alias("s"))
+    assert joins.measure(side, ["k", "s"]) == (1000, 1000 * (8 + 3))
+    assert joins.measure(side, ["k", "s"]) == (1000, 1000 * (8 + 3)) and len(ran) == 1
+    before = len(joins._MEASURED)
+    del side
+    import gc
+
+    gc.collect()
+    assert len(joins._MEASURED) < before
+    checked = spark.range(10).observe("n", F.count(F.lit(1)))
+    assert "Exchange" not in checked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bytes_bound_the_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    wide = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("s"))
+    spark.conf.set(joins.CONF_MAX_BROADCAST_BYTES, "1000")
+    try:
+        assert joins.bounded_broadcast(wide)[1] is False
+    finally:
+        spark.conf.unset(joins.CONF_MAX_BROADCAST_BYTES)
+    assert joins.bounded_broadcast(wide)[1] is True
