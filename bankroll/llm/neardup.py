@@ -183,7 +183,7 @@ def _in_groups(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = to
 
 
-def _cross_pairs(tbl: pa.Table, partners: bool = False) -> pa.Table:
+def _pairs_between(tbl: pa.Table, partners: bool) -> pa.Table:
     """Of the groups of one cell (of a large group: two of its blocks): the pairs of
     different components that share a right element, each pair only in the first group in
     which both meet. ``partners``: of these only each member's most similar one."""
@@ -220,8 +220,12 @@ def _cross_pairs(tbl: pa.Table, partners: bool = False) -> pa.Table:
     return _pairs(out[:, 0], out[:, 1])
 
 
+def _cross_pairs(tbl: pa.Table) -> pa.Table:
+    return _pairs_between(tbl, False)
+
+
 def _partner_pairs(tbl: pa.Table) -> pa.Table:
-    return _cross_pairs(tbl, partners=True)
+    return _pairs_between(tbl, True)
 
 
 def _rehashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
