@@ -12,9 +12,9 @@ A fingerprint has four blocks of 16 bits. For groups of item fingerprints tables
 each block value, the least distance to the group's values: if a window lies within
 ``RADIUS`` of a member, the sum of its four table values is no larger, so no fingerprint
 within the radius is lost. Windows that pass are compared with the group's members, and the
-places they name are verified: the weighted Jaccard similarity of the distinct five-word
-shingles of the item and of the document's words there (up to ``SLACK`` words off in
-place and length) must be 0.75 or more. A shingle weighs one over the number of items that
+documents they name are verified: the weighted Jaccard similarity of the distinct five-word
+shingles of the item and of a stretch of the document, of any place and length, must be
+0.75 or more. A shingle weighs one over the number of items that
 hold it.
 
 Cases: null or empty texts, and items without words, match nothing. An item of fewer than
@@ -37,7 +37,7 @@ from .common import string_buffers, text_batches
 
 GRID, SHARE = 1.25, 0.75
 RADIUS = 12
-SLACK = 2
+SLACK = 2                  # words; no bound here: the plain versions in the tests try stretches so far off
 LEAST = 75                 # per cent
 HEAVIEST = 4
 ITEMS_AT_ONCE = 5_000
@@ -251,39 +251,74 @@ class Items:
                 add(have, first[short], np.concatenate(prints, 1))
         return np.unique(np.concatenate(found), axis=0)
 
-    @staticmethod
-    def _window(words: np.ndarray, hashes: np.ndarray, shift: int, start: int, size: int,
-                text_words: int) -> np.ndarray:
-        """The shingles of ``size`` words from ``start`` on; those of the text if it is long enough."""
-        if size >= textnp.SHINGLE_WORDS or size == text_words:
-            return hashes[shift + start:shift + start + max(1, size - textnp.SHINGLE_WORDS + 1)]
-        return textnp.shingles(words[start:start + size], np.array([0, size]))[0]
-
     def matches(self, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
         """{(text, item): (similarity, first word in the text)} of the verified ones."""
+        out: dict[tuple[int, int], tuple[float, int]] = {}
         found = self.candidates(words, first)
         if not len(found):
-            return {}
-        # what the places around a candidate share with the items bounds what it can
+            return out
         hashes, own = textnp.shingles(words, first)
-        before = np.r_[0.0, np.cumsum(self.shared(hashes))]
-        text, item, _, at = found.T
-        low = own[text] + np.maximum(at - SLACK - first[text], 0)
-        high = np.minimum(low + self.length[item] + 3 * SLACK, own[text + 1])
-        bound = before[np.maximum(high, low)] - before[np.minimum(low, len(before) - 1)]
-        out: dict[tuple[int, int], tuple[float, int]] = {}
-        for t, k, _, a in found[100 * bound >= LEAST * self.total[item] - 1e-6].tolist():
-            w, begin, end = int(self.length[k]), int(first[t]), int(first[t + 1])
-            best = out.get((t, k), (0.0, 0))
-            starts = sorted(range(max(begin, a - SLACK), min(a + SLACK, end - 1) + 1), key=lambda x: abs(x - a))
-            for start in starts:
-                for size in {min(max(1, w + d), end - start) for d in range(-SLACK, SLACK + 1)}:
-                    if best[0] < 1.0:
-                        s = self.similarity(k, self._window(words, hashes, own[t] - begin, start, size, end - begin))
-                        if 100 * s >= LEAST - 1e-9 and s > best[0]:
-                            best = out[t, k] = (s, start - begin)
+        shared = self.shared(hashes)
+        known, before = np.flatnonzero(shared), np.r_[0.0, np.cumsum(shared)]
+        pairs = np.unique(found[:, :2], axis=0)
+        held = before[own[pairs[:, 0] + 1]] - before[own[pairs[:, 0]]]
+        text = None
+        for t, k in pairs[100 * held >= LEAST * self.total[pairs[:, 1]] - 1e-6].tolist():
+            begin, end = int(own[t]), int(own[t + 1])
+            if text is None or text.number != t:
+                at = known[np.searchsorted(known, begin):np.searchsorted(known, end)] - begin
+                text = _Text(t, hashes[begin:end], at)
+            best = self._best(k, text)
+            if best is not None:
+                out[t, k] = best
         return out
 
+    def _best(self, item: int, text: _Text) -> tuple[float, int] | None:
+        """(similarity, first word) of the stretch of a text most similar to an item, of any
+        place and length, if that is similar enough."""
+        own, total = self.shingles[item], float(self.total[item])
+        at = text.known[np.isin(text.hashes[text.known], own)]
+        if 100 * self.weigh(np.unique(text.hashes[at])).sum() < LEAST * total - 1e-6:
+            return None
+        # the best stretch begins and ends with shingles of the item, and none of them comes
+        # again in it before its end: what precedes the last of them adds nothing
+        weight = self.weigh(text.hashes)
+        same = np.zeros(len(weight), bool)
+        same[at] = True
+        gain = np.r_[0.0, np.cumsum(np.where(same, weight, 0.0))]
+        # shingles that are new to the text are new to every stretch; too many end it
+        strange = np.r_[0.0, np.cumsum(np.where(same | (text.previous >= 0), 0.0, weight))]
+        room = total * (100 / LEAST - 1) + 1e-6
+        reach = np.minimum(np.searchsorted(strange, strange[at] + room, side="right") - 1, text.following[at])
+        most = (gain[reach] - gain[at]) / total
+        found, place = LEAST / 100 - 1e-9, None
+        for start, end, bound in zip(at.tolist(), reach.tolist(), most.tolist()):
+            if bound + 1e-9 < found or found > 1 - 1e-9:
+                continue
+            new = np.where(text.previous[start:end] < start, weight[start:end], 0.0)
+            both = np.cumsum(np.where(same[start:end], new, 0.0))
+            alike = both / (total + np.cumsum(new) - both)
+            k = int(alike.argmax())
+            if alike[k] > found or (place is None and alike[k] >= found):
+                found, place = float(alike[k]), (start, start + k + 1)
+        if place is None:
+            return None
+        return self.similarity(item, text.hashes[place[0]:place[1]]), place[0]
+
+
+class _Text:
+    """The shingles of one text, the places of those that some item holds, and for each the
+    place at which it came before (-1: nowhere) and comes next (the text's end: nowhere)."""
+
+    def __init__(self, number: int, hashes: np.ndarray, known: np.ndarray) -> None:
+        self.number, self.hashes, self.known = number, hashes, known
+        order = np.argsort(hashes, kind="stable")
+        again = np.flatnonzero(hashes[order[1:]] == hashes[order[:-1]])
+        self.previous = np.full(len(hashes), -1, np.int64)
+        self.following = np.full(len(hashes), len(hashes), np.int64)
+        self.previous[order[again + 1]] = order[again]
+        self.following[order[again]] = order[again + 1]
+
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

@@ -120,3 +120,49 @@ def test_short_document_and_odd_rows(lm, documents):
     odd = odd_documents(lm, documents)
     assert D.clean(odd, items).count() == odd.count()
     assert D.contaminated(odd, items.limit(0)).count() == 0 and D.contaminated(odd.limit(0), items).count() == 0
+
+
+def any_stretch(words, item):
+    """Highest similarity of any stretch whatever, the plain way."""
+    own, out = brute.shingles(" ".join(item)), 0.0
+    for at in range(len(words)):
+        seen = set()
+        for end in range(at + 5, len(words) + 1):
+            seen.add(tuple(words[end - 5:end]))
+            out = max(out, len(own & seen) / len(own | seen))
+    return out
+
+
+def test_inserted_and_deleted_words():
+    r = random.Random(3)
+    fresh = lambda n: ["".join(r.choices("klmnopqr", k=7)) for _ in range(n)]
+    items = [fresh(59) for _ in range(8)] + [fresh(200) for _ in range(8)]
+    docs = []
+    for k, item in enumerate(items):
+        half, n = len(item) // 2, (6, 5, 8, 0)[k % 4] if k < 8 else (30, -30, 20, -20)[k % 4]
+        if k < 8 and k % 4 == 1:
+            n = -n
+        body = item[:half] + (fresh(n) if n > 0 else []) + item[half + max(0, -n):]
+        docs.append(fresh(r.randrange(0, 120)) + body + fresh(r.randrange(0, 120)))
+    docs += [items[0][:30] + fresh(200) + items[0][30:], items[9] + items[9][:80] + items[9]]
+    have = D.Items(list(range(len(items))), [" ".join(x) for x in items])
+    words, first = hashed(docs)
+    got = have.matches(words, first)
+    want = {(t, t): any_stretch(d, items[t]) for t, d in enumerate(docs[:len(items)])}
+    want[len(items) + 1, 9] = 1.0
+    assert all(s >= 0.75 for s in want.values())
+    # fingerprints may miss a far one; whatever they propose is to be verified
+    proposed = {(t, k) for t, k, _, _ in have.candidates(words, first).tolist()}
+    want = {k: s for k, s in want.items() if k in proposed}
+    assert len(want) >= 15
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][0] - s) < 1e-9 for k, s in want.items())
+
+
+def hashed(docs):
+    data = np.frombuffer(" ".join(" ".join(d) for d in docs).encode(), np.uint8)
+    sizes = [len(" ".join(d)) + 1 for d in docs]
+    offsets = np.r_[0, np.cumsum(sizes)]
+    offsets[-1] -= 1
+    start, end, first = D.textnp.words(data, offsets)
+    return D.textnp.hash_words(data, start, end), first
