@@ -18,7 +18,7 @@ shingles of the item and of a stretch of the document, of any place and length,
 hold it.
 
 Cases: null or empty texts, and items without words, match nothing. An item of fewer than
-five words has one shingle. A document shorter than a window is one window itself. Items
+five words has one shingle, and is looked up by it among all runs of so many words. A document shorter than a window is one window itself. Items
 that repeat are all reported. Whole documents are read; items are handled in blocks of
 ``ITEMS_AT_ONCE``, so the benchmark may be of any size.
 """
@@ -189,10 +189,14 @@ class Items:
         self.weigh = _Known(kinds, 1.0 / times, 1.0)
         self.shared = _Known(kinds, 1.0 / times, 0.0)
         self.total = np.array([self.weigh(s).sum() for s in self.shingles])
+        # items shorter than a shingle: their one shingle, by number of words
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k in np.flatnonzero((n > 0) & (n < textnp.SHINGLE_WORDS)).tolist():
+            self.short.setdefault(int(n[k]), {}).setdefault(int(self.shingles[k][0]), []).append(k)
         by_size: dict[int, list[int]] = {}
         sizes = grid(int(n.max(initial=1)))
         for k, w in enumerate(n.tolist()):
-            if w:
+            if w >= textnp.SHINGLE_WORDS:
                 by_size.setdefault(max(g for g in sizes if g <= max(1, SHARE * w)), []).append(k)
         self.sizes: dict[int, _Stretches] = {}
         for size, items in sorted(by_size.items()):
@@ -253,7 +257,7 @@ class Items:
 
     def matches(self, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
         """{(text, item): (similarity, first word in the text)} of the verified ones."""
-        out: dict[tuple[int, int], tuple[float, int]] = {}
+        out = self._short_matches(words, first)
         found = self.candidates(words, first)
         if not len(found):
             return out
@@ -273,6 +277,18 @@ class Items:
                 out[t, k] = best
         return out
 
+    def _short_matches(self, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
+        """Items shorter than a shingle lie where their words stand in a row: such a stretch
+        is all of the item or shares nothing with it."""
+        out: dict[tuple[int, int], tuple[float, int]] = {}
+        for size, items in self.short.items():
+            hashes, own = textnp.shingles(words, first, size)
+            for at in np.flatnonzero(np.isin(hashes, np.array(list(items), np.uint64))).tolist():
+                t = int(np.searchsorted(own, at, side="right")) - 1
+                for k in items[int(hashes[at])]:
+                    out.setdefault((t, k), (1.0, at - int(own[t])))
+        return out
+
     def _best(self, item: int, text: _Text) -> tuple[float, int] | None:
         """(similarity, first word) of the stretch of a text most similar to an item, of any
         place and length, if that is similar enough."""

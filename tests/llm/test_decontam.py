@@ -166,3 +166,17 @@ def hashed(docs):
     offsets[-1] -= 1
     start, end, first = D.textnp.words(data, offsets)
     return D.textnp.hash_words(data, start, end), first
+
+
+def test_short_items_inside_long_texts(lm):
+    r = random.Random(4)
+    fresh = lambda n: ["".join(r.choices("klmnopqr", k=7)) for _ in range(n)]
+    items = [fresh(n) for n in (1, 2, 3, 4, 5, 3)]
+    items.append(items[5])
+    docs = [fresh(150) + [w.upper() for w in x] + fresh(90) for x in items[:6]]
+    docs += [fresh(5) + items[3][:3] + fresh(5), items[2], items[1][:1], items[3] + fresh(1), fresh(300), []]
+    bench = lm.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    df = lm.createDataFrame([(k, " ".join(w)) for k, w in enumerate(docs)], "doc_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.similarity, x.word) for x in D.contaminated(df, bench).collect()}
+    assert got == {**{(k, k): (1.0, 150) for k in range(6)}, (5, 6): (1.0, 150), (7, 2): (1.0, 0), (9, 3): (1.0, 0)}
+    assert {x.doc_id for x in D.clean(df, bench).collect()} == {6, 8, 10, 11}
