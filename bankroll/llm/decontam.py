@@ -20,7 +20,8 @@ hold it.
 Cases: null or empty texts, and items without words, match nothing. An item of fewer than
 five words has one shingle, and is looked up by it among all runs of so many words. A document shorter than a window is one window itself. Items
 that repeat are all reported. Whole documents are read; items are handled in blocks of
-``ITEMS_AT_ONCE``, so the benchmark may be of any size.
+``ITEMS_AT_ONCE``, with weights counted over the whole benchmark, so it may be of any size
+and the blocks do not show in the result.
 """
 
 from __future__ import annotations
@@ -122,6 +123,8 @@ class _Known:
 
     def __call__(self, asked: np.ndarray) -> np.ndarray:
         out = np.full(len(asked), self.other, self.values.dtype)
+        if not len(self.keys):
+            return out
         maybe = np.flatnonzero(self.seen[asked >> np.uint64(64 - SEEN_BITS)])
         if len(maybe):
             at = np.minimum(np.searchsorted(self.keys, asked[maybe]), len(self.keys) - 1)
@@ -169,25 +172,73 @@ class _Stretches:
         return tuple(np.concatenate(x or [np.zeros(0, np.int64)]) for x in (windows, found, distance))
 
 
+class Common:
+    """What the whole benchmark shares: its number of items, the words that so many items hold
+    that they weigh less than HEAVIEST, and the shingles of two and more items, with their
+    numbers of items."""
+
+    def __init__(self, items: int, words: np.ndarray, word_items: np.ndarray,
+                 shingles: np.ndarray, shingle_items: np.ndarray) -> None:
+        self.items = items
+        self.words, self.word_items = _ascending(words, word_items)
+        self.shingles, self.shingle_items = _ascending(shingles, shingle_items)
+
+    def weights(self) -> tuple[_Known, _Known]:
+        """Weights of words and of shingles; all others have the default."""
+        light = np.ceil(-np.log2(self.word_items / max(1, self.items)))
+        return (_Known(self.words, np.clip(light, 1, HEAVIEST).astype(np.int64), HEAVIEST),
+                _Known(self.shingles, 1.0 / self.shingle_items, 1.0))
+
+
+def _ascending(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def _distinct_of_items(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, hash) of the distinct words (0) and shingles (1) of each item."""
+    for batch in batches:
+        for part in text_batches([batch], "text"):
+            data, offsets = string_buffers(part.column("text"))
+            start, end, first = textnp.words(data, offsets)
+            words = textnp.hash_words(data, start, end)
+            both = [textnp.distinct(words, first)[0], textnp.distinct(*textnp.shingles(words, first))[0]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(np.arange(2, dtype=np.int32), [len(x) for x in both])),
+                pa.array(np.concatenate(both).view(np.int64))], ["kind", "hash"])
+
+
+def _common(items: DataFrame, n: int) -> Common:
+    """Counted by Spark; what only one item holds, and words of few items, stay there."""
+    held = (items.select("text").mapInArrow(_distinct_of_items, "kind int, hash long")
+            .groupBy("kind", "hash").agg(F.count(F.lit(1)).alias("items"))
+            .filter(F.when(F.col("kind") == 0, F.col("items") * (1 << (HEAVIEST - 1)) >= n)
+                    .otherwise(F.col("items") > 1)).toArrow())
+    kind = held.column("kind").to_numpy()
+    keys, times = held.column("hash").to_numpy().view(np.uint64), held.column("items").to_numpy()
+    return Common(n, keys[kind == 0], times[kind == 0], keys[kind == 1], times[kind == 1])
+
+
 class Items:
-    """A block of benchmark items, ready for probing."""
+    """A block of benchmark items, ready for probing. ``common`` tells what the whole
+    benchmark shares; without it the block is the whole."""
 
-    def __init__(self, ids: list, texts: list[str]) -> None:
+    def __init__(self, ids: list, texts: list[str], common: Common | None = None) -> None:
         data, offsets = string_buffers(pa.array(texts, pa.string()))
         start, end, first = textnp.words(data, offsets)
         words = textnp.hash_words(data, start, end)
         n = np.diff(first)
         self.ids, self.length = ids, n
-        # words: weight by the number of items that hold them
-        pair = np.unique(np.stack([words, np.repeat(np.arange(len(n)), n).astype(np.uint64)], 1), axis=0)
-        vocabulary, held = np.unique(pair[:, 0], return_counts=True)
-        weight = np.clip(np.ceil(-np.log2(held / max(1, len(n)))), 1, HEAVIEST).astype(np.int64)
-        self.weights = _Known(vocabulary, weight, HEAVIEST)
         hashes, bounds = textnp.distinct(*textnp.shingles(words, first))
         self.shingles = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        kinds, times = np.unique(hashes, return_counts=True)
-        self.weigh = _Known(kinds, 1.0 / times, 1.0)
-        self.shared = _Known(kinds, 1.0 / times, 0.0)
+        kinds = np.unique(hashes)
+        if common is None:
+            own, times = np.unique(hashes, return_counts=True)
+            common = Common(len(n), *np.unique(textnp.distinct(words, first)[0], return_counts=True),
+                            own[times > 1], times[times > 1])
+        # words weigh by the number of items that hold them, shingles one over it
+        self.weights, self.weigh = common.weights()
+        self.shared = _Known(kinds, self.weigh(kinds), 0.0)
         self.total = np.array([self.weigh(s).sum() for s in self.shingles])
         # items shorter than a shingle: their one shingle, by number of words
         self.short: dict[int, dict[int, list[int]]] = {}
@@ -206,7 +257,8 @@ class Items:
                 at = np.arange(len(own) - size + 1)
                 prints.append(_Sums(own, self.weights(own), _lanes(size)).prints(at, at + size))
                 places += [(k, s) for s in at.tolist()]
-            room = int(n[items].min()) - size + 1
+            # of the shortest item that this length may represent, whichever are in the block
+            room = max(textnp.SHINGLE_WORDS, -int(-size // SHARE)) - size + 1
             self.sizes[size] = _Stretches(size, places, np.concatenate(prints, 1), max(1, 2 * room // 3))
 
     def similarity(self, item: int, shingles: np.ndarray) -> float:
@@ -345,12 +397,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = items.count()
     blocks = max(1, -(-n // ITEMS_AT_ONCE))
+    # weights are those of the whole benchmark; the only block counts them itself
+    common = _common(items, n) if blocks > 1 else None
     out = None
     for block in range(blocks):  # one scan of the documents for each block of items
         part = items if blocks == 1 else items.filter(
             F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
         rows = sorted(part.collect(), key=lambda r: (r["id"] is None, r["id"] or 0, r["text"]))
-        found = docs.mapInArrow(_run([r["id"] for r in rows], [r["text"] for r in rows]),
+        found = docs.mapInArrow(_run([r["id"] for r in rows], [r["text"] for r in rows], common),
                                 "doc_id long, item_id long, similarity double, word long")
         out = found if out is None else out.union(found)
     return out
@@ -359,12 +413,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 _LOADED: dict[tuple, Items] = {}  # one block of items a worker
 
 
-def _run(ids: list, texts: list[str]):
+def _run(ids: list, texts: list[str], common: Common | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (tuple(ids), tuple(texts))
+        key = (tuple(ids), tuple(texts), None if common is None else (
+            common.items, *(x.tobytes() for x in (common.words, common.word_items,
+                                                  common.shingles, common.shingle_items))))
         if key not in _LOADED:
             _LOADED.clear()
-            _LOADED[key] = Items(ids, texts)
+            _LOADED[key] = Items(ids, texts, common)
         items = _LOADED[key]
         for batch in text_batches(batches, "text"):
             data, offsets = string_buffers(batch.column("text"))

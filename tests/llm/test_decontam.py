@@ -180,3 +180,26 @@ def test_short_items_inside_long_texts(lm):
     got = {(x.doc_id, x.item_id): (x.similarity, x.word) for x in D.contaminated(df, bench).collect()}
     assert got == {**{(k, k): (1.0, 150) for k in range(6)}, (5, 6): (1.0, 150), (7, 2): (1.0, 0), (9, 3): (1.0, 0)}
     assert {x.doc_id for x in D.clean(df, bench).collect()} == {6, 8, 10, 11}
+
+
+def test_blocks_weigh_by_the_whole_benchmark(lm, monkeypatch):
+    r = random.Random(6)
+    fresh = lambda n: ["".join(r.choices("klmnopqr", k=7)) for _ in range(n)]
+    frame = fresh(30)  # a passage that all items share
+    items = [frame + fresh(25) for _ in range(40)]
+    docs = []
+    for k, item in enumerate(items):
+        words = list(item)
+        for j in range(k % 5):
+            words[32 + 5 * j] = "changed"
+        docs.append(fresh(60) + words + fresh(60))
+    docs += [frame[:10] + fresh(30) + frame[10:], fresh(20) + frame + fresh(20)]
+    bench = lm.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(None, None)], "item_id long, text string")
+    df = lm.createDataFrame([(k, " ".join(w)) for k, w in enumerate(docs)], "doc_id long, text string")
+    rows = lambda: sorted((x.doc_id, x.item_id, round(x.similarity, 9), x.word)
+                          for x in D.contaminated(df, bench).collect())
+    want = rows()
+    assert {k for k in range(0, 40, 5)} <= {x[0] for x in want}
+    for at_once in (9, 1):
+        monkeypatch.setattr(D, "ITEMS_AT_ONCE", at_once)
+        assert rows() == want
