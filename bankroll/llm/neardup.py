@@ -276,9 +276,10 @@ def _cell(cells: int, *keys: str):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     text_key: bool = False) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, row, text_key): one row per row of ``docs``.
-    ``kept`` marks rows whose id is the component's; ``row`` numbers the rows; ``text_key``
-    is null, or a digest of the text if asked for."""
+    """(doc_id, n_shingles, component_id, kept, row, text_key, component): one row per row of
+    ``docs``. ``kept`` marks rows whose id is the component's; ``row`` numbers the rows;
+    ``text_key`` is null, or a digest of the text if asked for. ``component`` names the
+    component by a row of it, so components without ids or that share an id stay apart."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary")) if text_key else F.lit(None).cast("string")
     signed = written(docs.select("doc_id", "text", digest.alias("text_key")).mapInArrow(_signed, (
@@ -333,14 +334,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("component", F.coalesce("component", "rep"))
              .select(*key, "component", "class_id"))
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    classes = named.join(least, "component").select(*key, "component_id")
+    classes = named.join(least, "component").select(*key, "component_id", "component")
     out = (full.select("doc_id", "row", "text_key", *key).join(classes, key)
-           .select("doc_id", "n_shingles", "component_id", "row", "text_key"))
+           .select("doc_id", "n_shingles", "component_id", "row", "text_key", "component"))
     alone = signed.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row", "text_key")
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row", "text_key",
+        F.col("row").alias("component"))
     out = out.union(alone)
     return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row", "text_key")
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row", "text_key",
+                      "component")
 
 
 IDS_BOUND = 2_000_000
@@ -372,7 +375,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     worded = marked.filter("n_shingles > 0")
     key = F.struct("doc_id", "text_key")
     # the least non-null id of a component; only then the rows without an id
-    stays = worded.groupBy("component_id").agg(F.min_by(key, F.struct(
+    stays = worded.groupBy("component").agg(F.min_by(key, F.struct(
         F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("k")).select("k.*")
     same = lambda a, b: (F.col(f"{a}doc_id").eqNullSafe(F.col(f"{b}doc_id"))
                          & (F.col(f"{a}text_key") == F.col(f"{b}text_key")))

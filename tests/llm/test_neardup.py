@@ -65,6 +65,16 @@ def test_keep_one_of_each_group(lm):
         [(2, text + " x"), (9, "other words stand here alone"), (7, None), (7, "")], key=str)
 
 
+def test_keep_one_without_ids_and_with_repeated_ids(lm):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(None, text(k)) for k in range(6)] + [(None, text(0) + " x"), (None, text(1))]
+    rows += [(5, text(k)) for k in range(10, 14)] + [(5, text(10) + " x"), (6, text(20)), (6, text(20) + " x"), (6, text(21))]
+    got = Counter((r.doc_id, r.text.split()[0].split("x")[0])
+                  for r in neardup.keep_one(lm.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(None, f"w{k}") for k in range(6)] + [(5, f"w{k}") for k in range(10, 14)] + [(6, "w20"), (6, "w21")]
+    assert got == Counter(want)
+
+
 def test_empty_table(lm):
     df = lm.createDataFrame([], "doc_id long, text string")
     assert found(df) == Counter()
