@@ -31,7 +31,11 @@ BASE_KINDS = (
 ADDED_KINDS = (
     ("vendor", r"(gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{20,}|AIza[A-Za-z0-9_-]{35}"
                r"|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})", 1, 1),
-    ("pem", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", 1, 1),
+    # the value is the body up to its END line, or else its lines of base64; the header alone has none
+    ("pem", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)([^-]*(?:-[^-]+){0,24}?-----END [A-Z ]*PRIVATE KEY-----"
+            r"|[\t\n\r\x20]*(?:[A-Za-z0-9-]+:\x20[^\r\n]*[\r\n]+){0,8}"
+            + 4 * r"(?:[\t\n\r\x20\\]*[A-Za-z0-9+/=]{16,}){0,60}" +  # 240 lines hold 16,384 bits
+            r"(?:[\r\n\\]+[A-Za-z0-9+/=]{1,15})?)", 2, 0),
     ("urlauth", r"([a-z][a-z0-9+.-]{1,20}://[^\x00-\x20:/@\"']{1,64}:)([^\x00-\x20:/@\"']{6,128})@", 2, 6),
 )
 KINDS = BASE_KINDS + ADDED_KINDS

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -69,3 +70,38 @@ def test_plan_has_no_python(lm, documents):
 def test_empty_table(lm):
     df = lm.createDataFrame([], "doc_id long, text string, source string")
     assert S.scan_secrets(df).count() == 0 and S.mask_live(df).count() == 0
+
+
+def pem(k, lines=20, kind="RSA ", end=True):
+    r = random.Random(k)
+    body = ["".join(r.choices("ABCDEFGHabcdefgh0123456789+/", k=64)) for _ in range(lines)] + ["Qx7=="]
+    tail = [f"-----END {kind}PRIVATE KEY-----"] if end else []
+    return "\n".join([f"-----BEGIN {kind}PRIVATE KEY-----"] + body + tail)
+
+
+def test_private_keys_go_whole(lm):
+    one, two = pem(1), pem(2, kind="")
+    locked = pem(3).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n", 1)
+    rows = [(1, f"a {one} b", "o1"), (2, f"c {two}", "o2"), (3, f"d\n{locked}\ne", "o3"),
+            (4, f"f {pem(4, end=False)}\nplain words follow - here", "o4"),
+            (5, "f " + one.replace("\n", "\\n") + " g", "o5"), (6, f"{pem(6, 200)}\n{pem(7)}", "o6"),
+            (7, "say -----BEGIN RSA PRIVATE KEY----- and a word", "o7"), (8, f"x {pem(8, 200, end=False)}", "o8")]
+    df = lm.createDataFrame(rows, "doc_id long, text string, source string")
+    masked = {x.doc_id: x.text for x in S.mask_live(df).collect()}
+    assert masked == {1: "a [SECRET] b", 2: "c [SECRET]", 3: "d\n[SECRET]\ne", 4: "f [SECRET]\nplain words follow - here",
+                      5: "f [SECRET] g", 6: "[SECRET]\n[SECRET]", 7: rows[6][1], 8: "x [SECRET]"}
+    found = {x.doc_id: [f for f in x.found if f.kind == "pem"] for x in S.scan_secrets(df).collect()}
+    assert [len(found[k]) for k in range(1, 9)] == [1, 1, 1, 1, 1, 2, 1, 1]
+    assert len({f.hash for v in found.values() for f in v}) == 9
+    assert {f.verdict for k, v in found.items() for f in v if k != 7} == {"live"}
+
+
+def test_pem_pattern_in_duckdb(lm):
+    import duckdb
+
+    pattern, group = next((p, g) for n, p, g, _ in S.KINDS if n == "pem")
+    texts = [f"a {pem(1)} b", f"x {pem(8, 200, end=False)}", f"f {pem(4, end=False)}\nplain words", "-----BEGIN PRIVATE KEY----- none"]
+    got = [duckdb.execute("select regexp_extract_all(?, ?, ?)", [t, pattern, group]).fetchone()[0] for t in texts]
+    df = lm.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    want = [r.v for r in df.selectExpr("k", f"regexp_extract_all(t, r'{pattern}', {group}) as v").orderBy("k").collect()]
+    assert got == want and all(len(v) == 1 for v in got)
