@@ -43,6 +43,9 @@ COPIED_OWNERS = 2       # a value with at least so many owners is a copied examp
 COPIED_REPOSITORIES = 4  # or with so many repositories
 LIVE_CHARACTERS = 8     # a live-looking value has at least so many distinct characters
 PLACEHOLDER = r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd]|[Cc][Hh][Aa][Nn][Gg][Ee][_-]?[Mm][Ee]|[Yy][Oo][Uu][Rr][_-]|[Xx]{6}|[Dd][Uu][Mm][Mm][Yy]"
+# Masking leaves a value in clear only as a widely copied one or as a repetitive one
+WIDE_OWNERS, WIDE_TEXTS = 5, 10  # least owners, each distinct text voting for one, and distinct texts
+REPETITIVE = 0.25       # of the distinct characters that a random value of its length and alphabet has
 MASKS_BROADCAST = 500_000  # texts to mask; beyond it they are joined by a shuffle
 
 
@@ -60,20 +63,19 @@ def _found(text: Column) -> Column:
     return F.array_compact(F.array(*each))
 
 
-def _spans(scan: DataFrame) -> DataFrame:
-    """One row per span: (row, owner, repository, k, start, end, value)."""
-    each = (scan.select("row", "owner", "repository", F.explode("found").alias("f"))
-            .select("row", "owner", "repository", "f.k",
-                    F.posexplode(F.arrays_zip("f.gaps", "f.sizes", "f.values")).alias("at", "m"))
-            .select("row", "owner", "repository", "k", "at", "m.gaps", "m.sizes", "m.values")
+def _spans(scan: DataFrame, *more: str) -> DataFrame:
+    """One row per span: (row, owner, repository, *more, k, start, end, value, hash)."""
+    own = ["row", "owner", "repository", *more]
+    each = (scan.select(*own, F.explode("found").alias("f"))
+            .select(*own, "f.k", F.posexplode(F.arrays_zip("f.gaps", "f.sizes", "f.values")).alias("at", "m"))
+            .select(*own, "k", "at", "m.gaps", "m.sizes", "m.values")
             .filter(F.col("values").isNotNull()))
     so_far = Window.partitionBy("row", "k").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gaps") + F.col("sizes")).over(so_far)
     least = F.element_at(F.array(*[F.lit(kind[3]) for kind in KINDS]), F.col("k") + 1)
     return (each.withColumn("end", end).withColumn("start", F.col("end") - F.col("sizes"))
             .filter(F.length("values") >= least)
-            .select("row", "owner", "repository", "k", "start", "end",
-                    F.col("values").alias("value"), F.sha2("values", 256).alias("hash")))
+            .select(*own, "k", "start", "end", F.col("values").alias("value"), F.sha2("values", 256).alias("hash")))
 
 
 def _ownership(spans: DataFrame) -> DataFrame:
@@ -94,6 +96,28 @@ def _judged(spans: DataFrame) -> DataFrame:
     return spans.join(_ownership(spans), "hash").withColumn("verdict", verdict)
 
 
+def _repetitive(value: Column) -> Column:
+    """Whether a value has far fewer distinct characters than a random one of its length over
+    its alphabet would have; a blank one is."""
+    value = F.btrim(value, F.lit(" \t\r\n"))
+    has = lambda p, n: F.when(value.rlike(p), n).otherwise(0)
+    letters = (F.when(value.rlike("^[0-9]+$"), 10).when(value.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 16)
+               .otherwise(has("[0-9]", 10) + has("[a-z]", 26) + has("[A-Z]", 26) + has("[^0-9A-Za-z]", 4)))
+    usual = letters * (1 - F.pow(1 - 1 / F.greatest(letters, F.lit(1)), F.length(value)))
+    return (F.length(value) == 0) | (F.size(F.array_distinct(F.split(value, ""))) < REPETITIVE * usual)
+
+
+def _to_mask(scan: DataFrame) -> DataFrame:
+    """The spans of the values that must not stay in clear. Copies of one text are one text,
+    of one owner, so they do not make a value widely copied."""
+    spans = _spans(scan, "t1", "t2").filter(~F.col("value").rlike(PLACEHOLDER) & ~_repetitive(F.col("value")))
+    texts = spans.groupBy("hash", "t1", "t2").agg(F.min("owner").alias("owner"))
+    wide = (texts.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("texts"))
+            .filter((F.col("owners") >= WIDE_OWNERS) & (F.col("texts") >= WIDE_TEXTS)).select("hash"))
+    return spans.join(wide, "hash", "left_anti")
+
+
 def _names(spans: Column) -> Column:
     kind = F.array(*[F.lit(k[0]) for k in KINDS])
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
@@ -145,9 +169,11 @@ def _text_key(text_col: str) -> list[Column]:
 def mask_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               owner_col: str = "source", repo_col: str = "source", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with each live-looking value's span replaced by ``mask`` (overlapping spans
-    by one); other rows and columns stay as they are."""
+    by one); other rows and columns stay as they are. Stricter than the verdicts of
+    ``scan_secrets``: a value stays in clear only if it is a placeholder by its characters or
+    many owners carry it in many distinct texts."""
     scan = _scanned(docs, id_col, text_col, owner_col, repo_col, *_text_key(text_col))
-    live = _judged(_spans(scan)).filter("verdict = 'live'").select("row", "start", "end")
+    live = _to_mask(scan).select("row", "start", "end")
     # spans that overlap become one: a span begins where none before it reaches
     before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     runs = Window.partitionBy("row").orderBy("start", "end")

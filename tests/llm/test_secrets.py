@@ -105,3 +105,14 @@ def test_pem_pattern_in_duckdb(lm):
     df = lm.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
     want = [r.v for r in df.selectExpr("k", f"regexp_extract_all(t, r'{pattern}', {group}) as v").orderBy("k").collect()]
     assert got == want and all(len(v) == 1 for v in got)
+
+
+def test_copies_of_one_text_do_not_vote(lm):
+    token, digits, wide = "9233a8ec41d07b5f6e2c9233a8ec41d07b5f6e2c", "4952935900253052", "7c1e90ab54d3f26879ee01bc"
+    rows = [(k, f"leaked {token} here", f"s{k % 3}") for k in range(12)]
+    rows += [(12, f"other {token}", "s4"), (13, f"card {digits}", "s1"), (14, "dull " + "0" * 20, "s1")]
+    rows += [(20 + k, f"sample {k} of {wide}", f"s{k % 6}") for k in range(12)]
+    df = lm.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {x.doc_id: x.text for x in S.mask_live(df).collect()}
+    want = {k: "leaked [SECRET] here" for k in range(12)} | {12: "other [SECRET]", 13: "card [SECRET]", 14: rows[14][1]}
+    assert got == want | {k: t for k, t, _ in rows[15:]}
