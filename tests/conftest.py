@@ -7,11 +7,9 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-SF_SMALL = "/root/testdata/sf0.001"
-VIEWS = ("region nation customer supplier part orders lineitem events documents embeddings "
-         "pages benchmark labels conversations").split()
+from fixtures import SF_SMALL, VIEWS  # noqa: E402
 
 
 @pytest.fixture(scope="session")

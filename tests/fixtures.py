@@ -1,4 +1,4 @@
-"""Hand-built contract rows for boundary cases."""
+"""Places of the test tables, and hand-built contract rows for boundary cases."""
 from __future__ import annotations
 
 import datetime as dt
@@ -6,6 +6,9 @@ import datetime as dt
 from bankroll.model import SCHEMAS
 
 UTC = dt.timezone.utc
+SF_SMALL = "/root/testdata/sf0.001"
+VIEWS = ("region nation customer supplier part orders lineitem events documents embeddings "
+         "pages benchmark labels conversations").split()
 
 
 def ts(s: str) -> dt.datetime:

@@ -8,7 +8,7 @@ import pytest
 from bankroll.plans import reads as P
 from bankroll.plans import rollups as R
 from bankroll.sources import layout, records, testdata
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from helpers import multiset, spark_rows
 
 

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from helpers import assert_same
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 from bankroll.catalog import ORACLE_SQL as ORACLE, QUERIES
 

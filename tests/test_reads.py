@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bankroll.plans import reads as P
 from bankroll.plans import rollups as R
 from bankroll.sources import layout, testdata
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from helpers import multiset, spark_rows
 
 

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from bankroll.operators import joins
 from bankroll.plans import rollups as R
 from bankroll.sources import testdata
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from helpers import assert_same
 
 ORACLE = E.oracle_sql()

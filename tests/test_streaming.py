@@ -12,7 +12,7 @@ from bankroll.plans import rollups as R
 from bankroll.sources import records, testdata
 from bankroll.streaming import stream_static
 from bankroll.streaming.landed import LandedRefresh
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from helpers import multiset, spark_rows
 
 ID_COLS = {"branch_id", "customer_id", "emp_id", "manager_id", "account_id", "product_id",
