@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bankroll.llm import quality_cnn, toxicity
 from bankroll.llm.queries import QUERIES, _remainder
-from conftest import odd_documents
+from odd import odd_documents
 
 SF = "/root/testdata/sf0.1"
 

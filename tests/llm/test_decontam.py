@@ -6,7 +6,7 @@ import numpy as np
 
 import brute
 from bankroll.llm import decontam as D
-from conftest import odd_documents
+from odd import odd_documents
 
 R = random.Random(8)
 WORDS = ["".join(R.choices("abcdefghij", k=R.randrange(2, 8))) for _ in range(3000)]

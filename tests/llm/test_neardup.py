@@ -8,7 +8,7 @@ import numpy as np
 import brute
 from bankroll.llm import neardup, textnp
 from bankroll.llm.components import connected_components
-from conftest import odd_documents
+from odd import odd_documents
 
 
 def found(df):

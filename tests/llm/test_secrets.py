@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 from bankroll.llm import secret_scan as S
-from conftest import odd_documents
+from odd import odd_documents
 
 BASE = [("assign", re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
         ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile(r"[0-9a-f]+"), 0, 16)]

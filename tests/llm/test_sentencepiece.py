@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from bankroll.llm import sentencepiece_np as S
-from conftest import odd_documents
+from odd import odd_documents
 
 PIECES = S.Pieces(S.read_model())
 

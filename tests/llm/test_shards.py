@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from bankroll.llm import shards
-from conftest import odd_documents
+from odd import odd_documents
 
 
 def check(rows, source, n):

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from bankroll.llm import token_tree as T
-from conftest import odd_documents
+from odd import odd_documents
 
 COUNTER = T.Counter(T.read_ranks())
 
