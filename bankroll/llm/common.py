@@ -77,6 +77,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: dict[str, tuple[object, object]] = {}
+
+
+def held(kind: str, key: object, make):
+    """``make()``, kept by this Python worker until another table is asked for: a reused worker
+    holds one table of one operator, never those of the stages before."""
+    if kind not in _HELD or _HELD[kind][0] != key:
+        _HELD.clear()
+        _HELD[kind] = (key, make())
+    return _HELD[kind][1]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import string_buffers, text_batches
+from .common import held, string_buffers, text_batches
 
 GRID, SHARE = 1.25, 0.75
 RADIUS = 12
@@ -410,18 +410,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out
 
 
-_LOADED: dict[tuple, Items] = {}  # one block of items a worker
-
-
 def _run(ids: list, texts: list[str], common: Common | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (tuple(ids), tuple(texts), None if common is None else (
             common.items, *(x.tobytes() for x in (common.words, common.word_items,
                                                   common.shingles, common.shingle_items))))
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = Items(ids, texts, common)
-        items = _LOADED[key]
+        items = held("items", key, lambda: Items(ids, texts, common))
         for batch in text_batches(batches, "text"):
             data, offsets = string_buffers(batch.column("text"))
             start, end, first = textnp.words(data, offsets)

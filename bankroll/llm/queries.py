@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontam, neardup, pivot_topk, quality_cnn, secret_scan, sentencepiece_np, shards,
-               token_tree, toxicity, warc)
+               token_files, token_tree, toxicity, warc)
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that lie in them."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------------ 11 token-id files
+@query("op11_tokenfiles")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text in files with Elias-Fano boundaries, read back."""
+    return token_files.write_and_read(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")

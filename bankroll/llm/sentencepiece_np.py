@@ -12,7 +12,11 @@ decoding drops it), and no piece may hold U+2581 after another character; both a
 checked. So a text may be cut before each U+2581 that follows another character: the best
 segmentation of the text is that of its words.
 
-A text that holds U+2581 itself is decoded with a space there, as the library does; the
+Memory stays bounded at any length of a text or word: a worker encodes about 1 MB of text at
+once (a longer text stands alone), remembers words up to 24 MB, and of a position keeps only the piece taken.
+
+Cases: an empty table gives no rows, repeated rows come out repeated, extra columns are not
+looked at. A text that holds U+2581 itself is decoded with a space there, as the library does; the
 flag ``round_trip`` is false for it. Null texts are empty: no ids. Ties go to the longer
 last piece.
 """
@@ -27,16 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array, ranges, text_batches
+from .common import held, list_array, ranges, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format (fixed values)
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-BITS = 20
-BLOCK_CELLS = 1 << 20      # (word, position, length) cells of one Viterbi block
-KNOWN_WORDS = 600_000      # words whose ids a worker remembers (for speed only)
+BITS = 18
+BLOCK_CELLS = 1 << 19      # (word, position, length) cells of one Viterbi block
+KNOWN_BYTES = 24 << 20     # of words whose ids a worker remembers (for speed only)
+WORD_BYTES = 320           # of one such word: its text, its entry, its number, its place
+LONG = 2_048               # characters beyond which a word is cut where no piece reaches over
+TEXT_BYTES = 1 << 20       # of text encoded at once
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -121,72 +128,107 @@ class Pieces:
             self.points[k, :len(t)] = [ord(c) for c in t]
         self._forget()
 
-    def _probe(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(score, id) [word, end, length-1] of the pieces that end at each position."""
+    def _probe(self, codes: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """(score, id) [word, end, length-1] of the pieces that end at each position from
+        ``first`` on."""
         words, size = codes.shape
         most = min(size, self.longest)
-        score = np.full((words, size, most), -np.inf)
-        piece = np.full((words, size, most), -1, np.int32)
+        score = np.full((words, size - first, most), -np.inf)
+        piece = np.full((words, size - first, most), -1, np.int32)
         run = np.zeros((words, size), np.uint64)  # hash of the last `length` characters
         for length in range(1, most + 1):
             run[:, length - 1:] = run[:, length - 1:] + codes[:, :size - length + 1] * self.power[length - 1]
             if length not in self.keys:
                 continue
-            here = run[:, length - 1:]
+            low = max(first, length - 1)
+            here = run[:, low:]
             maybe = np.nonzero(self.seen[length][(here * _BASE) >> np.uint64(64 - BITS)])
             h = here[maybe]
             at = np.minimum(np.searchsorted(self.keys[length], h), len(self.keys[length]) - 1)
             hit = self.keys[length][at] == h
-            w, e, at = maybe[0][hit], maybe[1][hit] + length - 1, at[hit]
+            w, e, at = maybe[0][hit], maybe[1][hit] + low - first, at[hit]
             score[w, e, length - 1] = self.scores[length][at]
             piece[w, e, length - 1] = self.ids[length][at]
         return score, piece
 
     def _equal(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids joined, number of ids of each) of words of one length."""
-        size = len(words[0])
+        """(ids joined, number of ids of each) of words of one length. The forward pass goes
+        over slices of positions; of each position only the piece taken stays."""
+        size, rows = len(words[0]), np.arange(len(words))
         codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), size)
-        codes = codes.astype(np.uint64)
-        score, piece = self._probe(codes)
-        most = score.shape[2]
-        alone = score[:, :, 0]
-        spelt = np.isneginf(alone)  # no piece: the bytes of the character
-        score[:, :, 0] = np.where(spelt, self.byte_score, alone)
-        best = np.full((len(words), size + most), -np.inf)
-        best[:, most - 1] = 0.0  # column most-1+k: the first k characters
+        most = min(size, self.longest)
         back = np.zeros((len(words), size), np.int16)
-        for k in range(size):
-            # of equal sums the longest last piece: lengths run downwards
-            sums = best[:, k:k + most] + score[:, k, ::-1]
-            take = sums.argmax(1)
-            best[:, most + k] = sums[np.arange(len(words)), take]
-            back[:, k] = most - take
-        # walk back all words together
-        at = np.full(len(words), size)
-        live = np.arange(len(words))
-        owner, ids, place = [], [], []
-        while len(live):
-            end = at[live] - 1
-            length = back[live, end]
-            owner.append(live)
-            ids.append(piece[live, end, length - 1])
-            place.append(end)
-            at[live] = end + 1 - length
-            live = live[at[live] > 0]
-        owner, ids, place = np.concatenate(owner), np.concatenate(ids), np.concatenate(place)
-        order = np.lexsort((place, owner))
-        owner, ids, place = owner[order], ids[order], place[order]
+        taken = np.zeros((len(words), size), np.int32)
+        step = max(1, BLOCK_CELLS // (len(words) * most))
+        tail = np.full((len(words), most), -np.inf)  # the best sums of the last `most` prefixes
+        tail[:, -1] = 0.0
+        for low in range(0, size, step):
+            high, since = min(size, low + step), max(0, low - most + 1)
+            score, piece = self._probe(codes[:, since:high].astype(np.uint64), low - since)
+            short = most - score.shape[2]  # a first slice of fewer positions than the longest piece
+            if short:
+                score = np.pad(score, ((0, 0), (0, 0), (0, short)), constant_values=-np.inf)
+                piece = np.pad(piece, ((0, 0), (0, 0), (0, short)), constant_values=-1)
+            alone = score[:, :, 0]
+            score[:, :, 0] = np.where(np.isneginf(alone), self.byte_score, alone)  # no piece: its bytes
+            best = np.concatenate([tail, np.full((len(words), high - low), -np.inf)], axis=1)
+            for k in range(high - low):
+                # of equal sums the longest last piece: lengths run downwards
+                sums = best[:, k:k + most] + score[:, k, ::-1]
+                take = sums.argmax(1)
+                best[:, most + k] = sums[rows, take]
+                back[:, low + k] = most - take
+                taken[:, low + k] = piece[rows, k, most - 1 - take]
+            tail = best[:, -most:].copy()
+        owner, place = self._ways(back)
+        ids = taken[owner, place]
         self._check(codes, owner, ids, place)
         bare = np.flatnonzero(ids < 0)
         if len(bare):
-            spelt = [self.byte_id[list(words[w][p].encode("utf-8"))]
-                     for w, p in zip(owner[bare].tolist(), place[bare].tolist())]
+            points = codes[owner[bare], place[bare]]
+            utf8 = np.frombuffer(points.tobytes().decode("utf-32-le").encode("utf-8"), np.uint8)
             times = np.ones(len(ids), np.int64)
-            times[bare] = [len(x) for x in spelt]
+            times[bare] = 1 + sum((points >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
             owner, ids = np.repeat(owner, times), np.repeat(ids, times)
-            ids[ids < 0] = np.concatenate(spelt)
+            ids[ids < 0] = self.byte_id[utf8]
         return ids, np.bincount(owner, minlength=len(words))
 
+    def _parts(self, word: str) -> list[str]:
+        """A long word cut where no piece reaches over the cut: the best segmentation of the
+        word is that of its parts."""
+        codes = np.frombuffer(word.encode("utf-32-le"), "<u4").reshape(1, -1)
+        over = np.zeros(len(word) + 1, np.int32)  # pieces that begin to, and cease to, reach over a place
+        step = max(1, BLOCK_CELLS // self.longest)
+        for low in range(0, len(word), step):
+            since = max(0, low - self.longest + 1)
+            _, piece = self._probe(codes[:, since:low + step].astype(np.uint64), low - since)
+            end, length = np.nonzero(piece[0, :, 1:] >= 0)
+            np.add.at(over, low + end - length, 1)
+            np.add.at(over, low + end + 1, -1)
+        cuts = np.flatnonzero(np.cumsum(over) == 0).tolist()
+        return [word[a:b] for a, b in zip([0] + cuts, cuts) if b > a]
+
+    @staticmethod
+    def _ways(back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, position) of the ends of the pieces taken, in order."""
+        words, size = back.shape
+        ends = np.zeros(back.shape, bool)
+        if words == 1:  # one long word: a step a piece
+            lengths, mark, at = back[0].tobytes(), bytearray(size), size
+            lengths = memoryview(lengths).cast("h")
+            while at:
+                mark[at - 1] = 1
+                at -= lengths[at - 1]
+            ends[0] = np.frombuffer(mark, bool)
+        else:  # all words together
+            at, live = np.full(words, size), np.arange(words)
+            while len(live):
+                end = at[live] - 1
+                ends[live, end] = True
+                at[live] = end + 1 - back[live, end]
+                live = live[at[live] > 0]
+        return np.nonzero(ends)
+
     def _check(self, codes: np.ndarray, owner: np.ndarray, ids: np.ndarray, place: np.ndarray) -> None:
         """A chance equality of hashes would show here: the pieces taken must spell the words."""
         known = ids >= 0
@@ -214,6 +256,7 @@ class Pieces:
             at = stop
         for w in new:
             self.number[w] = len(self.number)
+            self.chars += 4 * len(w)
         self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
         self.starts = np.cumsum(self.lengths) - self.lengths
 
@@ -221,17 +264,23 @@ class Pieces:
         self.number: dict[str, int] = {}
         self.flat, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.starts = self.lengths
+        self.chars = 0
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts joined, number of ids of each)."""
-        if len(self.number) > KNOWN_WORDS or len(self.flat) > 8 * KNOWN_WORDS:
+        if WORD_BYTES * len(self.number) + self.chars + self.flat.nbytes > KNOWN_BYTES:
             self._forget()
         words: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for k, text in enumerate(texts):
             if text:
-                words += _WORD.findall(self.prefix + text.replace(" ", SPACE))
-                words.pop()  # the last match is empty
+                own = _WORD.findall(self.prefix + text.replace(" ", SPACE))
+                own.pop()  # the last match is empty
+                for w in own:
+                    if len(w) > LONG:
+                        words += self._parts(w)
+                    else:
+                        words.append(w)
             ends[k + 1] = len(words)
         new = [w for w in set(words) if w not in self.number]
         if new:
@@ -244,22 +293,24 @@ class Pieces:
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The text of each run of ids. Bytes that are no UTF-8 become U+FFFD."""
         if not hasattr(self, "raw"):
-            self.raw = [self.bytes.get(k) or t.replace(SPACE, " ").encode("utf-8")
-                        for k, t in enumerate(self.text)]
-        parts = [self.raw[k] for k in ids.tolist()]
-        ends = np.r_[0, np.cumsum(counts)].tolist()
-        texts = (b"".join(parts[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:]))
-        return [t[1:] if self.prefix and t[:1] == " " else t for t in texts]
-
-
-_LOADED: dict[int, Pieces] = {}
+            raw = [self.bytes.get(k) or t.replace(SPACE, " ").encode("utf-8") for k, t in enumerate(self.text)]
+            self.raw = np.frombuffer(b"".join(raw), np.uint8)
+            self.raw_size = np.array([len(r) for r in raw], np.int64)
+            self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        out, at = [], 0
+        for n in counts.tolist():
+            parts = []
+            for low in range(at, at + n, TEXT_BYTES):
+                some = ids[low:min(at + n, low + TEXT_BYTES)]
+                parts.append(self.raw[ranges(self.raw_start[some], self.raw_size[some])].tobytes())
+            text = b"".join(parts).decode("utf-8", "replace")
+            out.append(text[1:] if self.prefix and text[:1] == " " else text)
+            at += n
+        return out
 
 
 def _pieces(model: bytes) -> Pieces:
-    key = hash(model)
-    if key not in _LOADED:
-        _LOADED[key] = Pieces(model)
-    return _LOADED[key]
+    return held("pieces", model, lambda: Pieces(model))
 
 
 def read_model(path: str = MODEL) -> bytes:
@@ -276,7 +327,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(data)
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", TEXT_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids, counts = pieces.encode(texts)
             same = [a == b for a, b in zip(pieces.decode(ids, counts), texts)]

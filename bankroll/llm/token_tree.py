@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_array, text_batches
+from .common import held, list_array, text_batches
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that cuts a text before the merges of this rank file
@@ -62,14 +62,8 @@ class Counter:
         return np.fromiter(map(self.known.__getitem__, parts), np.int32, len(parts))
 
 
-_LOADED: dict[int, Counter] = {}
-
-
 def _counter(ranks: bytes) -> Counter:
-    key = hash(ranks)
-    if key not in _LOADED:
-        _LOADED[key] = Counter(ranks)
-    return _LOADED[key]
+    return held("counter", ranks, lambda: Counter(ranks))
 
 
 class Tree:
