@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, neardup, pivot_topk, quality_cnn, secret_scan, sentencepiece_np, shards,
-               token_files, token_tree, toxicity, warc)
+from . import (collocations, decontam, neardup, pivot_topk, quality_cnn, secret_scan, sentencepiece_np,
+               shards, token_files, token_tree, toxicity, warc)
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text in files with Elias-Fano boundaries, read back."""
     return token_files.write_and_read(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+# ------------------------------------------------------------------ 12 collocations
+OP12_SQL = f"""
+with d as (select row_number() over () as doc, coalesce(lang, '{collocations.UNKNOWN_LANG}') as lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+           from documents),
+p as (select doc, lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) as piece from d),
+q as (select row_number() over () as piece, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p),
+o as (select lang, w, len(w) as size, unnest(range(1, len(w) + 1)) as i from q),
+n as (select lang, count(*) as n from o group by lang),
+g as (select lang, w[i:i + k - 1] as g, count(*) as f from o, (select unnest([1, 2, 3, 4]) as k)
+      where i + k - 1 <= size group by all),
+c as (select lang, g, f from g where len(g) >= 2 and f >= {collocations.LEAST}),
+k as (select lang, g, f, unnest(range(1, len(g))) as k from c),
+s as (select k.lang, k.g, k.f, k.k, x.f as l, y.f as r, k.f::hugeint * 2000000 // (x.f + y.f) as score
+      from k join g x on x.lang = k.lang and x.g = k.g[1:k.k]
+             join g y on y.lang = k.lang and y.g = k.g[k.k + 1:]),
+b as (select lang, g, f, unnest(min(struct_pack(score := score, k := k, l := l, r := r))) from s group by lang, g, f),
+i as (select lang, f, g, unnest(range(1, len(g))) as i from c where len(g) >= 3),
+j as (select lang, f, g, i, unnest(range(i + 1, len(g) + 1)) as j from i),
+h as (select lang, g[i:j] as g, max(f) as longer from j where j - i + 1 < len(g) group by all),
+r as (select b.lang, array_to_string(b.g, ' ') as phrase, b.f as a, b.l, b.r, b.score,
+      row_number() over (partition by b.lang order by b.score desc, b.f desc, array_to_string(b.g, ' ')) as rank
+      from b left join h on h.lang = b.lang and h.g = b.g
+      where h.longer is null or 100 * h.longer < 80 * b.f)
+select r.lang, r.rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r.r::bigint as r, n.n::bigint as n,
+       score::bigint as score from r join n on n.lang = r.lang where rank <= {collocations.TOP}
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to four words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
