@@ -41,6 +41,10 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return _conf(df, CONF_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_ROWS)
 
 
+def max_broadcast_bytes(df: DataFrame) -> int:
+    return _conf(df, CONF_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_BYTES)
+
+
 def measure(df: DataFrame, columns: list[str]) -> tuple[int, int]:
     """(rows, bytes of the values) of ``columns`` of ``df``."""
     kept = _MEASURED.setdefault(df, {})
@@ -66,7 +70,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
     source = rows_of if rows_of is not None else df
     rows, size = measure(source, [c for c in df.columns if c in source.columns])
     bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if rows <= bound and size <= _conf(df, CONF_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_BYTES):
+    if rows <= bound and size <= max_broadcast_bytes(df):
         return F.broadcast(df), True
     return df, False
 
