@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, decontam, neardup, pivot_topk, quality_cnn, secret_scan, sentencepiece_np,
-               shards, token_files, token_tree, toxicity, warc)
+from . import (collocations, decontam, neardup, pivot_topk, prefix_trie, quality_cnn, secret_scan,
+               sentencepiece_np, shards, token_files, token_tree, toxicity, warc)
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +238,41 @@ select r.lang, r.rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of two to four words of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 13 prefix trie
+OP13_SQL = """
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations
+           where conv_id is not null),
+o as (select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first,
+      md5(length(role) || ':' || role || text)) as k from t),
+c as (select conv_id, conv_id - conv_id % 100 as base, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+        lambda r, x: list_reduce(list_prepend(xor(r, x), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))),
+        4294967295::bigint) % 6 as h from (select distinct conv_id from o)),
+b as (select conv_id, count(*) as there from o group by conv_id),
+x as (select c.conv_id, c.base, c.h, least(c.h, coalesce(b.there, 0)) as taken from c left join b on b.conv_id = c.base),
+s as (select x.conv_id, o.k as d, o.role, o.text from x join o on o.conv_id = x.base and o.k <= x.taken
+      union all select x.conv_id, x.taken + o.k - x.h, o.role, o.text from x join o on o.conv_id = x.conv_id and o.k > x.h),
+q as (select x.conv_id, coalesce(list({'role': s.role, 'text': s.text} order by s.d) filter (s.d is not null), []) as seq
+      from x left join s using (conv_id) group by x.conv_id),
+p as (select conv_id, len(seq) as size, unnest(range(0, len(seq) + 1)) as d, seq from q),
+m as (select conv_id, d, seq[1:d] as pre, seq[1:d - 1] as up, d = size as ends, seq[d].text as last from p),
+n as (select d, pre, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs,
+      case when d = 0 then 0 else (count(*) - 1) * length(any_value(last)) end as saved,
+      sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+      from m group by d, pre),
+k as (select up as pre, count(*) as n_children from n where d > 0 group by up),
+w as (select n.*, coalesce(k.n_children, 0) as n_children from n left join k on k.pre = n.pre),
+a as (select unnest(range(0, d + 1)) as z, pre, saved, n_children from w),
+u as (select pre[1:z] as pre, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves from a group by 1)
+select w.conv_id, w.d as depth, case when w.d > 0 then f.conv_id end as parent_conv_id, w.n_convs, w.n_children,
+       u.n_leaves, u.saved_tokens::bigint as saved_tokens, w.ends_sha256
+from w join u on u.pre = w.pre left join w f on f.pre = w.up and w.d > 0
+"""
+
+
+@query("op13_prefixtrie", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
