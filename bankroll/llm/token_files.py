@@ -20,8 +20,9 @@ table of 64-bit offsets exists.
 
 Equal to the tokenizers library: a word (a part between spaces, tabs and line feeds; the
 model drops white space and joins nothing over it) of plain Latin letters, with closing
-punctuation or none, is lower-cased here and given to the library's model; every other word
-goes through the library's whole pipeline. Workers remember words up to ``KNOWN_BYTES``.
+punctuation or none, is lower-cased here and goes to the library's model at once; every other word
+goes through the library's whole pipeline. A model whose last id of a word is not marked is refused.
+Workers remember words up to ``KNOWN_BYTES``.
 
 Cases: a null text is empty (the end id alone). Rows that repeat an id are all written, in
 the order of their texts' hashes. A null id is a name of its own kind, before all others. A very
@@ -31,6 +32,7 @@ are not looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -55,7 +57,7 @@ RANGE_BYTES = 128 << 20      # text of one range, if there are at least two rang
 LEAST_RANGE_BYTES = 8 << 20
 CATALOG_BROADCAST = 1_000_000  # segments; beyond it the catalog is joined by a shuffle
 KNOWN_BYTES = 48 << 20
-WORD_BYTES = 240             # of a known word: its text, its ids, its entry
+WORD_BYTES = 200             # of a known word: its text, its ids, its entry
 LONGEST_KNOWN = 64           # characters of a word that is remembered
 MAGIC = b"EFIDSEG1"
 # magic, range, number in the range, bytes of an id, names are text, documents, documents without a
@@ -207,76 +209,90 @@ def segments(data: bytes) -> Iterator[Segment]:
 # (but for U+0130, whose lower case is two characters), and punctuation that may close a word
 LETTERS = r"A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = re.compile(rf"([{LETTERS}]+)([.,;:!?]*)")
-
-
-def _byte_letters() -> dict[int, str]:
-    """Byte -> the printable character that stands for it in a byte-level vocabulary: itself, if
-    it is printable and no space in Latin-1, else the next one from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = (b for b in range(256) if b not in shown)
-    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+_CLOSING = re.compile(rf"(?<=[{LETTERS}])[.,;:!?](?=[ \n\t]|$)")  # one mark alone: a part of its own
+_LATIN = re.compile(rf"[{LETTERS}\x09\x0A\x20-\x7E]*")
 
 
 class WordIds:
     """Ids of texts, word by word."""
 
     def __init__(self, tokenizer: bytes) -> None:
-        from tokenizers import Tokenizer
+        # a task has one core: the library's own threads would only contend for it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_str(tokenizer.decode("utf-8"))
-        self.model = self.whole.model
-        self.letters = _byte_letters()
+        # the same model without the steps that leave lower-case words of plain letters as they are
+        self.bare = Tokenizer(self.whole.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.whole.model.end_of_word_suffix
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        self.ends[[k for t, k in self.whole.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
         self.code = f"<u{self.width}"
         self.tails: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes] = {}
-        self.held = 0
-
-    def _core(self, word: str) -> bytes:
-        """Ids of a word of plain letters, lower-cased already."""
-        shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(shown)], self.code).tobytes()
+        self.before: dict[str, bytes] = {}
+
+    def _cores(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(word, ids) of words of plain letters, lower-cased already: each is one sequence of the
+        model's, so its ids end with the only one of them that ends a word."""
+        for a in range(0, len(words), 4096):
+            some = words[a:a + 4096]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.code)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(ends) != len(some):
+                raise ValueError("a word is not one sequence of the model's")
+            data = ids.tobytes()
+            yield from zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)))
 
     def _pipeline(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.code).tobytes()
                 for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        cores: dict[str, bytes] = {}
-        other = []
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Parts of a text whose ids are independent of each other. Lower case comes first where that is
+        a matter of each letter, and can make no special token's name."""
+        if "<|" not in text and _LATIN.fullmatch(text):
+            text = text.lower()
+        return _CLOSING.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").split(" ")
+
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        plain, other = [], []
         for word in words:
             m = _PLAIN.fullmatch(word)
             if m is None:
                 other.append(word)
-                continue
-            core, tail = m.groups()
-            core = core.lower()
-            if core not in cores:
-                cores[core] = self.known[core] if core in self.known else self._core(core)
-            if tail not in self.tails:
-                if len(self.tails) > 10_000:
-                    self.tails = {"": b""}
-                self.tails[tail] = self._pipeline([tail])[0]
-            out[word] = cores[core] + self.tails[tail]
+            else:
+                plain.append((word, m[1].lower(), m[2]))
+        if len(self.tails) > 10_000:
+            self.tails = {"": b""}
+        tails = list({t for _, _, t in plain} - self.tails.keys())
+        self.tails.update(zip(tails, self._pipeline(tails)))
+        cores = dict.fromkeys(c for _, c, _ in plain)
+        cores.update((c, self.known.get(c) or self.before.get(c)) for c in cores)
+        cores.update(self._cores([c for c, ids in cores.items() if ids is None]))
+        out = {w: cores[c] + self.tails[t] for w, c, t in plain}
         out.update(zip(other, self._pipeline(other)))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, joined as little-endian numbers."""
-        parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        wanted = {w for p in parts for w in p}
-        new = [w for w in wanted if w not in self.known]
-        if self.held > KNOWN_BYTES and 2 * len(new) > len(wanted):  # the words remembered are of little use
-            self.known, self.held, new = {}, 0, list(wanted)
-        here = self._learn(new)
-        if self.held <= KNOWN_BYTES:
-            short = {w: ids for w, ids in here.items() if len(w) <= LONGEST_KNOWN}
-            self.known.update(short)
-            self.held += WORD_BYTES * len(short)
-            if len(short) == len(here):
-                return [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        return [b"".join([here[w] if w in here else self.known[w] for w in p]) for p in parts]
+        """Ids of each text, joined as little-endian numbers. Known words are held in two halves: those
+        met since the last change of halves, and those met in the time before."""
+        parts = [self._words(t) for t in texts]
+        if WORD_BYTES * len(self.known) > KNOWN_BYTES // 2:
+            self.known, self.before = {}, self.known
+        new = set().union(*parts) - self.known.keys()
+        again = new & self.before.keys()
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        here = self._learn(new - again)
+        long = {w: here.pop(w) for w in [w for w in here if len(w) > LONGEST_KNOWN]}
+        self.known.update(here)
+        if not long:
+            return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        return [b"".join([self.known[w] if w in self.known else long[w] for w in p]) for p in parts]
 
 
 def _encoder(tokenizer: bytes, end_id: int):
