@@ -15,14 +15,15 @@ changelogs. For micro-batch ``N`` the ``foreachBatch`` function
    employee or branch changed) under the before and the after state. A transaction
    that arrived before its account joins nothing before and its group after (T6);
    a branch that moved city touches the old city's and the new city's groups (T5);
-4. recomputes exactly those keys from the landed history -- restricted to the touched
-   time buckets and accounts before the newest-version step, so only the needed slice
-   is read -- and writes ``results/<name>/batch_id=N``: one row per touched key, with
-   ``deleted = true`` where the key no longer has a result.
+4. writes ``results/<name>/batch_id=N``. Of a row result (a key depends on its row only): one
+   row per touched key, with ``deleted = true`` where the key no longer has a result. Of an
+   aggregate: the signed differences that the affected transactions make (``signed``), so the
+   other rows of the touched groups are not read again.
 
 Landed transactions are partitioned by ``batch_id`` and ``txn_month``. Hash-bucketed indexes
-tell in which months a transaction, an account or an employee has rows, so a batch reads the
-months it concerns and no others. A re-delivered transaction may carry a corrected time:
+tell in which months a transaction, an account or an employee has rows. A batch of new
+transactions reads itself only; one that delivers transactions again reads the months in
+which these were. A re-delivered transaction may carry a corrected time:
 where its month changes, a row that says so (``moved``) is landed in the old month, so the
 newest versions within any set of months are right for these months.
 
@@ -31,8 +32,8 @@ of the transactions the months written to since. Files read per batch are then b
 each index bucket and month touched, those of one snapshot and of at most
 ``2 * snapshot_every`` batches, whatever the history's length.
 
-The read view of a result is its newest row per result key without deleted rows
-(``read_view``); after every batch it equals the batch rollup over everything landed.
+The read view of a result is its newest row per result key without deleted rows, or the sum of
+its differences (``read_view``); after every batch it equals the batch rollup over everything landed.
 Late rows are kept (they revise their groups), as in the regular updating aggregation
 the reference's SQL describes.
 """
@@ -46,12 +47,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import buckets as B
-from ..model import PRIMARY_KEYS, RESULT_KEYS, SCHEMAS, WINDOW
+from ..model import PRIMARY_KEYS, RESULT_KEYS, SCHEMAS
 from ..operators.compaction import latest_by_key
 from ..plans import rollups as R
 from ..session import checkpoint_dir
 from ..sources.records import decode
+from . import signed
 from .sources import DIMENSIONS, KINDS, changelog_schema, read_stream, tagged_union
 
 TXN_RESULTS = ("q1", "q2", "q3", "q3r", "q4", "q5b", "q6")
@@ -233,6 +234,10 @@ class LandedRefresh:
         for name in self.results:
             if self._has_results(name):
                 rows = self._with_snapshot("results", name, self._results(name), upto)
+                if name in signed.SIGNED:
+                    snap = signed.folded(rows, name).withColumn("batch_id", F.lit(upto).cast("long"))
+                    self._write_snapshot("results", name, snap.select(*rows.columns), upto)
+                    continue
                 snap = latest_by_key(rows, RESULT_KEYS[name], "batch_id", drop_deleted="deleted") \
                     .withColumn("deleted", F.lit(False))
                 self._write_snapshot("results", name, snap.select(*rows.columns), upto)
@@ -309,7 +314,8 @@ class LandedRefresh:
         """Land by month, with a mark in each month that a transaction has left, and index."""
         rows = good.withColumn("moved", F.lit(False)).withColumn("txn_month", F.date_format("txn_time", "yyyyMM"))
         last = latest_by_key(rows.select("txn_id", "seq", "txn_month"), "txn_id", ["seq", "txn_month"])
-        before = _union([self._index("txn", rows.select("txn_id"), n - 1).toDF("txn_id", "old"),
+        again = self._kept("again", n, self._index("txn", rows.select("txn_id"), n - 1).toDF("txn_id", "old"))
+        before = _union([again,
                          rows.select("txn_id", F.col("txn_month").alias("old"))]).distinct()
         left = (before.join(last, "txn_id").filter("old <> txn_month")
                 .select("txn_id", "seq", F.lit(True).alias("moved"), F.col("old").alias("txn_month")))
@@ -353,10 +359,13 @@ class LandedRefresh:
                    for k in DIMENSIONS}
         new_rows = None
         if has("transaction"):
-            # the months of this batch's rows, those that a transaction has left among them
-            this_batch = self._landed("transaction").filter(F.col("batch_id") == n)
-            months = [r[0] for r in this_batch.select("txn_month").distinct().collect()]
-            new_rows = self._txns(months, n).join(this_batch.select("txn_id"), "txn_id", "left_semi")
+            new_rows = self._landed("transaction").filter(F.col("batch_id") == n)
+            again = self.spark.read.parquet(f"{self.root}/touched/again/batch_id={n}")
+            months = sorted(r[0] for r in again.select("old").distinct().collect())
+            if months:  # earlier versions of the transactions that come again
+                new_rows = new_rows.unionByName(
+                    self._txns(months, n - 1).join(again.select("txn_id").distinct(), "txn_id", "left_semi")
+                    .select(*new_rows.columns))
 
         # accounts / employees whose own row or whose branch row changed in this batch: their
         # transactions are revisited in the months in which they have any (a batch without
@@ -387,15 +396,17 @@ class LandedRefresh:
             affected = _union(rows)   # every version of every affected transaction
             old = self._newest(affected.filter(F.col("batch_id") < n), "transaction")
             new = self._newest(affected, "transaction")
-            fn = R.ROLLUPS[name]
-            keys = RESULT_KEYS[name]
-            new_result = fn({"transaction": new, **after})
+            if name in signed.SIGNED:
+                change = signed.difference(name, {"transaction": old, **before}, {"transaction": new, **after})
+                path = f"{self.result_path(name)}/batch_id={n}"
+                change.write.mode("overwrite").parquet(path)
+                touched_out[name] = self.spark.read.schema(change.schema).parquet(path).select(
+                    *RESULT_KEYS[name]).distinct()
+                continue
+            fn, keys = R.ROLLUPS[name], RESULT_KEYS[name]  # a key depends on its row only
+            result = fn({"transaction": new, **after})
             touched = self._kept(name, n, fn({"transaction": old, **before}).select(*keys)
-                                 .unionByName(new_result.select(*keys)).distinct())
-            if name in ("q1", "q2", "q3r", "q4"):  # row results: a key depends on its row only
-                result = new_result
-            else:
-                result = fn({"transaction": self._scope(name, n, touched, after), **after})
+                                 .unionByName(result.select(*keys)).distinct())
             self._write(name, touched, result, n)
             touched_out[name] = touched
 
@@ -442,47 +453,6 @@ class LandedRefresh:
         mine = rows.join(ids, column, "left_semi").select("txn_id").distinct()
         return rows.join(mine, "txn_id", "left_semi")
 
-    def _scope(self, name: str, n: int, touched: DataFrame, after: dict) -> DataFrame:
-        """Newest versions of every transaction that can contribute to a touched group.
-
-        Candidates are the landed versions whose time bucket is touched (Q3: window,
-        Q5b: quarter, Q6: date) and, for Q5b / Q6, whose account belongs (after the batch)
-        to a touched customer / branch -- two independent semi joins, never a product of
-        buckets and accounts. Their newest versions are kept if still in a touched bucket.
-        """
-        bucket_of = {"q3": lambda: F.window("txn_time", WINDOW).start,
-                     "q5b": lambda: B.quarter_label("txn_time"),
-                     "q6": lambda: B.to_day("txn_time")}
-        bucket = {"q3": "window_start", "q5b": "quarter", "q6": "txn_date"}[name]
-        buckets = touched.select(bucket).distinct()
-        # the touched months (a calendar-bounded handful) prune the landed month partitions
-        months = [r[0] for r in self._bucket_months(name, buckets).collect()]
-        in_months = self._txns(months, n)
-        cand = in_months.withColumn(bucket, bucket_of[name]()).join(buckets, bucket, "left_semi")
-        owner = {"q5b": "customer_id", "q6": "branch_id"}.get(name)
-        if owner:
-            accounts = after["account"].join(touched.select(owner).distinct(), owner, "left_semi") \
-                .select("account_id")
-            cand = cand.join(accounts, "account_id", "left_semi")
-        newest = self._newest(in_months.join(cand.select("txn_id"), "txn_id", "left_semi"),
-                              "transaction")
-        return (newest.withColumn(bucket, bucket_of[name]())
-                .join(buckets, bucket, "left_semi").drop(bucket))
-
-    @staticmethod
-    def _bucket_months(name: str, pairs: DataFrame) -> DataFrame:
-        """Distinct ``yyyyMM`` months covered by the touched buckets."""
-        if name == "q3":
-            m = F.date_format("window_start", "yyyyMM")
-        elif name == "q6":
-            m = F.date_format("txn_date", "yyyyMM")
-        else:  # quarter label YYYYQn -> its three months
-            first = (F.substring("quarter", 6, 1).cast("int") - 1) * 3 + 1
-            m = F.explode(F.array(*[F.concat(F.substring("quarter", 1, 4),
-                                             F.lpad((first + k).cast("string"), 2, "0"))
-                                    for k in range(3)]))
-        return pairs.select(m.alias("m")).distinct()
-
     def _write(self, name: str, touched: DataFrame, result: DataFrame, n: int) -> None:
         keys = RESULT_KEYS[name]
         # the left join from the touched keys keeps exactly those keys (result rows of
@@ -509,6 +479,7 @@ class LandedRefresh:
         df = self._with_snapshot("results", name, df, upto)
         if customers is not None:
             df = df.join(customers, "customer_id", "left_semi")
-        keys = RESULT_KEYS[name]
-        newest = latest_by_key(df, keys, "batch_id", drop_deleted="deleted")
+        if name in signed.SIGNED:
+            return signed.totals(df, name).select(*empty.columns)
+        newest = latest_by_key(df, RESULT_KEYS[name], "batch_id", drop_deleted="deleted")
         return newest.select(*empty.columns)
