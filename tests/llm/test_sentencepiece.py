@@ -81,3 +81,21 @@ def test_over_documents(lm, documents):
 def test_space_mark_in_text(lm):
     df = lm.createDataFrame([(1, "a▁b")], "doc_id long, text string")
     assert not S.encode(df).first().round_trip
+
+
+def test_slices_and_cuts_do_not_change_ids(monkeypatch):
+    for text in ("日本x語のtheater" * 9 + " abc " + "ß🎉漢" * 5, "ab" * 50 + "日本" * 30, "x" * 300):
+        want = S.Pieces(S.read_model()).encode([text])[0].tolist()
+        for long, cells in ((10**9, 3), (10**9, 40), (3, 3), (5, 100)):
+            monkeypatch.setattr(S, "LONG", long)
+            monkeypatch.setattr(S, "BLOCK_CELLS", cells)
+            PIECES._forget()
+            assert PIECES.encode([text])[0].tolist() == want
+    PIECES._forget()
+
+
+def test_three_million_characters_without_a_space():
+    text = "日本語漢字仮名交じり文" * 272_728
+    ids, counts = PIECES.encode([text])
+    assert counts.tolist() == [len(ids)] and PIECES.decode(ids, counts) == [text]
+    PIECES._forget()
