@@ -26,7 +26,7 @@ from .plans import rollups as R
 from .plans.refresh import ordered_by_account, refresh_batch
 from .session import scratch_dir, use_utc
 from .sources import layout, records, testdata
-from .streaming import stream_static
+from .streaming import joined, numbering, stream_static
 from .streaming.landed import LandedRefresh
 from .streaming.sources import read_stream
 
@@ -426,7 +426,10 @@ class _Feed:
             raise query.exception()
 
     def result(self, name: str = "q6") -> DataFrame:
-        view = self.refresh.read_view(name)
+        return self.typed(self.refresh.read_view(name))
+
+    @staticmethod
+    def typed(view: DataFrame) -> DataFrame:
         # wire ids are text; the test tables' own are numbers
         ids = [c for c in ("branch_id", "customer_id", "account_id", "employee_id", "product_id", "approved_by_emp_id")
                if c in view.columns]
@@ -544,3 +547,55 @@ def _t4(spark, sf_dir):
 
 register("t4", O.with_mapping("select * from q3 where window_start >= timestamp '1996-01-01'",
                               {"q3": _q("q3")}))(_t4)
+
+
+# T6 as joins of streams: transactions come first, then dimension rows that are changed later
+def _t6_join(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    kind = joined.PATHS[name][0]
+    kinds = ("transaction", kind, "branch")
+    feed = _Feed(spark, sf_dir, (name,), kinds)
+    out = f"{feed.root}/joined"
+
+    def run():
+        query = joined.start(name, feed.src, out, available_now=True, partitions=8, check_ids=False)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+
+    feed.send("transaction")
+    run()
+    old = feed._table("branch").withColumns({c: F.concat(F.lit("Old "), c) for c in ("city", "branch_name")})
+    feed.send("branch", old, 1)
+    feed.send(kind)
+    run()
+    feed.send("branch", seq=2)
+    run()
+    return feed.typed(joined.read_view(spark, name, out))
+
+
+for _name in joined.PATHS:
+    register(f"t6_join_{_name}", O.with_mapping(_q(_name)))(lambda spark, sf_dir, _n=_name: _t6_join(spark, sf_dir, _n))
+
+
+def _t8_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers per account over four files whose rows are up to 300 days out of order."""
+    feed = _Feed(spark, sf_dir, kinds=("transaction",))
+    x = feed._table("transaction")
+    shuffled = F.unix_date(F.col("txn_time").cast("date")) + F.pmod(F.xxhash64("txn_id"), F.lit(300))
+    part = F.least(F.greatest(F.floor((shuffled - F.unix_date(F.lit("1992-01-01").cast("date"))) / 700), F.lit(0)), F.lit(3))
+    for k in range(4):
+        feed.send("transaction", x.filter(part == k))
+    # a transaction of an account of its own far ahead lets the watermark pass all others
+    ahead = x.orderBy("txn_id").limit(1).withColumn("account_id", F.lit(-1).cast("bigint")).withColumn(
+        "txn_time", F.lit("2100-01-01").cast("timestamp"))
+    feed.send("transaction", ahead)
+    out = f"{feed.root}/numbered"
+    query = numbering.start(read_stream(spark, feed.src["transaction"], "transaction", max_files_per_trigger=1),
+                            "400 days", out, available_now=True, partitions=8, check_ids=False)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return feed.typed(numbering.read_view(spark, out)).select("account_id", "txn_id", "place")
+
+
+register("t8_stream", ORACLE_SQL["t8"])(_t8_stream)
