@@ -210,6 +210,8 @@ def segments(data: bytes) -> Iterator[Segment]:
 LETTERS = r"A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = re.compile(rf"([{LETTERS}]+)([.,;:!?]*)")
 _CLOSING = re.compile(rf"(?<=[{LETTERS}])[.,;:!?](?=[ \n\t]|$)")  # one mark alone: a part of its own
+# among words on lines of their own, those that are small letters alone (in Latin-1: each its own lower case)
+_SMALL = re.compile(r"^[a-zß-öø-ÿ]+$", re.M)
 _LATIN = re.compile(rf"[{LETTERS}\x09\x0A\x20-\x7E]*")
 
 
@@ -259,9 +261,13 @@ class WordIds:
             text = text.lower()
         return _CLOSING.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").split(" ")
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        small = _SMALL.findall("\n".join(words))
+        out = dict(self._cores(small))
         plain, other = [], []
-        for word in words:
+        for word in words if len(small) < len(words) else ():
+            if word in out:
+                continue
             m = _PLAIN.fullmatch(word)
             if m is None:
                 other.append(word)
@@ -272,9 +278,9 @@ class WordIds:
         tails = list({t for _, _, t in plain} - self.tails.keys())
         self.tails.update(zip(tails, self._pipeline(tails)))
         cores = dict.fromkeys(c for _, c, _ in plain)
-        cores.update((c, self.known.get(c) or self.before.get(c)) for c in cores)
+        cores.update((c, out.get(c) or self.known.get(c) or self.before.get(c)) for c in cores)
         cores.update(self._cores([c for c, ids in cores.items() if ids is None]))
-        out = {w: cores[c] + self.tails[t] for w, c, t in plain}
+        out.update((w, cores[c] + self.tails[t]) for w, c, t in plain)
         out.update(zip(other, self._pipeline(other)))
         return out
 
@@ -284,10 +290,10 @@ class WordIds:
         parts = [self._words(t) for t in texts]
         if WORD_BYTES * len(self.known) > KNOWN_BYTES // 2:
             self.known, self.before = {}, self.known
-        new = set().union(*parts) - self.known.keys()
-        again = new & self.before.keys()
-        self.known.update(zip(again, map(self.before.__getitem__, again)))
-        here = self._learn(new - again)
+        new = set().union(*parts).difference(self.known)
+        again = {w: self.before[w] for w in new if w in self.before}
+        self.known.update(again)
+        here = self._learn(list(new.difference(again)))
         long = {w: here.pop(w) for w in [w for w in here if len(w) > LONGEST_KNOWN]}
         self.known.update(here)
         if not long:
