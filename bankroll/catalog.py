@@ -22,6 +22,7 @@ from .operators import quality as Q
 from .operators.compaction import latest_by_key, upsert
 from .plans import oracle_sql as O
 from .plans import reads as P
+from .plans import rolling
 from .plans import rollups as R
 from .plans.refresh import ordered_by_account, refresh_batch
 from .session import scratch_dir, use_utc
@@ -599,3 +600,53 @@ def _t8_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("t8_stream", ORACLE_SQL["t8"])(_t8_stream)
+
+
+# the tree of QC5
+register("qc5_tree", O.with_mapping("""
+select 'QC5' as rule, 'employee' as tbl, 'below_missing_manager' as item,
+       (select count(*) from below where lost) as violations
+union all
+select 'QC5', 'employee', 'in_or_below_cycle', (select count(*) from staff) - (select count(*) from below)""", {
+    "staff": "select emp_id, min(manager_id) as manager_id from bk_employee where emp_id is not null group by emp_id",
+    "below": """
+select e.emp_id, e.manager_id is not null as lost from staff e
+where not exists (select 1 from staff m where m.emp_id = e.manager_id)
+union all
+select e.emp_id, b.lost from below b join staff e on e.manager_id = b.emp_id"""}).replace("with ", "with recursive ", 1))(
+    lambda spark, sf_dir: Q.qc5_reachability(_t(spark, sf_dir)))
+
+# R3T as a kept table: the twin adds up the panes of each span anew
+_ROLLING_SQL = O.with_mapping("""
+select p.city, p.hour_from, p.hour_to, cast(sum(q3.txn_count) as bigint) as txn_count
+from spans p join q3 on q3.city = p.city and q3.window_start >= p.hour_from - interval 24 hour
+     and q3.window_start <= p.hour_from
+group by p.city, p.hour_from, p.hour_to""", {
+    "q3": _q("q3"),
+    "changed": """
+select city, "at" from (
+    select city, window_start as "at", txn_count as n from q3
+    union all select city, window_start + interval 25 hour, -txn_count from q3) group by city, "at" having sum(n) <> 0""",
+    "spans": 'select city, "at" as hour_from, lead("at") over (partition by city order by "at") as hour_to from changed'})
+
+register("r3t_rolling", _ROLLING_SQL)(
+    lambda spark, sf_dir: rolling.totals(rolling.changes(R.q3_high_value_by_city(_t(spark, sf_dir)))))
+
+
+def _t3_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling totals kept by what each micro-batch changed in Q3: some transactions come with another time
+    first, some accounts after their transactions."""
+    kinds = ("transaction", "account", "branch")
+    feed = _Feed(spark, sf_dir, ("q3",), kinds, snapshot_every=0)
+    x = feed._table("transaction")
+    feed.send("branch")
+    feed.send("account", feed._table("account").filter("account_id % 3 = 0"))
+    feed.send("transaction", x.withColumn("txn_time", F.col("txn_time") - F.expr("INTERVAL 7 HOURS")), 1)
+    feed.run(max_files=1000)
+    feed.send("transaction", x, 2)
+    feed.send("account")
+    feed.run(max_files=1000)
+    return rolling.totals(rolling.changes(feed.refresh.increments("q3"), "n"))
+
+
+register("t3_rolling", _ROLLING_SQL)(_t3_rolling)

@@ -104,6 +104,31 @@ def qc5_hierarchy(t: Tables) -> DataFrame:
                                           "item", "violations")
 
 
+def qc5_reachability(t: Tables, max_levels: int = 1000) -> DataFrame:
+    """QC5, the tree: employees that no chain of managers ties to a root, told apart by what is above
+    them: a manager that is no employee (``below_missing_manager``) or a cycle (``in_or_below_cycle``).
+
+    An employee without manager is a root. Rows that repeat an id count once, with the least of their
+    managers, so everyone has one manager at most and the descent ends; null ids are QC2's. It
+    descends a level at a time, over a table that is small beside the facts; a chain of more than
+    ``max_levels`` raises."""
+    staff = t["employee"].filter("emp_id is not null").groupBy("emp_id").agg(F.min("manager_id").alias("manager_id"))
+    found = staff.sparkSession.sql(f"""
+        WITH RECURSIVE below(emp_id, lost) MAX RECURSION LEVEL {int(max_levels)} AS (
+            SELECT e.emp_id, e.manager_id IS NOT NULL FROM {{staff}} e
+                LEFT ANTI JOIN {{staff}} m ON e.manager_id = m.emp_id
+            UNION ALL
+            SELECT e.emp_id, b.lost FROM below b JOIN {{staff}} e ON e.manager_id = b.emp_id)
+        SELECT * FROM below LIMIT ALL""", staff=staff)
+    counted = staff.select(F.lit(1).alias("n"), F.lit(0).alias("lost")).unionByName(
+        found.select(F.lit(-1).alias("n"), F.col("lost").cast("int").alias("lost"))).agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("n", "lost")])
+    return counted.select(F.inline(F.array(
+        F.struct(F.lit("below_missing_manager").alias("item"), F.col("lost").alias("violations")),
+        F.struct(F.lit("in_or_below_cycle").alias("item"), F.col("n").alias("violations"))))).select(
+            F.lit("QC5").alias("rule"), F.lit("employee").alias("tbl"), "item", "violations")
+
+
 def qc6_closed_at(t: Tables) -> DataFrame:
     """QC6: ``closed_at`` is set exactly when the account is Inactive."""
     acc = t["account"]

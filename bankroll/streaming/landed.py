@@ -465,6 +465,10 @@ class LandedRefresh:
     def _has_results(self, name: str) -> bool:
         return self._exists(self.result_path(name))
 
+    def increments(self, name: str, upto: int = 1 << 62) -> DataFrame:
+        """The signed differences (``signed``) that result ``name`` is the sum of, as of batch ``upto``."""
+        return self._with_snapshot("results", name, self._results(name), upto)
+
     def read_view(self, name: str, upto: int | None = None,
                   customers: DataFrame | None = None) -> DataFrame:
         """Current content of result ``name``: newest row per result key, deleted rows

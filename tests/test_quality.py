@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from bankroll.operators import quality as Q
 from fixtures import account, branch, employee, frame, ts, txn
 
@@ -61,3 +63,21 @@ def test_orphans_lists_rows(spark):
     t = tables(spark)
     rows = orphans(t["transaction"], "account_id", t["account"], "account_id").select("txn_id").collect()
     assert sorted(r.txn_id for r in rows) == ["t2", "t3", "t4"]
+
+
+def _tree(spark, rows, **options):
+    staff = [employee(e, manager_id=m) for e, m in rows]
+    got = _violations(Q.qc5_reachability({"employee": frame(spark, "employee", staff)}, **options))
+    return got["employee", "below_missing_manager"], got["employee", "in_or_below_cycle"]
+
+
+def test_employees_that_no_root_reaches(spark):
+    chain = [(f"x{k}", f"x{k - 1}" if k else None) for k in range(9)]
+    assert _tree(spark, []) == (0, 0)
+    with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT"):
+        _tree(spark, chain, max_levels=5)
+    cycle = [("a", "c"), ("b", "a"), ("c", "b"), ("below", "a"), ("self", "self")]
+    lost = [("l1", "nobody"), ("l2", "l1"), ("l3", "l1")]
+    assert _tree(spark, chain + cycle + lost) == (3, 5)
+    # repeated ids count once; one that has a manager in any row is no root
+    assert _tree(spark, [("r", None), ("r", None), ("d", None), ("d", "e"), ("e", "d"), ("e", "d")]) == (0, 2)
