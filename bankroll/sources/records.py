@@ -84,13 +84,16 @@ def _typed(raw: DataFrame, table: str) -> list:
     return cols
 
 
-def decode(raw: DataFrame, table: str, check_ids: bool = True) -> tuple[DataFrame, DataFrame]:
+def decode(raw: DataFrame, table: str, check_ids: bool = True, found: str | None = None,
+           more: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Wire rows -> ``(typed rows, quarantined wire rows + reason)``.
 
     A row is quarantined when its text did not parse (``_corrupt_record``, if present, holds
     it), a non-null time text does not parse, a required column is null, or an id is not
     UUID text (F12; ``check_ids=False`` accepts other ids). Columns that are not part of the
-    contract (e.g. a ``seq`` version) pass through after the contract columns.
+    contract (e.g. a ``seq`` version) pass through after the contract columns. ``found`` names a
+    column whose text, where not null, is the reason by itself; ``more`` are further problems
+    (columns that are null where there is none).
     """
     contract = {f.name for f in SCHEMAS[table].fields}
     extra = [c for c in raw.columns if c not in contract and c != CORRUPT]
@@ -108,9 +111,11 @@ def decode(raw: DataFrame, table: str, check_ids: bool = True) -> tuple[DataFram
             problems.append(F.when(src.isNotNull() & ~B.is_finite(src), F.lit(f"non-finite {f.name}")))
         if check_ids and f.name in ID_COLUMNS:
             problems.append(F.when(~B.uuid_is_valid(src), F.lit(f"bad id {f.name}")))
-    reason = F.concat_ws("; ", F.array_compact(F.array(*problems)))
+    reason = F.concat_ws("; ", F.array_compact(F.array(*problems, *(more or []))))
     if CORRUPT in raw.columns:
         reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("unparseable record")).otherwise(reason)
+    if found:
+        reason = F.coalesce(F.col(found), reason)
     flagged = typed.withColumn("__reason", reason)
     good = flagged.filter(F.col("__reason") == "").select(
         *[F.col(f"__t_{f.name}").alias(f.name) for f in SCHEMAS[table].fields], *extra)
