@@ -26,7 +26,7 @@ from .plans import rolling
 from .plans import rollups as R
 from .plans.refresh import ordered_by_account, refresh_batch
 from .session import scratch_dir, use_utc
-from .sources import layout, records, testdata
+from .sources import layout, records, testdata, versions
 from .streaming import joined, numbering, stream_static
 from .streaming.landed import LandedRefresh
 from .streaming.sources import read_stream
@@ -304,6 +304,55 @@ def _s8q(spark, sf_dir):
 register("s8q", O.with_mapping(O.FUNCTION_SQL["s8q"]))(_s8q)
 
 
+def _s8_versions(spark, sf_dir):
+    """S8 over four schema versions mixed, by the last digit of the transaction's id: 0-4 an older one (whole
+    amounts, no channel, no approver), 5-8 one that calls the currency otherwise and has a field more, 9-b the
+    contract's with a channel unknown to it, c-d a version made known later, others the contract's. What is
+    quarantined at first is read again once that version is known; the unknown channel stays."""
+    x = _txn(spark, sf_dir)
+    wire = records.wire_schema("transaction")
+    digit = F.right("txn_id", F.lit(1))
+    version = (F.when(digit < "5", 1).when(digit < "9", 2).when(digit.isin("c", "d"), 4).otherwise(3))
+    sent = records.encode(x, "transaction").withColumns({
+        "channel": F.when(digit.isin("9", "a", "b"), F.lit("Kiosk")).otherwise(F.col("channel")),
+        "ccy": F.col("currency"), "device": F.lit("d1")})
+    drop = {1: ("channel", "approved_by_emp_id"), 2: ("currency",), 3: (), 4: ()}
+    writers = {v: T.StructType([f for f in wire if f.name not in gone]) for v, gone in drop.items()}
+    writers[1] = T.StructType([T.StructField(f.name, T.LongType() if f.name == "amount" else f.dataType)
+                               for f in writers[1]])
+    writers[2] = T.StructType([*writers[2], T.StructField("ccy", T.StringType()), T.StructField("device", T.StringType())])
+    value = F.coalesce(*[F.when(version == v, F.to_json(
+        F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]), {"ignoreNullFields": "false"}))
+        for v, schema in writers.items()])
+    known = versions.Versions("transaction", {v: s for v, s in writers.items() if v != 4},
+                              defaults={"channel": "Digital"}, aliases={"currency": ("ccy",)})
+    good, bad = versions.parse_versions(sent.select("txn_id", value.alias("value"), version.alias("schema_id")), known,
+                                        check_ids=False)
+    path = scratch_dir(spark, "quarantine")
+    bad.write.parquet(path)
+    later, stay = versions.replay(spark.read.parquet(path), known.adding(writers={4: writers[4]}), check_ids=False)
+    kept = good.withColumn("replayed", F.lit(False)).unionByName(later.withColumn("replayed", F.lit(True)))
+    kept = kept.select(*[F.col(c).cast(x.schema[c].dataType).alias(c) for c in x.columns], "schema_id", "replayed",
+                       F.lit("").alias("reason"))
+    return kept.unionByName(stay.select("txn_id", "schema_id", F.lit(True).alias("replayed"), "reason"),
+                            allowMissingColumns=True)
+
+
+register("s8_versions", O.with_mapping("""
+select txn_id, case when kiosk then null else account_id end as account_id,
+       case when kiosk then null else txn_type end as txn_type,
+       case when kiosk then null when last < '5' then trunc(amount) else amount end as amount,
+       case when kiosk then null else currency end as currency, case when kiosk then null else txn_time end as txn_time,
+       case when kiosk then null when last < '5' then 'Digital' else channel end as channel,
+       case when kiosk then null else status end as status, case when kiosk then null else product_id end as product_id,
+       case when kiosk or last < '5' then null else approved_by_emp_id end as approved_by_emp_id,
+       cast(case when last < '5' then 1 when last < '9' then 2 when last in ('c', 'd') then 4 else 3 end as integer)
+           as schema_id,
+       kiosk or last in ('c', 'd') as replayed, case when kiosk then 'unknown channel Kiosk' else '' end as reason
+from sent""", {"sent": "select *, right(txn_id, 1) as last, right(txn_id, 1) in ('9', 'a', 'b') as kiosk from bk_txn"}))(
+    _s8_versions)
+
+
 def _stored(spark, sf_dir, *names: str) -> dict[str, DataFrame]:
     """Result tables as the batch refresh stores them."""
     paths = refresh_batch(_t(spark, sf_dir), scratch_dir(spark, "stored"), names=names)

@@ -128,9 +128,11 @@ def parse_versions(messages: DataFrame, versions: Versions, check_ids: bool = Tr
                     F.concat(F.lit(f"unknown {name} "), F.col(name)))
              for name in (f.name for f in SCHEMAS[versions.table]) if (versions.table, name) in DOMAINS]
 
-    rows = parsed.select("__message", row.alias("__row")).withColumn("__found", found)
-    good, bad = decode(rows.select("__row.*", "__message", "__found"), versions.table, check_ids,
-                       found="__found", more=enums)
+    # an array of one row is unpacked rather than its fields picked: picking would put the parsing
+    # of every version into the expression of each field
+    rows = (parsed.select("__message", F.explode(F.array(row)).alias("__row"))
+            .select("__message", "__row", found.alias("__found")).select("__row.*", "__message", "__found"))
+    good, bad = decode(rows, versions.table, check_ids, found="__found", more=enums)
     contract = [f.name for f in SCHEMAS[versions.table]]
     return (good.select(*contract, F.col("__message.schema_id").alias("schema_id")),
             bad.select(*[F.col("__message").getField(c).alias(c) for c in messages.columns], "reason"))
