@@ -27,7 +27,7 @@ from .plans import rollups as R
 from .plans.refresh import ordered_by_account, refresh_batch
 from .session import scratch_dir, use_utc
 from .sources import layout, records, testdata, versions
-from .streaming import joined, numbering, stream_static
+from .streaming import intake, joined, numbering, stream_static
 from .streaming.landed import LandedRefresh
 from .streaming.sources import read_stream
 
@@ -599,6 +599,39 @@ register("t4", O.with_mapping("select * from q3 where window_start >= timestamp
                               {"q3": _q("q3")}))(_t4)
 
 
+def _t4_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each sent line ends: the second half of a stream of which the first half comes from 1996 on, with a
+    bad time wherever the transaction's id ends with 0."""
+    feed = _Feed(spark, sf_dir, kinds=("transaction",))
+    out = f"{feed.root}/intake"
+    x = feed._table("transaction")
+    cut = F.lit("1996-01-01").cast("timestamp")
+    for rows in (x.filter(F.col("txn_time") >= cut), x.filter(F.col("txn_time") < cut)):
+        feed.send("transaction", rows.withColumn("txn_time", F.when(~F.col("txn_id").endswith("0"), F.col("txn_time"))))
+        query = intake.start(read_stream(spark, feed.src["transaction"], "transaction"), out, delay="30 days",
+                             check_ids=False, available_now=True)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    seen = [intake.rows(spark, out, fate).select("txn_id", F.lit(fate).alias("fate"), F.lit("").alias("reason"),
+                                                 F.col("watermark")) for fate in intake.FATES]
+    bad = intake.quarantined(spark, out).select("txn_id", F.lit("quarantined").alias("fate"), "reason",
+                                                F.lit(None).cast("timestamp").alias("watermark"))
+    return seen[0].union(seen[1]).union(bad)
+
+
+# the first send of a feed is an empty one; the next batch has no watermark yet
+register("t4_late", O.with_mapping("""
+select txn_id,
+       case when bad then 'quarantined' when not old then 'kept' when txn_time < top - interval 30 day then 'late'
+            else 'kept' end as fate,
+       case when bad then 'null txn_time' else '' end as reason,
+       case when not bad and old then top - interval 30 day end as watermark
+from sent, (select max(txn_time) as top from sent where not bad and not old)""", {
+    "sent": "select txn_id, txn_time, right(txn_id, 1) = '0' as bad, txn_time < timestamp '1996-01-01' as old from bk_txn"}))(
+    _t4_late)
+
+
 # T6 as joins of streams: transactions come first, then dimension rows that are changed later
 def _t6_join(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     kind = joined.PATHS[name][0]
