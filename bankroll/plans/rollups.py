@@ -120,10 +120,13 @@ def q5a_active_accounts(t: Tables) -> DataFrame:
             .groupBy("customer_id").agg(F.count(F.lit(1)).alias("account_count")))
 
 
-def q5b_customer_quarter_total(t: Tables) -> DataFrame:
-    """Sum of amounts per customer and quarter (every type, status and currency)."""
+def q5b_customer_quarter_total(t: Tables, broadcast: bool = True) -> DataFrame:
+    """Sum of amounts per customer and quarter (every type, status and currency).
+    ``broadcast=False`` joins accounts on their key, for tables bucketed on it."""
     x = t["transaction"].select("account_id", B.quarter_label("txn_time").alias("quarter"), "amount")
-    owners, small = bounded_broadcast(t["account"].select("account_id", "customer_id"), rows_of=t["account"])
+    owners, small = t["account"].select("account_id", "customer_id"), False
+    if broadcast:
+        owners, small = bounded_broadcast(owners, rows_of=t["account"])
     if small or x.isStreaming:
         grouped = _joined(x, owners, small, t).groupBy("customer_id", "quarter") \
             .agg(*B.money_sum_parts("amount", "amt"))
@@ -148,11 +151,14 @@ def q5_high_value_customers(t: Tables, min_accounts: int = Q5_MIN_ACCOUNTS,
     return totals.join(counts, "customer_id").select("quarter", "customer_id", "amount")
 
 
-def q6_branch_daily(t: Tables) -> DataFrame:
-    """Q6: per branch and UTC date, total and count of approved transactions."""
+def q6_branch_daily(t: Tables, broadcast: bool = True) -> DataFrame:
+    """Q6: per branch and UTC date, total and count of approved transactions.
+    ``broadcast=False`` joins accounts on their key, for tables bucketed on it."""
     x = (t["transaction"].filter(F.col("status") == "approved")
          .select("account_id", B.to_day("txn_time").alias("txn_date"), "amount"))
-    branches, small = bounded_broadcast(t["account"].select("account_id", "branch_id"), rows_of=t["account"])
+    branches, small = t["account"].select("account_id", "branch_id"), False
+    if broadcast:
+        branches, small = bounded_broadcast(branches, rows_of=t["account"])
     if small or x.isStreaming:
         grouped = _joined(x, branches, small, t).groupBy("branch_id", "txn_date") \
             .agg(*B.money_sum_parts("amount", "amt"), F.count(F.lit(1)).alias("count_txn"))

@@ -56,6 +56,15 @@ LAYOUTS: dict[str, Layout] = {
     "q6": Layout("txn_year", None, (("branch_id", False), ("txn_date", False))),
 }
 
+# Ids that rows are found by beside the keys above, with the distinct values expected in a row
+# group. A filter takes about 10 bits a value, so 125 KB for 100,000.
+LOOKUPS: dict[str, dict[str, int]] = {
+    "q1": {"txn_id": 1_000_000},
+    "q2": {"txn_id": 1_000_000, "account_id": 100_000},
+    "q3r": {"txn_id": 1_000_000},
+    "q4": {"txn_id": 1_000_000},
+}
+
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     """Partitions of a range write: as asked, else one per ``TARGET_SHUFFLE_PARTITION_BYTES``
@@ -80,21 +89,36 @@ def clustered(df: DataFrame, name: str, partitions: int | None = None) -> DataFr
 
 def write_result(df: DataFrame, name: str, path: str, mode: str = "overwrite",
                  partitions: int | None = None, max_records_per_file: int = 5_000_000,
-                 partition_overwrite: str = "dynamic") -> None:
+                 partition_overwrite: str = "dynamic", lookups: dict[str, int] | None = None) -> None:
     """Write result table ``name`` in its serving layout (Parquet).
 
+    ``lookups`` are id columns looked up without the layout's own keys (the role of a secondary
+    index), each with the distinct values expected in a row group; default ``LOOKUPS``. Parquet
+    keeps a Bloom filter of theirs in every row group that has no complete dictionary, so an
+    equality on such a column skips row groups whose ids merely surround it.
+
     ``partition_overwrite``: ``dynamic`` replaces only the partitions present in ``df``
     (incremental refresh of some months), ``static`` replaces the whole table.
     """
     lay = LAYOUTS[name]
     w = (clustered(df, name, partitions).write.mode(mode)
          .option("maxRecordsPerFile", max_records_per_file)
-         .option("partitionOverwriteMode", partition_overwrite))
+         .option("partitionOverwriteMode", partition_overwrite)
+         .options(**bloom_options(LOOKUPS.get(name, {}) if lookups is None else lookups)))
     if lay.partition_col:
         w = w.partitionBy(lay.partition_col)
     w.parquet(path)
 
 
+def bloom_options(lookups: dict[str, int]) -> dict[str, str]:
+    """Parquet writer options: a Bloom filter of each column, sized for its distinct values."""
+    options = {}
+    for column, distinct in lookups.items():
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct)
+    return options
+
+
 def read_result(spark: SparkSession, path: str) -> DataFrame:
     """Read a stored result table; the partition column comes back as a (text) column, so
     the reads in ``plans.reads`` prune on it."""
@@ -112,6 +136,18 @@ def save_table(df: DataFrame, table: str, path: str, name: str | None = None,
     w.mode(mode).format("parquet").option("path", path).saveAsTable(table)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, mode: str = "overwrite") -> None:
+    """Store ``df`` as table ``table`` in ``buckets`` buckets of ``key`` (J1, S11). Tables stored with one key and
+    number of buckets are joined and grouped on that key without an exchange of either (read them by name:
+    ``spark.table``). Rows are dealt by key before the write, so a bucket is one file of one task.
+
+    Take ``buckets`` so that a bucket suits a task (``session.shuffle_partitions_for`` of the bytes). All rows of a
+    key share a bucket, which one task reads, so this is for tables whose largest key suits a task too; with a
+    larger one keep the plain tables, whose rollups reduce per key in every task before they shuffle."""
+    (df.repartition(buckets, F.col(key)).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+     .format("parquet").option("path", path).saveAsTable(table))
+
+
 def write_json(tables: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> None:
     """One line-delimited JSON file set per table (distributed write, one folder each), in
     the wire form of the contract; a null field is written as null."""
