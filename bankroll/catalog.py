@@ -27,7 +27,7 @@ from .plans import rollups as R
 from .plans.refresh import ordered_by_account, refresh_batch
 from .session import scratch_dir, use_utc
 from .sources import layout, records, testdata, versions
-from .streaming import intake, joined, numbering, stream_static
+from .streaming import intake, joined, kept_checks, numbering, stream_static
 from .streaming.landed import LandedRefresh
 from .streaming.sources import read_stream
 
@@ -716,6 +716,22 @@ union all
 select e.emp_id, b.lost from below b join staff e on e.manager_id = b.emp_id"""}).replace("with ", "with recursive ", 1))(
     lambda spark, sf_dir: Q.qc5_reachability(_t(spark, sf_dir)))
 
+def _qc_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QC3 and QC4 kept over four batches: transactions come first, then accounts and products, every third of
+    these twice, then all other parents; at last the second ones are taken back."""
+    t, out = _t(spark, sf_dir), scratch_dir(spark, "kept-checks")
+    twice = {k: t[k].filter(F.col(PRIMARY_KEYS[k][0]) % 3 == 0) for k in ("account", "product")}
+    batches = [({"transaction": t["transaction"]}, {}),
+               ({k: t[k].union(rows) for k, rows in twice.items()}, {}),
+               ({k: t[k] for k in ("branch", "customer", "employee")}, {}),
+               ({}, twice)]
+    for n, (added, removed) in enumerate(batches):
+        kept_checks.apply(spark, out, n, added, removed)
+    return kept_checks.read_view(spark, out)
+
+
+register("qc_kept", f"select * from ({O.qc_sql('qc3')}) union all select * from ({O.qc_sql('qc4')})")(_qc_kept)
+
 # R3T as a kept table: the twin adds up the panes of each span anew
 _ROLLING_SQL = O.with_mapping("""
 select p.city, p.hour_from, p.hour_to, cast(sum(q3.txn_count) as bigint) as txn_count
