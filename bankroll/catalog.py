@@ -492,6 +492,18 @@ def _stored_read(spark, sf_dir, name):
 for _name in STORED_READS:
     register(f"s11_{_name}", ORACLE_SQL[_name])(lambda spark, sf_dir, _n=_name: _stored_read(spark, sf_dir, _n))
 
+for _name in ("q3r", "q5a", "q5b"):  # whole stored tables
+    register(f"s11_{_name}", ORACLE_SQL[_name])(
+        lambda spark, sf_dir, _n=_name: _stored(spark, sf_dir, _n)[_n].drop("txn_month"))
+
+
+def _s11_q5(spark, sf_dir):
+    stored = _stored(spark, sf_dir, "q5a", "q5b")
+    return R.q5_high_value_customers(_t(spark, sf_dir), 3, 250_000, stored["q5a"], stored["q5b"])
+
+
+register("s11_q5", ORACLE_SQL["q5"])(_s11_q5)
+
 register("p9", O.with_mapping(
     f"select city, txn_count from q3 where window_start >= {_ts(R3_NOW)} "
     f"and window_start < {_ts(R3_NOW)} + interval 3 day", {"q3": _q("q3")}))(
