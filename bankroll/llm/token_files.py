@@ -18,11 +18,11 @@ counts, as a segment is small), then by the ones of the block's words. Offsets w
 corpus are a segment's base (``catalog``, one row a segment) plus the selected number, so no
 table of 64-bit offsets exists.
 
-Equal to the tokenizers library: a word (a part between spaces, tabs and line feeds; the
-model drops white space and joins nothing over it) of plain Latin letters, with closing
-punctuation or none, is lower-cased here and goes to the library's model at once; every other word
-goes through the library's whole pipeline. A model whose last id of a word is not marked is refused.
-Workers remember words up to ``KNOWN_BYTES``.
+Equal to the tokenizers library: texts are parted on their UTF-8 bytes, a batch at once, and each
+distinct word of a batch (a part between spaces, tabs and line feeds; the model drops white space
+and joins nothing over it) is looked up once. A word of plain Latin letters, with punctuation of
+ASCII after them or none, is lower-cased here and goes to the library's model at once; every other
+word goes through the library's whole pipeline. Workers remember words up to ``KNOWN_BYTES``.
 
 Cases: a null text is empty (the end id alone). Rows that repeat an id are all written, in
 the order of their texts' hashes. A null id is a name of its own kind, before all others. A very
@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, list_array, scratch_dir, text_batches, written
+from .common import held, list_array, ranges, scratch_dir, string_buffers, text_batches, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -206,13 +206,55 @@ def segments(data: bytes) -> Iterator[Segment]:
 
 # ------------------------------------------------------------------ encoding
 # Letters whose lower case and normal form the library and Python give alike: Latin ones up to U+024F
-# (but for U+0130, whose lower case is two characters), and punctuation that may close a word
+# (but for U+0130, whose lower case is two characters), and punctuation that may close a word: of ASCII,
+# it is a part of its own wherever it follows a letter
 LETTERS = r"A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
-_PLAIN = re.compile(rf"([{LETTERS}]+)([.,;:!?]*)")
-_CLOSING = re.compile(rf"(?<=[{LETTERS}])[.,;:!?](?=[ \n\t]|$)")  # one mark alone: a part of its own
+_PLAIN = re.compile(rf"([{LETTERS}]+)([!-/:-@\[-`{{-~]*)")
 # among words on lines of their own, those that are small letters alone (in Latin-1: each its own lower case)
 _SMALL = re.compile(r"^[a-zß-öø-ÿ]+$", re.M)
-_LATIN = re.compile(rf"[{LETTERS}\x09\x0A\x20-\x7E]*")
+
+
+def _bytes_in(some: bytes) -> np.ndarray:
+    """For each byte, whether it is one of these."""
+    out = np.zeros(256, bool)
+    out[list(some)] = True
+    return out
+
+
+_SPACES = _bytes_in(b" \n\t")
+_CLOSING = _bytes_in(b".,;:!?")
+_ASCII_LETTERS = _bytes_in(bytes(c for c in range(128) if chr(c).isalpha()))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)  # A-Z alone
+_COMBINING = 0xCC  # first byte of U+0300, below which no character joins with the one before it
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Parts of texts (UTF-8 bytes, offsets) whose ids are independent of each other, and how many of
+    them come before each offset. One closing mark after an ASCII letter is a part of its own. Small
+    letters replace A-Z where that is a matter of each letter, and can make no special token's name."""
+    space = _SPACES[data]
+    edge = np.zeros(len(data) + 1, bool)  # a text begins or ends here
+    edge[offsets] = True
+    marks = np.flatnonzero(_CLOSING[data])
+    marks = marks[edge[marks + 1] | space[np.minimum(marks + 1, len(data) - 1)]]
+    marks = marks[~edge[marks] & _ASCII_LETTERS[data[marks - 1]]]
+    first = edge[:-1]
+    first[1:] |= space[:-1]
+    first[marks] = True
+    starts = np.flatnonzero(first & ~space)
+    if not len(starts):
+        return pa.array([], pa.large_string()), np.zeros(len(offsets), np.int64)
+    low = _LOWER[data]
+    as_is = data >= _COMBINING
+    as_is[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if as_is.any():
+        whole = np.repeat(np.logical_or.reduceat(as_is, starts), np.diff(starts, append=len(data)))
+        low[starts[0]:][whole] = data[starts[0]:][whole]
+    kept = ~space
+    ends = np.cumsum(kept, dtype=np.int64)
+    bounds = np.append(ends[starts] - 1, ends[-1])
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(low[kept]))
+    return words, np.searchsorted(starts, offsets)
 
 
 class WordIds:
@@ -224,13 +266,11 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_str(tokenizer.decode("utf-8"))
-        # the same model without the steps that leave lower-case words of plain letters as they are
-        self.bare = Tokenizer(self.whole.model)
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        suffix = self.whole.model.end_of_word_suffix
-        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
-        self.ends[[k for t, k in self.whole.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        self.model = self.whole.model
+        # the model reads UTF-8 bytes as characters of the library's: ASCII letters stand for themselves
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = {c.lower() for c in map(chr, range(0x80, 0x250)) if _PLAIN.fullmatch(c)}
+        self.as_bytes = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in letters})
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
         self.code = f"<u{self.width}"
         self.tails: dict[str, bytes] = {"": b""}
@@ -238,29 +278,18 @@ class WordIds:
         self.before: dict[str, bytes] = {}
 
     def _cores(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """(word, ids) of words of plain letters, lower-cased already: each is one sequence of the
-        model's, so its ids end with the only one of them that ends a word."""
-        for a in range(0, len(words), 4096):
-            some = words[a:a + 4096]
-            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.code)
-            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
-            if len(ends) != len(some):
-                raise ValueError("a word is not one sequence of the model's")
-            data = ids.tobytes()
-            yield from zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)))
+        """(word, ids) of words of plain letters, lower-cased already: each is one sequence of the model's."""
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        for word in words:
+            ids += [t.id for t in tokenize(word if word.isascii() else word.translate(self.as_bytes))]
+            ends.append(len(ids) * self.width)
+        data = np.array(ids, self.code).tobytes()
+        return zip(words, map(data.__getitem__, map(slice, ends, ends[1:])))
 
     def _pipeline(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.code).tobytes()
                 for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Parts of a text whose ids are independent of each other. Lower case comes first where that is
-        a matter of each letter, and can make no special token's name."""
-        if "<|" not in text and _LATIN.fullmatch(text):
-            text = text.lower()
-        return _CLOSING.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").split(" ")
-
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         small = _SMALL.findall("\n".join(words))
         out = dict(self._cores(small))
@@ -284,21 +313,33 @@ class WordIds:
         out.update(zip(other, self._pipeline(other)))
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, joined as little-endian numbers. Known words are held in two halves: those
-        met since the last change of halves, and those met in the time before."""
-        parts = [self._words(t) for t in texts]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. Known words are held in two halves: those met since the last change
+        of halves, and those met in the time before."""
         if WORD_BYTES * len(self.known) > KNOWN_BYTES // 2:
             self.known, self.before = {}, self.known
-        new = set().union(*parts).difference(self.known)
-        again = {w: self.before[w] for w in new if w in self.before}
-        self.known.update(again)
-        here = self._learn(list(new.difference(again)))
-        long = {w: here.pop(w) for w in [w for w in here if len(w) > LONGEST_KNOWN]}
-        self.known.update(here)
-        if not long:
-            return [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        return [b"".join([self.known[w] if w in self.known else long[w] for w in p]) for p in parts]
+        new = [w for w in words if w not in self.known]
+        here = {w: self.before[w] for w in new if w in self.before}
+        here |= self._learn([w for w in new if w not in here])
+        self.known |= here
+        ids = list(map(self.known.__getitem__, words))
+        for w in [w for w in here if len(w) > LONGEST_KNOWN]:
+            del self.known[w]
+        return ids
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text, joined as little-endian numbers. A null is empty."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        words, before = words_of(*string_buffers(texts))
+        coded = words.dictionary_encode()
+        number = coded.indices.to_numpy()
+        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        of_word = sizes[number]
+        data = np.frombuffer(b"".join(ids), self.code)[ranges((np.cumsum(sizes) - sizes)[number], of_word)].tobytes()
+        ends = (np.append(0, np.cumsum(of_word))[before] * self.width).tolist()
+        return list(map(data.__getitem__, map(slice, ends, ends[1:])))
 
 
 def _encoder(tokenizer: bytes, end_id: int):
@@ -307,9 +348,8 @@ def _encoder(tokenizer: bytes, end_id: int):
         end = np.array([end_id], words.code).tobytes()
         range_no = TaskContext.get().partitionId()
         names, sizes, parts, ids, number = [], [], [], 0, 0
-        for batch in text_batches(batches, "text", 1 << 20):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for name, data in zip(batch.column("id").to_pylist(), words.encode(texts)):
+        for batch in text_batches(batches, "text"):
+            for name, data in zip(batch.column("id").to_pylist(), words.encode(batch.column("text"))):
                 n = len(data) // words.width + 1
                 if names and (ids + n > SEGMENT_IDS or len(names) >= SEGMENT_DOCS):
                     yield _row(_pack((range_no, number), names, sizes, parts, words.width))
@@ -338,12 +378,12 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     kind = T.StringType() if isinstance(docs.schema[id_col].dataType, T.StringType) else T.LongType()
     rows = docs.select(F.col(id_col).cast(kind).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    ranges = max(1, -(-size // RANGE_BYTES),
-                 min(-(-size // LEAST_RANGE_BYTES), 2 * spark.sparkContext.defaultParallelism))
+    parts = max(1, -(-size // RANGE_BYTES),
+                min(-(-size // LEAST_RANGE_BYTES), 2 * spark.sparkContext.defaultParallelism))
     # equal ids are dealt and ordered by their texts' hashes, then by their place: no id is one task
     order = [F.col("id").asc_nulls_first(), F.col("h"), F.col("n")]
     dealt = (rows.withColumn("h", F.xxhash64("text")).withColumn("n", F.monotonically_increasing_id())
-             .repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("id", "text"))
+             .repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text"))
     (dealt.mapInArrow(_encoder(data, end_id), "segment binary")
      .select(F.col("segment").cast("string").alias("value"))  # the bytes stay as they are
      .write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).text(f"{path}/segments"))

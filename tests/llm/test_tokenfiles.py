@@ -78,6 +78,37 @@ def test_full_memory_changes_nothing(monkeypatch):
     assert len(coder.known) + len(coder.before) < 400
 
 
+def test_a_word_is_looked_up_once_a_batch():
+    """However often it occurs, and also with punctuation at its end: words cost, occurrences hardly do."""
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    coder, piped = words(), []
+    coder.known, pipeline = Counting(), coder._pipeline
+    coder._pipeline = lambda some: piped.extend(some) or pipeline(some)
+    texts = ["to be or not to be." + " be" * 5000, *(f"{a}{b}x### {a}{b}y, ({a})" for a in "abcde" for b in "fghij")]
+    assert ids(coder, texts) == [plain(t) for t in texts]
+    assert Counting.asked < 200
+    assert not [w for w in piped if w.endswith("x###")]
+
+
+def test_texts_are_parted_as_the_library_does():
+    """Bounds of texts are bounds of words; A-Z become small only where no mark joins them and no
+    special token is made; marks that close words of other letters; nulls and slices."""
+    texts = [None, "end.", ".Start", "", "a", "b.", " ", "\t.\n", "J\u030c A\u030a J\u030c. x", "<|ENDOFTEXT|>", "A<|endoftext|>B. C",
+             "<|endoftext|>. THE<| THE", "日本THE. THE", "CAFÉ. Café! ÆON: ×. A÷. Ⱥ. Ⱦz! İ. i", "It's. IT'S 'TIS, 'twas.", "x.. y.,.", "R2. 2. a2.",
+             "\u00a0A. B\u00a0.", "K. K.", "A.\rB", "word<|. <| |>"]
+    assert ids(words(), texts) == [plain(t or "") for t in texts]
+    column = T.pa.array(texts, T.pa.string())
+    for a in range(len(texts)):
+        assert ids(words(), column.slice(a, 3)) == [plain(t or "") for t in texts[a:a + 3]]
+    assert words().encode([]) == [] and words().encode([None, ""]) == [b"", b""]
+
+
 def expected(rows):
     """(doc_id, n, crc) of each row."""
     out = []
